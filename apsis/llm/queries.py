@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, substring_dedup, token_counts
 from .common import table
 
 #: Vocabulary of ops 5 and 10.
@@ -25,11 +25,17 @@ def op5_bpe(spark, sf_dir):
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring_dedup.remove_repeats(docs)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     done = token_counts.count_tokens(docs, bpe.Vocabulary(spark, vocabulary_path()))
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op5_bpe": op5_bpe, "op10_token_counts": op10_token_counts}
+QUERIES = {"op5_bpe": op5_bpe, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
 SQL: dict[str, str] = {}
