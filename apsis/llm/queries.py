@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, substring_dedup, token_counts
+from . import bpe, sharding, simhash, substring_dedup, token_counts
 from .common import table
 
 #: Vocabulary of ops 5 and 10.
 VOCABULARY = "word_bpe_49k.json"
 #: Tokens beyond which op10 marks a document.
 TOKEN_LIMIT = 2048
+#: Shards of op6.
+SHARDS = 40
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -25,6 +27,22 @@ def op5_bpe(spark, sf_dir):
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op6_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+    )
+    done = sharding.shard(docs, "doc_id", sharding.equal_shards(SHARDS), grown=sharding.equal_shards(SHARDS + 1))
+    return done.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op7_simhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = simhash.near_duplicates(docs)
+    return done.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = substring_dedup.remove_repeats(docs)
@@ -37,5 +55,5 @@ def op10_token_counts(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op5_bpe": op5_bpe, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
+QUERIES = {"op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
 SQL: dict[str, str] = {}
