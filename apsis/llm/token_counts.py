@@ -1,10 +1,9 @@
 """Token counts: pieces are counted once per distinct pre-token and summed over each document's pre-token frequencies.
 
-Documents are read once. Each block of them gives, for every shard of the pre-tokens, one row: the block's distinct
-pre-tokens of that shard and the documents and frequencies in which they occur (a sparse column block). One shuffle by
-shard brings equal pre-tokens of all blocks together; there each distinct one is tokenised once, and the block's
-frequencies times its piece count give a partial sum per document. No ids are kept. A frequent pre-token weighs one
-entry per block, so no shard is hot.
+Documents fall into blocks. For every shard of the pre-tokens a block asks once for its distinct ones (one row per block
+and shard); the shuffle by shard brings equal pre-tokens of all blocks together, each distinct one is tokenised once, and
+a block gets back one number per pre-token it asked for. The block's own frequencies, one packed row, meet those answers
+and give a sum per document. No ids are kept. A frequent pre-token weighs one entry per block, so no shard is hot.
 """
 
 from __future__ import annotations
@@ -25,37 +24,37 @@ BLOCK_CHARS = 8_000_000
 #: Input bytes whose pre-tokens should share a shard.
 SHARD_BYTES = 16_000_000
 
-_COLUMNS = "shard int, pieces array<string>, spread binary, rows binary, times binary, row_ids binary"
-
-
-def _block_rows(model, ids: list[int], texts: list[str | None], shards: int):
-    """The rows of one block; documents are numbered within it."""
-    number: dict[str, int] = {}
-    word, times, per_doc = [], [], []
-    for text in texts:
-        counts = Counter(model.pre_tokens(text or ""))
-        word += [number.setdefault(w, len(number)) for w in counts]
-        times += counts.values()
-        per_doc.append(len(counts))
-    names = np.array(list(number), object)
-    word, times = np.array(word, np.int64), np.array(times, np.uint32)
-    doc = np.repeat(np.arange(len(texts), dtype=np.uint32), per_doc)
-    shard = np.fromiter((xxhash.xxh32_intdigest(w) % shards for w in number), np.int64, len(names))
-    # Words in order of shard and text, so that a row's strings compress; postings in the same order.
-    place = np.empty(len(names), np.int64)
-    by_text = sorted(range(len(names)), key=names.__getitem__)
-    order = np.array(by_text, np.int64)[np.argsort(shard[by_text], kind="stable")] if by_text else np.empty(0, np.int64)
-    place[order] = np.arange(len(order))
-    posting = np.argsort(place[word], kind="stable")
-    word, times, doc = place[word][posting], times[posting], doc[posting]
-    spread = np.bincount(word, minlength=len(names)).astype(np.uint32)
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1)).astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(spread, dtype=np.int64)])
-    row_ids = np.array(ids, np.int64).tobytes()
-    for s in np.flatnonzero(np.diff(cuts)).tolist():
-        a, b = cuts[s], cuts[s + 1]
-        p, q = ends[a], ends[b]
-        yield s, names[order[a:b]].tolist(), _planes(spread[a:b]), _planes(doc[p:q]), _planes(times[p:q]), row_ids
+class _Block:
+    """Documents of a block, its distinct pre-tokens in order of shard and text, and where they occur."""
+
+    def __init__(self, model, ids: list[int], texts: list[str | None], shards: int):
+        number: dict[str, int] = {}
+        word, times, per_doc = [], [], []
+        for text in texts:
+            counts = Counter(model.pre_tokens(text or ""))
+            word += [number.setdefault(w, len(number)) for w in counts]
+            times += counts.values()
+            per_doc.append(len(counts))
+        shard = [xxhash.xxh32_intdigest(w) % shards for w in number]
+        names = sorted(zip(shard, number))
+        place = np.empty(len(names), np.int64)
+        place[[number[w] for _, w in names]] = np.arange(len(names))
+        self.ids, self.names, self.cuts = ids, [w for _, w in names], np.bincount(shard, minlength=shards) if shard else []
+        word = place[np.array(word, np.int64)]
+        order = np.argsort(word, kind="stable")
+        self.spread = np.bincount(word, minlength=len(names))
+        self.times = np.array(times, np.uint32)[order]
+        self.docs = np.repeat(np.arange(len(texts)), per_doc)[order]
+
+    def questions(self):
+        at = 0
+        for s, n in enumerate(self.cuts):
+            if n:
+                yield s, self.ids[0], self.names[at : at + n]
+            at += n
+
+    def frequencies(self):
+        yield self.ids[0], np.array(self.ids, np.int64).tobytes(), _planes(self.spread), _planes(self.docs), _planes(self.times)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -71,14 +70,15 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
     """df's other columns, with ``n_tokens`` instead of the text: the number of tokens of the whole text.
 
     A null or empty text has none; every row gives one row, repeated rows too; an input column named like the result is
-    replaced; an empty table gives an empty table.
+    replaced; an empty table gives an empty table. df is read three times and its rows are numbered in reading order, so
+    it should be a table or a plan that gives the same rows in the same order each time.
     """
     _, size = text_bytes(df, text)
     shards = max(1, -(-size // SHARD_BYTES))
     numbered = without(df, n_tokens).withColumn("_row", F.monotonically_increasing_id())
     kept = [c for c in numbered.columns if c not in (text, "_row")]
 
-    def blocks(batches):
+    def blocks(batches, give, columns):
         model = vocabulary.model()
         for pdf in batches:
             ids, texts, chars = [], [], 0
@@ -87,32 +87,34 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
                 texts.append(t)
                 chars += len(t or "")
                 if chars >= BLOCK_CHARS:
-                    yield _frame(_block_rows(model, ids, texts, shards))
+                    yield pd.DataFrame(give(_Block(model, ids, texts, shards)), columns=columns)
                     ids, texts, chars = [], [], 0
             if ids:
-                yield _frame(_block_rows(model, ids, texts, shards))
+                yield pd.DataFrame(give(_Block(model, ids, texts, shards)), columns=columns)
 
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        model = vocabulary.model()
-        distinct = sorted(set().union(*pdf["pieces"]))
-        pieces = _piece_counts(model, distinct)
-        out = []
-        for names, spread, rows, times, row_ids in pdf[["pieces", "spread", "rows", "times", "row_ids"]].itertuples(index=False):
-            n = np.repeat(np.fromiter((pieces[w] for w in names), np.int64, len(names)), _numbers(spread))
-            ids = np.frombuffer(row_ids, np.int64)
-            total = np.bincount(_numbers(rows), n * _numbers(times), minlength=len(ids)).astype(np.int64)
-            some = np.flatnonzero(total)
-            out.append(pd.DataFrame({"_row": ids[some], "_n": total[some]}))
-        return pd.concat(out)
-
-    parts = numbered.select("_row", F.col(f"`{text}`").alias("_text")).mapInPandas(blocks, _COLUMNS)
-    totals = parts.groupBy("shard").applyInPandas(sums, "_row long, _n long").groupBy("_row").agg(F.sum("_n").alias(n_tokens))
-    rest = numbered.select("_row", *[F.col(f"`{c}`") for c in kept])
-    return rest.join(totals, "_row", "left").select(*[F.col(f"`{c}`") for c in kept], F.coalesce(n_tokens, F.lit(0)).cast("long").alias(n_tokens))
+    def ask(batches):
+        return blocks(batches, _Block.questions, ["shard", "block", "pieces"])
+
+    def keep(batches):
+        return blocks(batches, _Block.frequencies, ["block", "ids", "spread", "docs", "times"])
 
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts = _piece_counts(vocabulary.model(), sorted(set().union(*pdf["pieces"])))
+        return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "counts": [_planes(np.fromiter((counts[w] for w in ws), np.int64, len(ws))) for ws in pdf["pieces"]]})
 
-def _frame(rows) -> pd.DataFrame:
-    return pd.DataFrame(list(rows), columns=["shard", "pieces", "spread", "rows", "times", "row_ids"])
+    def add(frequencies: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        counts = np.concatenate([np.empty(0, np.uint32), *map(_numbers, answers.sort_values("shard")["counts"])])
+        ids, spread, docs, times = frequencies[["ids", "spread", "docs", "times"]].iloc[0]
+        ids = np.frombuffer(ids, np.int64)
+        total = np.bincount(_numbers(docs), np.repeat(counts, _numbers(spread)) * _numbers(times).astype(np.float64), minlength=len(ids))
+        return pd.DataFrame({"_row": ids, n_tokens: total.astype(np.int64)})
+
+    texts = numbered.select("_row", F.col(f"`{text}`").alias("_text"))
+    answers = texts.mapInPandas(ask, "shard int, block long, pieces array<string>").groupBy("shard").applyInPandas(answer, "block long, shard int, counts binary")
+    frequencies = texts.mapInPandas(keep, "block long, ids binary, spread binary, docs binary, times binary")
+    totals = frequencies.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add, f"_row long, `{n_tokens}` long")
+    rest = numbered.select("_row", *[F.col(f"`{c}`") for c in kept])
+    return rest.join(totals, "_row", "left").select(*[F.col(f"`{c}`") for c in kept], F.coalesce(n_tokens, F.lit(0)).cast("long").alias(n_tokens))
 
 
 def _piece_counts(model, distinct: list[str]) -> dict[str, int]:
