@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, simhash, substring_dedup, token_counts
+from . import bpe, quality, sharding, simhash, substring_dedup, token_counts, toxicity
 from .common import table
 
 #: Vocabulary of ops 5 and 10.
@@ -21,6 +21,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    done = quality.score(docs.select("doc_id", "text", "source", "lang"), model)
+    return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("host_share", "path_share", "evidence", "p_good")], "keep")
+
+
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.encode(docs, bpe.Vocabulary(spark, vocabulary_path()), decoded="decoded")
@@ -43,6 +50,12 @@ def op7_simhash(spark, sf_dir):
     return done.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs, model).select("doc_id", F.expr(toxicity.held_out_sql("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = substring_dedup.remove_repeats(docs)
@@ -55,5 +68,5 @@ def op10_token_counts(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_quality": op1_quality, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
 SQL: dict[str, str] = {}
