@@ -33,8 +33,10 @@ def measures(text) -> dict[str, object]:
     n, chars = F.greatest(F.size(ws), F.lit(1)), F.length(t)
     counted = lambda signs: chars - F.length(F.translate(t, signs, ""))
     upper = F.length(F.regexp_replace(t, r"\P{Lu}+", ""))
+    again = F.size(F.filter(F.sequence(F.lit(1), n), lambda i: (i > 1) & (F.get(ws, i - 1) == F.get(ws, i - 2))))
     ratios = {
-        "signs": (10 * counted(SIGNS), n),
+        "signs": (10 * counted(SIGNS) + n - 1, n),  # any sign counts
+        "again": (BINS * again, n),
         "stops": (BINS * counted(".,"), n),
         "upper": (BINS * upper, F.greatest(chars, F.lit(1))),
         "distinct": (BINS * F.size(F.array_distinct(ws)), n),
@@ -44,7 +46,7 @@ def measures(text) -> dict[str, object]:
     return {k: F.least(F.floor(a / b), F.lit(BINS - 1)).cast("int") for k, (a, b) in ratios.items()}
 
 
-MEASURES = ("signs", "stops", "upper", "distinct", "lines", "length")
+MEASURES = ("signs", "again", "stops", "upper", "distinct", "lines", "length")
 
 
 def _logit(p):
