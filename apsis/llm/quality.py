@@ -33,7 +33,7 @@ def measures(text) -> dict[str, object]:
     n, chars = F.greatest(F.size(ws), F.lit(1)), F.length(t)
     counted = lambda signs: chars - F.length(F.translate(t, signs, ""))
     upper = F.length(F.regexp_replace(t, r"\P{Lu}+", ""))
-    again = F.size(F.filter(F.sequence(F.lit(1), n), lambda i: (i > 1) & (F.get(ws, i - 1) == F.get(ws, i - 2))))
+    again = F.size(F.filter(F.zip_with(ws, F.slice(ws, 2, n), lambda a, b: a == b), lambda same: same))
     ratios = {
         "signs": (10 * counted(SIGNS) + n - 1, n),  # any sign counts
         "again": (BINS * again, n),
