@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, quality, sharding, simhash, substring_dedup, token_counts, toxicity
+from . import bpe, decontamination, quality, sharding, simhash, substring_dedup, token_counts, toxicity
 from .common import table
 
 #: Vocabulary of ops 5 and 10.
@@ -28,6 +28,11 @@ def op1_quality(spark, sf_dir):
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("host_share", "path_share", "evidence", "p_good")], "keep")
 
 
+def op4_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.encode(docs, bpe.Vocabulary(spark, vocabulary_path()), decoded="decoded")
@@ -68,5 +73,5 @@ def op10_token_counts(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_quality": op1_quality, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
 SQL: dict[str, str] = {}
