@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, quality, sharding, simhash, substring_dedup, token_counts, toxicity
+from . import ann, bpe, decontamination, quality, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
 from .common import table
 
 #: Vocabulary of ops 5 and 10.
@@ -28,6 +28,18 @@ def op1_quality(spark, sf_dir):
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("host_share", "path_share", "evidence", "p_good")], "keep")
 
 
+def op2_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_urls(spark, sf_dir):
+    """Labels of a page: those of the document of its id; bad is a low quality or a toxic one."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    mined = url_filter.mine(pages.join(labels, "page_id").select("url", "bad"))
+    return url_filter.judge(pages, mined).select("page_id", "host", "path", "rule", "verdict", "confidence")
+
+
 def op4_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -73,5 +85,5 @@ def op10_token_counts(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
 SQL: dict[str, str] = {}
