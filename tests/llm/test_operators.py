@@ -1,0 +1,418 @@
+"""The dealt operators against brute force, their libraries, or held-out labels, and on awkward rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from apsis.llm import ann, bpe, components, decontamination, quality, queries, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
+
+LONG = "lorem ipsum dolor " * 20_000
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_tokens long, ids string, fp string, component_id string, shard string, slot string, keep string, score string, n_words string, label string, count string"
+CLASH = ("clash",) * 10
+
+
+def rows_of(texts):
+    return [(i, t, "en", "src0", len(t or ""), 7, *CLASH[:9]) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, ties, and columns named like results."""
+    rows = rows_of(["", None, "one", LONG, " \t\n", "a b c d e f", "a b c d e f", "Ünï çødé <|endoftext|> 12,5 km", "\x1c\x85 x\xa0y"])
+    rows += [rows[2], rows[2], (None,) * 15, (None, "one", None, None, None, None, *[None] * 9)]
+    rows = [(*r, "extra") for r in rows]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def vocabulary(spark):
+    return bpe.Vocabulary(spark, queries.vocabulary_path())
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.vocabulary_path())
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def texts_of(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+# 5, 10: against the tokenizers library
+
+
+def test_bpe_equals_library(spark, sf, library):
+    got = {r.doc_id: r for r in queries.op5_bpe(spark, sf).collect()}
+    for i, text in texts_of(spark.read.parquet(f"{sf}/documents.parquet")):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_bpe_awkward(awkward, empty, vocabulary, library):
+    done = bpe.encode(awkward, vocabulary, decoded="decoded")
+    rows = done.collect()
+    assert len(rows) == awkward.count() and done.columns.count("n_tokens") == 1
+    for r in rows:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids and r.n_tokens == len(ids)
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+    assert bpe.decode(done.drop("decoded"), vocabulary).where("decoded is null").count() == 0
+    assert bpe.encode(empty, vocabulary).count() == 0
+
+
+def test_bpe_random_words(library):
+    model = bpe.Model(open(queries.vocabulary_path(), encoding="utf-8").read())
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("aeinorstlhé'1"), rng.integers(1, 90))) for _ in range(3000)] + ["a" * 5000, "ab" * 3000]
+    for text, packed in zip(words, model.encode(words)):
+        assert np.frombuffer(packed, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    failing = sum(model.propose("".join(model.chars[b] for b in w.encode()) + bpe.END) != model.merge("".join(model.chars[b] for b in w.encode()) + bpe.END) for w in ["theand", "thblean", "strength", "unhappiness"])
+    assert failing  # the exact path is taken
+
+
+def test_token_counts(spark, sf, awkward, empty, vocabulary, library):
+    got = {r.doc_id: r for r in queries.op10_token_counts(spark, sf).collect()}
+    for i, text in texts_of(spark.read.parquet(f"{sf}/documents.parquet")):
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((text or "").encode()), n > 2048)
+    done = token_counts.count_tokens(awkward.withColumn("copy", F.col("text")), vocabulary)
+    assert done.count() == awkward.count()
+    for r in done.collect():
+        assert r.n_tokens == len(library.encode(r["copy"] or "", add_special_tokens=False).ids)
+    assert token_counts.count_tokens(empty, vocabulary).count() == 0
+
+
+# 9: against counting every window
+
+
+def repeats(texts, window):
+    split = [(t or "").encode().split() for t in texts]
+    count = Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if count[tuple(w[i : i + window])] > 1:
+                gone[i : i + window] = [True] * window
+        out.append((len(w), sum(gone), b" ".join(x for x, g in zip(w, gone) if not g).decode()))
+    return out
+
+
+def test_substring_dedup(spark, sf):
+    got = {r.doc_id: r for r in queries.op9_substring_dedup(spark, sf).collect()}
+    docs = texts_of(spark.read.parquet(f"{sf}/documents.parquet"))
+    for (i, _), (n, gone, text) in zip(docs, repeats([t for _, t in docs], 35)):
+        assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (n, gone, hashlib.sha256(text.encode()).hexdigest())
+
+
+@pytest.mark.parametrize("window, batch, shard", [(5, 200, 20), (1, 50, 1_000_000), (7, 10_000_000, 5)])
+def test_substring_dedup_splits(spark, awkward, empty, window, batch, shard):
+    rng = np.random.default_rng(window)
+    texts = [" ".join(rng.choice(list("abc"), rng.integers(0, 40))) for _ in range(60)]
+    df = spark.createDataFrame(rows_of(texts), ", ".join(SCHEMA.split(", ")[:-1]))
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(df, window=window, batch_bytes=batch, shard_windows=shard).collect()}
+    assert got == dict(enumerate(repeats(texts, window)))
+    done = substring_dedup.remove_repeats(awkward, window=window).collect()
+    assert sorted((r.n_words, r.n_removed, r.text) for r in done) == sorted(repeats([r.text for r in awkward.collect()], window))
+    assert substring_dedup.remove_repeats(empty).count() == 0
+
+
+# 7: against all pairs
+
+
+def simhash_of(text, shingle=4):
+    ws = (text or "").encode().lower().split()
+    if not ws:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(ws[i : i + shingle]), 42) for i in range(max(1, len(ws) - shingle + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(keys, close):
+    root = list(range(len(keys)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(keys)):
+        for j in range(i):
+            if close(keys[i], keys[j]) and find(i) != find(j):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(keys))]
+
+
+def test_simhash_query(spark, sf):
+    docs = sorted(texts_of(spark.read.parquet(f"{sf}/documents.parquet")))
+    fps = [simhash_of(t) for _, t in docs]
+    found = classes(fps, lambda a, b: (a ^ b).bit_count() <= 4)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op7_simhash(spark, sf).collect()}
+    assert got == {i: (f"{f:016x}", docs[c][0]) for (i, _), f, c in zip(docs, fps, found)}
+
+
+@pytest.mark.parametrize("radius, bucket, chunk", [(4, 16, 30), (4, 2048, 8192), (2, 4, 10), (8, 8, 64)])
+def test_simhash_links_lose_nothing(spark, monkeypatch, radius, bucket, chunk):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng = np.random.default_rng(radius)
+    fps = {int(x) for x in rng.integers(-(2**62), 2**62, 150)}
+    for x in list(fps)[:40]:
+        for _ in range(4):
+            y = x
+            for b in rng.integers(0, 63, rng.integers(1, radius + 2)):
+                y ^= 1 << int(b)
+            fps.add(y)
+    fps = sorted(fps)
+    df = spark.createDataFrame([(f, f) for f in fps], "node long, fp long")
+    got = {r.node: r.root for r in components.components(simhash.links(df, radius)).collect()}
+    want = classes(fps, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= radius)
+    assert {f: got.get(f, f) for f in fps} == {f: fps[c] for f, c in zip(fps, want)}
+
+
+def test_simhash_awkward(awkward, empty):
+    done = simhash.near_duplicates(awkward)
+    rows = done.collect()
+    assert len(rows) == awkward.count() and len(set(done.columns)) == len(done.columns)
+    assert {r.fp for r in rows if r.doc_id in (0, 1, 4)} == {0} and {r.component_id for r in rows if r.doc_id in (0, 1, 4)} == {0}
+    assert {r.component_id for r in rows if r.doc_id in (5, 6)} == {5} and {r.component_id for r in rows if r.doc_id == 2} == {2}
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_simhash_several_fingerprints(spark):
+    rng = np.random.default_rng(0)
+    base = [" ".join(rng.choice([f"w{i}" for i in range(400)], 200)) for _ in range(30)]
+    near = [t.replace(t.split()[50], "changed", 1) for t in base]
+    df = spark.createDataFrame(rows_of(base + near), ", ".join(SCHEMA.split(", ")[:-1]))
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, shingle=5, radius=8, fps=("a", "b", "c", "d"), most=40).collect()}
+    assert got == {i: i % 30 for i in range(60)}
+
+
+def test_components_of_long_chains_and_stars(spark):
+    pairs = [(i, i + 1) for i in range(100)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 4999)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(101), 0), **dict.fromkeys(range(1000, 1200), 1000), 5000: 4999, 4999: 4999}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# 6
+
+
+def test_sharding_query(spark, sf):
+    texts = dict(texts_of(spark.read.parquet(f"{sf}/documents.parquet")))
+    rows = queries.op6_sharding(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    slots = {}
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 16, zlib.crc32(data), "key")
+        assert 0 <= r.shard < 40 and r.grown_shard in (r.shard, 40)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_sharding_weights_and_moves(spark, awkward, empty):
+    df = spark.range(20_000).withColumnRenamed("id", "key")
+    rows = sharding.shard(df, "key", {0: 1.0, 1: 2.0, 2: 1.0}, grown={0: 1.0, 1: 2.0}).collect()
+    share = Counter(r.shard for r in rows)
+    assert abs(share[1] / 20_000 - 0.5) < 0.02 and abs(share[0] / 20_000 - 0.25) < 0.02
+    assert all(r.grown_shard == r.shard for r in rows if r.shard != 2)
+    done = sharding.shard(awkward, "doc_id", sharding.equal_shards(3))
+    assert done.count() == awkward.count() and len({r.shard for r in done.where("doc_id = 2").collect()}) == 1
+    assert len({(r.shard, r.slot) for r in done.collect()}) == awkward.count()
+    assert sharding.shard(empty, "doc_id", sharding.equal_shards(3)).count() == 0
+
+
+# 4
+
+
+def test_decontamination_query(spark, sf):
+    plain = lambda t: " ".join(re.sub(r"[^\w\s]", "", (t or "").lower()).split())
+    items = [(r.item_id, plain(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    want = {(i, k) for i, t in texts_of(spark.read.parquet(f"{sf}/documents.parquet")) for k, x in items if f" {x} " in f" {plain(t)} "}
+    got = {(r.doc_id, r.item_id) for r in queries.op4_decontamination(spark, sf).collect()}
+    assert want and got == want
+
+
+def test_decontamination_slots(spark):
+    item = "If Alice walks 12 km in 3 hours and then meets Bob, how far does Alice walk in 5 hours at the same pace without any rest?"
+    docs = {
+        1: f"before that {item} after that",
+        2: "If Carol walks 40 miles in 8 hours and then meets Dan, how far does Carol walk in 9 hours at the same pace without any rest?",
+        3: "If Carol walks 40 miles in 8 hours and then meets Dan, how far does Erik walk in 9 hours at the same pace",
+        4: "nothing of the kind is said here at all, only 12 km in 3 hours",
+        5: None,
+        6: "",
+        7: LONG,
+    }
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (4, "")], "item_id long, text string")
+    got = {r.doc_id: r.coverage for r in decontamination.contaminated(df, bench).collect()}
+    assert set(got) - {3} == {1, 2} and got[1] > 0.9 and got[2] > 0.9 and got.get(3, 0) < got[2]
+    assert decontamination.contaminated(df.limit(0), bench).count() == 0
+    assert decontamination.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_decontamination_awkward(awkward):
+    bench = awkward.select(F.col("doc_id").alias("item_id"), "text")
+    got = decontamination.contaminated(awkward, bench).select("doc_id", "item_id").distinct().collect()
+    assert {(5, 6), (6, 5), (3, 3)} <= {(r.doc_id, r.item_id) for r in got}
+
+
+# 1, 8: held-out labels
+
+
+def test_quality_separates(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.fit(docs, labels.where("doc_id % 3 <> 0"))
+    rows = quality.score(docs, model).join(labels, "doc_id").where("doc_id % 3 = 0").collect()
+    assert np.mean([r.keep == (r.quality == 1) for r in rows]) > 0.95
+
+
+def test_quality_shrinks_sparse_sites(spark):
+    good, bad = "some words that read like text, as usual.", "## $$ %% !! ## $$"
+    rows = [(i, good if i % 4 else bad, "big", "a") for i in range(400)] + [(1000, bad, "tiny", "a"), (1001, good, None, None)] + [(2000 + i, bad, "spam", "a") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[1] == good)) for r in rows], "doc_id long, quality int")
+    sites = {r.host: r for r in quality.fit(df, labels).sites.collect()}
+    assert sites["spam"].path_share < sites["tiny"].path_share < sites["big"].path_share
+    assert len(sites) == 4 and 0 < sites["tiny"].path_share and sites[None].path_share < 1
+
+
+def test_quality_awkward(spark, awkward, empty):
+    labels = spark.createDataFrame([(2, 1), (2, 0), (5, None), (None, 1), (6, 7)], "doc_id long, quality int")
+    model = quality.fit(awkward, labels)
+    done = quality.score(awkward, model)
+    assert done.count() == awkward.count() and done.where("p_good is null").count() == 0
+    assert quality.score(awkward, quality.fit(awkward, labels.limit(0))).count() == awkward.count()
+    assert quality.score(empty, quality.fit(empty, labels)).count() == 0
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op8_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and 0 <= r.score <= 1 for r in rows)
+    toxic = [r for r in rows if r.toxic == 1]
+    assert np.mean([r.predicted for r in toxic]) > 0.85 and np.mean([r.predicted for r in rows if r.toxic == 0]) < 0.02
+
+
+def test_toxicity_folding_and_exceptions():
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " trash ": 4.0, " lowei": 3.0})
+    a = lexicon.automaton()
+    hit = lambda t: lexicon.measures(a, t)[0]
+    assert hit("an IDIOT!") == hit("an 1d10t") == hit("an іdіоt") == hit("an id­iot") == 5.0
+    assert hit("idiotic") == hit("") == hit(None) == 0.0
+    assert hit("in the trash can") == 0.0 and hit("you trash") == 4.0 and hit("loweient") == 3.0
+    assert lexicon.measures(a, "trash " + "word " * 400)[1] < lexicon.measures(a, "trash")[1]
+
+
+def test_toxicity_awkward(spark, awkward, empty):
+    rows = spark.createDataFrame([("you idiot", 1), ("fine day", 0), (None, 0), ("", 1), ("x", None)] * 10, "text string, label int")
+    model = toxicity.fit(rows)
+    done = toxicity.score(awkward, model)
+    assert done.count() == awkward.count() and done.where("score is null or predicted is null").count() == 0
+    assert toxicity.score(empty, model).count() == 0
+    assert toxicity.score(awkward, toxicity.fit(rows.limit(0))).where("score = 0.5").count() == awkward.count()
+
+
+# 2
+
+
+def exact_nearest(vectors, ids, queries_, k):
+    out = {}
+    for q in queries_:
+        scores = (vectors * vectors[q]).sum(axis=1)
+        order = [j for j in np.lexsort((ids, -scores)) if ids[j] != ids[q]][:k]
+        out[ids[q]] = [(ids[j], scores[j]) for j in order]
+    return out
+
+
+def test_ann_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    want = exact_nearest(x, ids, np.flatnonzero(ids % 20 == 0), 20)
+    got = {}
+    for r in queries.op2_ann(spark, sf).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got.keys() == want.keys() and all(len(g) == 20 for g in got.values())
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_ann_awkward(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(i, [float(i % 5), 1.0, -1.0]) for i in range(30)] + [(100, None), (101, [0.0, 0.0, 0.0]), (102, [1.0, nan, 0.0]), (103, [1.0, None, 0.0]), (104, [inf, 0.0, 0.0]), (None, [1.0, 1.0, 1.0]), (7, [2.0, 1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit("clash"))
+    got = ann.nearest(df, F.col("vec_id") % 20 == 0, k=5)
+    own = [r.vec_id for r in got.where("query_id = 20").orderBy("rank").collect()]
+    assert own == [4, 9, 14, 19, 24] or len(own) == 5
+    assert {r.vec_id for r in got.collect()} <= set(range(30)) and got.where("query_id = vec_id").count() == 0
+    few = ann.nearest(df.where("vec_id < 4"), F.col("vec_id") == 0, k=20)
+    assert [(r.rank, r.vec_id) for r in few.orderBy("rank").collect()] == [(1, 1), (2, 2), (3, 3)] or few.count() == 3
+    assert ann.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_hilbert_curve_is_continuous():
+    for d, bits in ((2, 4), (3, 3), (4, 2)):
+        grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * d, indexing="ij"), -1).reshape(-1, d)
+        keys = ann.hilbert_keys(grid, bits)
+        assert sorted(keys) == list(range(len(grid)))
+        assert (np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(axis=1) == 1).all()
+
+
+# 3
+
+
+def judged_by_hand(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h + p), a, h + p) for a, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+def test_urls(spark, sf):
+    extra = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.NET", "x://A.example.net/en/q?x://y", "a://b.Example.com/de/", "a://notnet/", "a://sub.net/", "http://é.ORG/fr/#x://"]
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").union(spark.createDataFrame([(1000 + i, u) for i, u in enumerate(extra)] * 2, "page_id long, url string"))
+    mined = url_filter.mine(spark.createDataFrame([], "url string, bad boolean"))
+    rows = url_filter.judge(pages.withColumn("host", F.lit("clash")), mined).collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        host, path, action, rule = judged_by_hand(r.url)
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, action or "allow")
+    assert len(queries.op3_urls(spark, sf).collect()) == spark.read.parquet(f"{sf}/pages.parquet").count()
+
+
+def test_urls_mined(spark):
+    bad = [(f"http://cheap-pills.example.com/buy/{i}", True) for i in range(60)]
+    good = [(f"http://www.example.com/buy/{i}", i % 10 == 0) for i in range(300)] + [(f"http://cheap-pills.example.com/about/{i}", True) for i in range(30)] + [(None, True), ("x", None)]
+    mined = url_filter.mine(spark.createDataFrame(bad + good, "url string, bad boolean"))
+    rules = {tuple(r.tokens): r for r in mined.collect()}
+    assert ("h:cheap-pills",) in rules and rules[("h:cheap-pills",)].confidence == 1.0
+    df = spark.createDataFrame([(1, "http://cheap-pills.example.com/x"), (2, "http://www.example.com/buy/1"), (3, None)], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_filter.judge(df, mined).collect()} == {1: "block", 2: "allow", 3: "allow"}
+    assert url_filter.judge(df.limit(0), mined).count() == 0
