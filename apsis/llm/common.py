@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @functools.cache
 def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="apsis-checkpoint-")
+    path = tempfile.mkdtemp(prefix="apsis-checkpoint-")
+    atexit.register(shutil.rmtree, path, True)
+    return path
 
 
 def shared_dir(spark: SparkSession) -> str:
