@@ -196,8 +196,11 @@ class Plan:
         live = np.ones(len(b.a), bool)
         for row in range(DEPTH):
             own = b.cells(row, self.bits)
-            cells, _ = _counted(own)
-            live &= self.verdicts(found, row, cells, self.bits)[np.searchsorted(cells, own)]
+            order = np.argsort(own)
+            own = own[order]
+            new = np.ones(len(own), bool)
+            new[1:] = own[1:] != own[:-1]
+            live[order] &= self.verdicts(found, row, own[new], self.bits)[np.cumsum(new) - 1]
         at = np.flatnonzero(live)
         at = at[np.lexsort((b.b[at], b.a[at]))]
         x, y = b.a[at], b.b[at]
