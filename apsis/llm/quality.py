@@ -26,10 +26,10 @@ BROADCAST_SITES = 50_000
 SIGNS = "#*%&$!|{}<>~^=_@+"
 
 
-def measures(text) -> dict[str, object]:
-    """Bin (0 to BINS - 1) of each measure of a text column; null counts as empty."""
-    t = F.coalesce(text, F.lit(""))
-    ws, lines = words(text), F.split(t, "\n")
+def measure(df: DataFrame, text: str = "text") -> DataFrame:
+    """df with the bin (0 to BINS - 1) of each measure of its text, in columns ``_<measure>``; null counts as empty."""
+    base = df.withColumn("_text", F.coalesce(F.col(f"`{text}`"), F.lit(""))).withColumn("_words", words(F.col("_text")))
+    t, ws, lines = F.col("_text"), F.col("_words"), F.split("_text", "\n")
     n, chars = F.greatest(F.size(ws), F.lit(1)), F.length(t)
     counted = lambda signs: chars - F.length(F.translate(t, signs, ""))
     upper = F.length(F.regexp_replace(t, r"\P{Lu}+", ""))
@@ -43,7 +43,8 @@ def measures(text) -> dict[str, object]:
         "lines": (BINS * F.size(F.array_distinct(lines)), F.greatest(F.size(lines), F.lit(1))),
         "length": (chars, n),
     }
-    return {k: F.least(F.floor(a / b), F.lit(BINS - 1)).cast("int") for k, (a, b) in ratios.items()}
+    bins = {f"_{k}": F.least(F.floor(a / b), F.lit(BINS - 1)).cast("int") for k, (a, b) in ratios.items()}
+    return base.withColumns(bins).drop("_text", "_words")
 
 
 MEASURES = ("signs", "again", "stops", "upper", "distinct", "lines", "length")
@@ -67,16 +68,16 @@ class Model:
     path_strength: float
     sites: DataFrame
 
-    def evidence(self, bins: dict[str, object]):
+    def evidence(self):
         total = F.lit(0.0)
         for m in MEASURES:
-            total = total + F.element_at(F.array(*[F.lit(r) for r in self.ratios[m]]), bins[m] + 1)
+            total = total + F.element_at(F.array(*[F.lit(r) for r in self.ratios[m]]), F.col(f"_{m}") + 1)
         return total
 
 
 def _ratios(binned: DataFrame) -> tuple[dict[str, list[float]], float]:
     """Log ratios good to bad of each bin, and the share of good rows, from rows with a label."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("bin")) for m in MEASURES]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(f"_{m}").alias("bin")) for m in MEASURES]))
     counts = binned.where("label is not null").select(pairs.alias("x"), "label").groupBy("x.m", "x.bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good"))
     table = {(r.m, r.bin): (r.good, r.n - r.good) for r in counts.collect()}  # measures x bins rows
     good, bad = (sum(v[i] for (m, _), v in table.items() if m == MEASURES[0]) for i in (0, 1))
@@ -103,19 +104,18 @@ def _strength(groups: DataFrame, parent: str) -> float:
     return min(STRONGEST, max(WEAKEST, within / max(between, 1e-9) - 1))
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang", label: str = "quality") -> Model:
-    """Learn from all labelled rows and judge sites over all rows.
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", host: str = "source", path: str = "lang", label: str = "quality") -> Model:
+    """Learn from all labelled rows and judge sites over all rows of a measured table (see measure).
 
     Several labels of an id count as their least; labels other than 0 and 1 as none. Null hosts and paths are sites like
     any other. Without labels every ratio is zero and the share one half.
     """
     given = labels.select(F.col(id_col).alias("_id"), F.col(label).alias("label")).where("label in (0, 1)").groupBy("_id").agg(F.min("label").alias("label"))
-    bins = {k: v.alias(k) for k, v in measures(F.col(text)).items()}
-    rows = df.select(F.col(id_col).alias("_id"), F.col(host).alias("host"), F.col(path).alias("path"), *bins.values())
+    rows = df.select(F.col(id_col).alias("_id"), F.col(host).alias("host"), F.col(path).alias("path"), *[f"_{m}" for m in MEASURES])
     binned = written(rows.join(given, "_id", "left"))
     ratios, share = _ratios(binned)
     model = Model(ratios, share, WEAKEST, WEAKEST, None)
-    belief = F.coalesce(F.col("label").cast("double"), _inverse(_logit(F.lit(share)) + model.evidence({m: F.col(m) for m in MEASURES})))
+    belief = F.coalesce(F.col("label").cast("double"), _inverse(_logit(F.lit(share)) + model.evidence()))
     paths = written(binned.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum(belief).alias("good")))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     all_n, all_good = hosts.agg(F.sum("n"), F.sum("good")).first()
@@ -129,8 +129,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "t
     return model
 
 
-def score(df: DataFrame, model: Model, text: str = "text", host: str = "source", path: str = "lang") -> DataFrame:
-    """df with ``host_share, path_share, evidence, p_good`` and ``keep`` (p_good at least one half).
+def score(df: DataFrame, model: Model, host: str = "source", path: str = "lang") -> DataFrame:
+    """A measured table with ``host_share, path_share, evidence, p_good`` and ``keep`` (p_good at least one half), less its bins.
 
     Sites that were not seen take the global share. A null text is empty. Input columns named like a result are replaced;
     repeated rows stay; an empty table gives an empty table.
@@ -140,8 +140,9 @@ def score(df: DataFrame, model: Model, text: str = "text", host: str = "source",
     if sites.count() <= BROADCAST_SITES:
         sites = F.broadcast(sites)
     on = F.col(f"`{host}`").eqNullSafe(F.col("_host")) & F.col(f"`{path}`").eqNullSafe(F.col("_path"))
-    joined = kept.join(sites, on, "left").withColumn("evidence", model.evidence(measures(F.col(f"`{text}`"))))
+    joined = kept.join(sites, on, "left").withColumn("evidence", model.evidence())
     share = lambda c: F.coalesce(c, F.lit(model.share)).alias(c)
-    out = joined.select(*[F.col(f"`{c}`") for c in kept.columns], share("host_share"), share("path_share"), "evidence")
+    names = [c for c in kept.columns if c not in {f"_{m}" for m in MEASURES}]
+    out = joined.select(*[F.col(f"`{c}`") for c in names], share("host_share"), share("path_share"), "evidence")
     bounded = F.least(F.greatest("path_share", F.lit(1e-6)), F.lit(1 - 1e-6))
     return out.withColumn("p_good", _inverse(_logit(bounded) + F.col("evidence"))).withColumn("keep", F.col("p_good") >= 0.5)

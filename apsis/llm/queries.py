@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import ann, bpe, decontamination, quality, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
-from .common import table
+from .common import table, written
 
 #: Vocabulary of ops 5 and 10.
 VOCABULARY = "word_bpe_49k.json"
@@ -22,9 +22,8 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def op1_quality(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    done = quality.score(docs.select("doc_id", "text", "source", "lang"), model)
+    docs = written(quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).drop("text"))
+    done = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("host_share", "path_share", "evidence", "p_good")], "keep")
 
 

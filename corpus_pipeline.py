@@ -20,8 +20,9 @@ SHINGLE, RADIUS, MOST_BITS = 5, 8, 40
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior of being good is at least one half."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("keep").select(docs.columns)
+    measured = quality.measure(docs)
+    model = quality.fit(measured, table(spark, sf_dir, "labels"))
+    return quality.score(measured, model).where("keep").select(docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -285,6 +285,7 @@ def test_decontamination_awkward(awkward):
 def test_quality_separates(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    docs = quality.measure(docs)
     model = quality.fit(docs, labels.where("doc_id % 3 <> 0"))
     rows = quality.score(docs, model).join(labels, "doc_id").where("doc_id % 3 = 0").collect()
     assert np.mean([r.keep == (r.quality == 1) for r in rows]) > 0.95
@@ -295,13 +296,14 @@ def test_quality_shrinks_sparse_sites(spark):
     rows = [(i, good if i % 4 else bad, "big", "a") for i in range(400)] + [(1000, bad, "tiny", "a"), (1001, good, None, None)] + [(2000 + i, bad, "spam", "a") for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     labels = spark.createDataFrame([(r[0], int(r[1] == good)) for r in rows], "doc_id long, quality int")
-    sites = {r.host: r for r in quality.fit(df, labels).sites.collect()}
+    sites = {r.host: r for r in quality.fit(quality.measure(df), labels).sites.collect()}
     assert sites["spam"].path_share < sites["tiny"].path_share < sites["big"].path_share
     assert len(sites) == 4 and 0 < sites["tiny"].path_share and sites[None].path_share < 1
 
 
 def test_quality_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(2, 1), (2, 0), (5, None), (None, 1), (6, 7)], "doc_id long, quality int")
+    awkward, empty = quality.measure(awkward), quality.measure(empty)
     model = quality.fit(awkward, labels)
     done = quality.score(awkward, model)
     assert done.count() == awkward.count() and done.where("p_good is null").count() == 0
