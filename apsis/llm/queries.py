@@ -85,4 +85,42 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
-SQL: dict[str, str] = {}
+
+_OP9_SQL = r"""with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
+c as (select r, i, array_to_string(w[i:i + 34], ' ') as t from s),
+repeated as (select r, i from c where t in (select t from c group by t having count(*) > 1)),
+gone as (select r, list_sort(list_distinct(flatten(list(range(i, i + 35))))) as g from repeated group by r),
+k as (select doc_id, w, coalesce(g, []) as g from d left join gone using (r))
+select doc_id, len(w) as n_words, len(g) as n_removed,
+  sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda p: not list_contains(g, p)), lambda p: w[p]), ' ')) as kept_sha256 from k"""
+
+_OP1_SQL = rf"""with w as (select doc_id, source as host, lang as path, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as l,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+x as (select doc_id, host, path, greatest(len(ws), 1) as n, length(t) as chars, len(l) as lines,
+    length(t) - length(translate(t, '{quality.SIGNS}', '')) as signs, length(t) - length(translate(t, '.,', '')) as stops, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) as uppers,
+    len(list_distinct(ws)) as distinct_words, len(list_distinct(l)) as distinct_lines, len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) as again from w),
+b as (select doc_id, host, path, label, unnest([
+    {{'m': 'signs', 'bin': least(floor((10 * signs + n - 1) / n), 19)}}, {{'m': 'again', 'bin': least(floor(20 * again / n), 19)}}, {{'m': 'stops', 'bin': least(floor(20 * stops / n), 19)}},
+    {{'m': 'upper', 'bin': least(floor(20 * uppers / greatest(chars, 1)), 19)}}, {{'m': 'distinct', 'bin': least(floor(20 * distinct_words / n), 19)}},
+    {{'m': 'lines', 'bin': least(floor(20 * distinct_lines / greatest(lines, 1)), 19)}}, {{'m': 'length', 'bin': least(floor(chars / n), 19)}}], recursive := true)
+  from x left join (select doc_id, min(quality) as label from labels where quality in (0, 1) group by 1) using (doc_id)),
+g as (select count(*) filter (label = 1) as good, count(*) filter (label = 0) as bad from b where m = 'signs'),
+c as (select m, bin, count(*) filter (label = 1) as good, count(*) filter (label = 0) as bad from b group by 1, 2),
+r as (select m, bin, ln((c.good + 1.0) / (g.good + 20.0)) - ln((c.bad + 1.0) / (g.bad + 20.0)) as ratio from c, g),
+e as (select doc_id, host, path, any_value(label) as label, sum(ratio) as evidence from b join r using (m, bin) group by 1, 2, 3),
+p as (select e.*, coalesce(label::double, 1 / (1 + exp(-(ln(s / (1 - s)) + evidence)))) as belief from e, (select (good + 1.0) / (good + bad + 2.0) as s from g)),
+ps as (select host, path, count(*) as n, sum(belief) as good from p group by 1, 2), hs as (select host, sum(n) as n, sum(good) as good from ps group by 1),
+a as (select (sum(good) + 1) / (sum(n) + 2) as share, sum(n) as n, count(*) as groups from hs),
+hk as (select least(1e6, greatest(1.0, (share * (1 - share)) / greatest(sum(hs.n * power(hs.good / hs.n - share, 2)) / any_value(a.n) - share * (1 - share) * any_value(groups) / any_value(a.n), 1e-9) - 1)) as k from hs, a group by share),
+h as (select host, (good + k * share) / (hs.n + k) as host_share from hs, hk, a),
+j as (select ps.*, host_share from ps join h on ps.host is not distinct from h.host),
+v as (select sum(n) as n, count(*) as groups, sum(n * power(good / n - host_share, 2)) as spread, sum(n * host_share * (1 - host_share)) as chance from j),
+pk as (select least(1e6, greatest(1.0, (chance / n) / greatest(spread / n - chance / n * groups / n, 1e-9) - 1)) as k from v),
+q as (select host, path, host_share, (good + k * host_share) / (n + k) as path_share from j, pk),
+f as (select doc_id, host_share, path_share, evidence, 1 / (1 + exp(-(ln(greatest(least(path_share, 1 - 1e-6), 1e-6) / (1 - greatest(least(path_share, 1 - 1e-6), 1e-6))) + evidence))) as p_good
+  from e join q on e.host is not distinct from q.host and e.path is not distinct from q.path)
+select doc_id, round(host_share, 6) as host_share, round(path_share, 6) as path_share, round(evidence, 6) as evidence, round(p_good, 6) as p_good, p_good >= 0.5 as keep from f"""
+
+#: Plain SQL for the same rows; the other operators need hashes, models or libraries that SQL lacks, and have tests instead.
+SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL}
