@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from .common import without, written
 
 BAD = "label=bad"
-#: Labelled urls that a combination needs, and the share of them that must be bad.
-SUPPORT, CONFIDENCE = 25, 0.6
+#: Labelled urls that a combination needs, in rows and as a share of all, and the share of them that must be bad. The share
+#: bounds the frequent tokens, which FP-growth keeps on the driver, whatever the number of rows.
+SUPPORT, SHARE, CONFIDENCE = 25, 1e-4, 0.6
 #: Rules up to which their index is broadcast (tens of bytes each).
 BROADCAST_RULES = 50_000
 
@@ -66,10 +67,10 @@ def mine(labelled: DataFrame, support: int = SUPPORT, confidence: float = CONFID
     n = baskets.count()
     if n < support:
         return spark.createDataFrame([], "tokens array<string>, key string, confidence double, support long")
-    model = FPGrowth(itemsCol="items", minSupport=support * confidence / n, minConfidence=confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=max(support / n, SHARE) * confidence, minConfidence=confidence).fit(baskets)
     sets = written(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("bad"))
-    rules = bad.join(sets.withColumnRenamed("items", "tokens"), "tokens").where(F.col("freq") >= support)
+    rules = bad.join(sets.withColumnRenamed("items", "tokens"), "tokens").where(F.col("freq") >= max(support, SHARE * n))
     rules = rules.select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"), F.col("freq").alias("support")).where(F.col("confidence") >= confidence)
     # A rule that is no better than it is without one of its tokens says nothing new.
     parts = rules.withColumn("part", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x)))).select("tokens", "confidence", "part")
