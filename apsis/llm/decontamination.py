@@ -41,12 +41,12 @@ def marked(text):
     t = F.lower(F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{N},)] \p{Lu})\p{Ll}+", f"{NAME}$0"))
     t = F.regexp_replace(t, rf"\d(?<![\p{{L}}\p{{N}}{NAME}]\d)\d*(?:[.,]\d+)*", f"{NUMBER}$0")
     t = F.regexp_replace(t, rf"({NUMBER}{_NUMBER}) ?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", rf"$1 {UNIT}$2")
-    return F.regexp_replace(t, r"[\p{P}\p{S}]+", "")
+    return F.trim(F.regexp_replace(t, r"[\p{P}\p{S}]+", ""), F.lit(" \t\n\x0b\f\r"))
 
 
 def windows(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
     """``key, at, h, slots``: each window of template words, its place, hash, and slot values (null where a text has none)."""
-    split = lambda t: F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    split = lambda t: F.split(t, r"\s+")
     base = df.select(key, marked(F.col(f"`{text}`")).alias("_marked"))
     base = base.select(
         key,
