@@ -82,7 +82,7 @@ def parse(lines: DataFrame, feed: Feed, value: str = "value", ordinal: str = "or
     if feed.header:
         first = rows.orderBy(ordinal).limit(feed.header).agg(F.max(ordinal)).first()[0]
         rows = rows.where(F.col(ordinal) > F.lit(-1 if first is None else first))
-    p = F.transform(F.split(text, feed.separator), F.trim)
+    p = F.transform(F.split(text, feed.separator), lambda x: F.trim(x))
     count = F.size(p) == feed.tokens if feed.exact else F.size(p) >= feed.tokens
     parsed = rows.where(count).select(ordinal, *[make(p).alias(name) for name, make in feed.fields.items()])
     return parsed.where(all_of([F.col(c).isNotNull() for c in feed.fields])).where(feed.keep())

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from apsis.config import ACTIVE, DECAYED, Freshness
 from apsis.functions import orbit, scalar, sgp4
@@ -130,7 +131,7 @@ def raw_records(spark):
     odd = [{"INCLINATION": " 999.9999"}, {"OBJECT_NAME": "TBA - TO BE ASSIGNED"}, {"OBJECT_NAME": None}, {"ECCENTRICITY": "0.25"}, {"BSTAR": "-0.001"}, {"EPOCH": "not-a-date"}]
     rows += [good | {"EPOCH": f"2024-01-{i + 1:02d}T06:00:00"} | o for i, o in enumerate(odd)]
     rows += [good | {"EPOCH": "2024-01-20T06:00:00", "BSTAR": b} for b in ("", "abc", "0.002")]
-    return spark.createDataFrame([tuple(r[c] for c in tables.RAW.names) + (i,) for i, r in enumerate(rows)], tables.RAW.add("_ordinal", "long"))
+    return spark.createDataFrame([tuple(r[c] for c in tables.RAW.names) + (i,) for i, r in enumerate(rows)], T.StructType([*tables.RAW.fields, T.StructField("_ordinal", T.LongType())]))
 
 
 def test_history_from_raw_to_features(spark):
