@@ -103,8 +103,9 @@ def _beyond(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.nda
     return more
 
 
-def close_pairs(x: np.ndarray, y: np.ndarray, radius: int, rows: int = 128):
-    """Pairs (i, j) of x and y at most radius bits apart, in blocks of some rows of x."""
+def close_pairs(x: np.ndarray, y: np.ndarray, radius: int, pairs: int = 262_144):
+    """Pairs (i, j) of x and y at most radius bits apart, in blocks of rows of x that make about so many pairs at most."""
+    rows = max(1, pairs // max(1, len(y)))
     planes, width = _planes(y), -(-len(y) // 64)
     valid = np.packbits(np.arange(width * 64) < len(y), bitorder="little").view("<u8")
     levels = radius.bit_length()
