@@ -26,7 +26,7 @@ FAST = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]*")
 #: The file's split pattern with letters and numbers spelt out for the range above, after lower-casing.
 FAST_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ɏ0-9²³¹¼½¾]+")
 #: Words remembered by a task before its memory is emptied.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 200_000
 END = "\x01"
 SUFFIX = "</w>"
 
