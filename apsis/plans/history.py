@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..config import CRITICAL, NUMERIC, Role
 from ..functions import orbit
-from ..functions.scalar import timestamp, whole
+from ..functions.scalar import timestamp
 from ..functions.sgp4 import state_vector
 from ..operators.asof import asof_backward, time_grid
 from ..operators.segments import gap_over, gate_segments, rise_over, split_at_breaks
 from ..operators.validate import clean_numbers, lower_names
-from ..operators.windows import keep_one, key_maximum, lag_diff, rate_per_day, ordered
+from ..operators.windows import keep_one, key_maximum, lag_diff, rate_per_day
 
 #: Elements that are copied as reference elements of propagated rows.
 ELEMENTS = (*CRITICAL, "bstar", "mean_motion_dot", "mean_motion_ddot", "semimajor_axis")
@@ -75,7 +75,6 @@ def regularise(df: DataFrame, role: Role) -> DataFrame:
 
 def features(df: DataFrame, fractional_days: bool = False) -> DataFrame:
     """Physics, cycles, solar time, time to decay and motion; columns whose inputs are missing are left out."""
-    w = ordered(["segment_id"], [TIME])
     df = df.withColumns({"log_bstar": orbit.log_size("bstar"), "perigee_alt_km": orbit.perigee_altitude("semimajor_axis", "eccentricity")})
     df = rate_per_day(df, "mean_motion", TIME, ["segment_id"], [TIME], "calc_mean_motion_dot", whole_days=not fractional_days)
     for c, short in (("ra_of_asc_node", "raan"), ("arg_of_pericenter", "arg_per"), ("mean_anomaly", "mean_anomaly")):
@@ -98,6 +97,3 @@ def long_enough(df: DataFrame, launch: str, decay: str, days: int, today=None) -
     """Objects in orbit for at least so many days, until today if they have not decayed."""
     end = F.coalesce(F.to_date(decay), F.current_date() if today is None else F.lit(today).cast("date"))
     return df.where(F.date_diff(end, F.to_date(launch)) >= days)
-
-
-__all__ = ["clean", "features", "largest_jump", "long_enough", "regularise", "segment", "whole"]
