@@ -11,7 +11,6 @@ import math
 import unicodedata
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -120,7 +119,7 @@ def learn_lexicon(df: DataFrame, text: str = "text", label: str = "label") -> Le
     counts = rows.mapInPandas(count, "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     weight = F.ln((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) - F.ln((F.col("clean") + 0.5) / F.lit(clean + 1.0))
     best = counts.where(F.col("toxic") >= SUPPORT).select("entry", "toxic", weight.alias("weight")).where(F.col("weight") >= LEAST_WEIGHT)
-    # An entry says nothing beyond a shorter one that is as telling; the driver holds ENTRIES rows at most.
+    # The most telling ones by weight and support; the driver holds ENTRIES rows at most.
     top = best.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "entry").limit(ENTRIES).collect()
     return Lexicon({r.entry: float(r.weight) for r in top})
 
