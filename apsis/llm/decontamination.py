@@ -56,7 +56,7 @@ def windows(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
     is_mark = lambda w: w.substr(1, 1).isin(*MARKS)
     of = lambda i: F.struct(
         i.alias("at"),
-        F.xxhash64(F.slice("_words", i, window)).alias("h"),
+        F.xxhash64(*[F.get("_words", i + (k - 1)) for k in range(window)]).alias("h"),
         F.when(F.col("_values").isNotNull(), F.filter(F.slice("_values", i, window), is_mark)).alias("slots"),
     )
     starts = F.when(F.size("_words") >= window, F.sequence(F.lit(1), F.size("_words") - (window - 1)))
