@@ -5,6 +5,9 @@ blocks that the pigeonhole principle allows, so each combination deals them into
 bucket the fingerprints lie as 64 vertical bit planes; one pass of carry-save adders counts the differing bits of 64
 pairs per machine word, and words in which every pair is beyond the radius are given up early. A bucket over
 ``CHUNK`` classes is cut into chunks whose pairs are compared separately; a bucket yields a forest, never all its pairs.
+
+Where a least Jaccard similarity is asked for, these links are candidates only. What they connect holds every class that
+they could link, so the shingles of each such component are compared exactly, and only true links enter the result.
 """
 
 from __future__ import annotations
@@ -26,22 +29,30 @@ from .components import components
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Classes that a bucket should hold, and those beyond which it is cut.
 BUCKET, CHUNK = 2048, 8192
+#: Shingles of a component's classes beyond which it is cut for the exact comparison.
+CHUNK_SHINGLES = 1 << 20
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def _fingerprints(text: str | None, shingle: int, n: int) -> tuple[int, ...]:
-    """n fingerprints of a text; the first is plain SimHash, the others mix each shingle's hash with their number."""
+def _hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of a text's shingles in order; a text of fewer words is one shingle, without words it has none."""
     ws = text.encode().lower().split() if text else []  # bytes.lower() folds A-Z alone
     if not ws:
-        return (0,) * n
+        return np.empty(0, np.uint64)
     count = max(1, len(ws) - shingle + 1)
     ends = np.cumsum([len(w) + 1 for w in ws])
     line = b" ".join(ws)
     first = [0, *ends[: count - 1].tolist()]
     last = (ends[len(ws) - count :] - 1).tolist()
     xx = xxhash.xxh64_intdigest
-    h = np.fromiter((xx(line[p:q], SEED) for p, q in zip(first, last)), np.uint64, count)
-    out = []
+    return np.fromiter((xx(line[p:q], SEED) for p, q in zip(first, last)), np.uint64, count)
+
+
+def _bits(h: np.ndarray, n: int) -> tuple[int, ...]:
+    """n fingerprints of hashes; the first is plain SimHash, the others mix each hash with their number."""
+    count, out = len(h), []
+    if not count:
+        return (0,) * n
     for i in range(n):
         if i:
             h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * i)
@@ -53,26 +64,42 @@ def _fingerprints(text: str | None, shingle: int, n: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE, names: tuple[str, ...] = ("fp",)) -> DataFrame:
-    """df with one 64-bit fingerprint (long) per name. A text of fewer words is one shingle; without words it is zero."""
+def _fingerprints(text: str | None, shingle: int, n: int) -> tuple[int, ...]:
+    """n fingerprints of a text."""
+    return _bits(_hashes(text, shingle), n)
+
+
+def _set_fingerprints(text: str | None, shingle: int, n: int) -> tuple[int, ...]:
+    """n fingerprints of a text's distinct shingles, as Jaccard similarity counts them, and a hash of their set."""
+    h = np.unique(_hashes(text, shingle))
+    return *_bits(h, n), int.from_bytes(xxhash.xxh64_digest(h.tobytes(), SEED), "big", signed=True)
+
+
+def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE, names: tuple[str, ...] = ("fp",), set_hash: str | None = None) -> DataFrame:
+    """df with one 64-bit fingerprint (long) per name. A text of fewer words is one shingle; without words it is zero.
+
+    With set_hash, fingerprints are of the distinct shingles, whose set's hash is that column.
+    """
+    made_of, n = (_set_fingerprints if set_hash else _fingerprints), len(names)
+    names = (*names, set_hash) if set_hash else names
     kept = without(df, *names)
     schema = T.StructType([*kept.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
 
     def run(batches):
         for batch in batches:
-            made = [_fingerprints(t.as_py(), shingle, len(names)) for t in batch.column(batch.schema.names.index(text))]
+            made = [made_of(t.as_py(), shingle, n) for t in batch.column(batch.schema.names.index(text))]
             columns = zip(*made) if made else [()] * len(names)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.int64()) for c in columns]], names=[*batch.schema.names, *names])
 
     return kept.mapInArrow(run, schema)
 
 
-def block_plan(n: int, radius: int) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+def block_plan(n: int, radius: int, bucket: int | None = None) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
     """Blocks of the 64 bits as (first bit, bits) and the combinations that must agree, for n classes.
 
-    With radius + r blocks at least r agree. r is the least whose combined bits bring buckets down to BUCKET.
+    With radius + r blocks at least r agree. r is the least whose combined bits bring buckets down to ``bucket`` (BUCKET).
     """
-    wanted = max(0, math.ceil(math.log2(max(1, n) / BUCKET)))
+    wanted = max(0, math.ceil(math.log2(max(1, n) / (bucket or BUCKET))))
     for r in range(1, 6):
         blocks = radius + r
         cuts = [64 * i // blocks for i in range(blocks + 1)]
@@ -165,12 +192,12 @@ def _forest(left: pd.DataFrame, right: pd.DataFrame, radius: int, checks: list[s
     return pd.DataFrame({"a": node[at], "b": node[root[at]]})
 
 
-def links(classes: DataFrame, radius: int = RADIUS, checks: tuple[str, ...] = (), most: int | None = None) -> DataFrame:
+def links(classes: DataFrame, radius: int = RADIUS, checks: tuple[str, ...] = (), most: int | None = None, bucket: int | None = None) -> DataFrame:
     """Links ``a, b`` between nodes of classes (``node``, distinct, and ``fp``) that connect all within radius.
 
     With checks, further fingerprints of the same texts, a link needs at most ``most`` differing bits over all of them.
     """
-    blocks, combos = block_plan(classes.count(), radius)
+    blocks, combos = block_plan(classes.count(), radius, bucket)
     keys = []
     for t, combo in enumerate(combos):
         bucket = F.lit(0).cast("long")
@@ -195,26 +222,97 @@ def links(classes: DataFrame, radius: int = RADIUS, checks: tuple[str, ...] = ()
     return chunked.groupBy("t", "bucket", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}")
 
 
+def _similar(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Members and the first member of their component, for all members but the first, over pairs of at least that Jaccard similarity.
+
+    A member is compared with those that no component has taken yet, so a group of copies costs one comparison each.
+    """
+    sizes = np.array([len(s) for s in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    marks = np.zeros(codes.max(initial=-1) + 1, bool)
+    ends = np.cumsum(sizes)
+    own = [codes[e - n : e] for e, n in zip(ends, sizes)]
+    left, flat, stops = np.arange(len(sets)), codes, ends  # members not taken, when last gathered
+    free, root = np.ones(len(sets), bool), np.arange(len(sets))
+    for seed in range(len(sets)):
+        if not free[seed]:
+            continue
+        free[seed], queue = False, [seed]
+        while queue and free.any():
+            i = queue.pop()
+            if 2 * free.sum() <= len(left):
+                left = np.flatnonzero(free)
+                flat, stops = np.concatenate([own[k] for k in left]), np.cumsum(sizes[left])
+            marks[own[i]] = True
+            both = np.diff(np.concatenate([[0], np.cumsum(marks[flat])])[np.concatenate([[0], stops])])
+            marks[own[i]] = False
+            near = left[free[left] & (both > 0) & (both / np.maximum(sizes[i] + sizes[left] - both, 1) >= least)]
+            free[near], root[near] = False, seed
+            queue.extend(near.tolist())
+    at = np.flatnonzero(root != np.arange(len(sets)))
+    return at, root[at]
+
+
+def verified(members: DataFrame, least: float, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """Links ``a, b`` that connect all members (``node``, ``root``, and their text) of one root whose shingles are that similar.
+
+    Small roots are compared many to a task; one with more than CHUNK_SHINGLES is cut into chunks whose pairs are compared.
+    """
+    kind = members.schema["node"].dataType.simpleString()
+
+    def hashed(batches):
+        for b in batches:
+            sets = [np.unique(_hashes(t.as_py(), shingle)).view(np.int64) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("root"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "root", "size", "shingles"])
+
+    rows = written(members.select("node", "root", F.col(f"`{text}`").alias("text")).mapInArrow(hashed, f"node {kind}, root {kind}, size long, shingles array<long>"))
+    chunks = F.greatest(F.ceil(F.sum("size") / CHUNK_SHINGLES), F.lit(1).cast("long"))
+    large = written(rows.groupBy("root").agg(chunks.alias("chunks")).where("chunks > 1"))
+    batches = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // CHUNK_SHINGLES))
+    dealt = rows.join(large, "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    # Roots that share a batch are told apart inside it.
+    batch = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("root"), F.lit(batches))).otherwise(F.xxhash64("root"))
+    dealt = dealt.select("node", "root", "shingles", batch.alias("batch"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(pdf):
+        out = [pd.DataFrame({"a": pdf["node"].iloc[:0], "b": pdf["node"].iloc[:0]})]
+        nodes, sets = pdf["node"].to_numpy(), pdf["shingles"].to_numpy()
+        for at in pdf.groupby("root").indices.values():
+            a, b = _similar([np.asarray(sets[k], np.int64) for k in at], least)
+            out.append(pd.DataFrame({"a": nodes[at[a]], "b": nodes[at[b]]}))
+        return pd.concat(out)
+
+    return dealt.groupBy("batch", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
-    fps: tuple[str, ...] = ("fp",), most: int | None = None, component: str = "component_id",
+    fps: tuple[str, ...] = ("fp",), most: int | None = None, component: str = "component_id", least: float | None = None, bucket: int | None = None,
 ) -> DataFrame:
     """df less its text, with fingerprints and the smallest id reachable over links, its own included.
 
     With several fingerprints, texts link if any of them is within radius and all together differ in at most ``most`` bits.
+    With ``least``, such links are candidates and texts link if the Jaccard similarity of their shingles is at least that;
+    texts of equal shingles are one class, and ids must be distinct and not null.
     Null ids link like others but are never the smallest; a component of null ids only has a null one. Null and empty
     texts have fingerprint zero and link like any other. Repeated rows stay. Input columns named like a result are
     replaced. An empty table gives an empty table.
     """
-    marked = written(fingerprints(without(df, component), text, shingle, fps).drop(text))
-    node = F.col(fps[0]) if len(fps) == 1 else F.concat(*[F.lpad(F.hex(f), 16, "0") for f in fps[:2]])
-    classes = written(marked.groupBy(*fps).agg(F.min(id_col).alias("least_id")).withColumn("node", node))
+    alike = "_set" if least is not None else None
+    marked = written(fingerprints(without(df, component), text, shingle, fps, alike).drop(text))
+    parts = [*fps, alike] if alike else list(fps)
+    node = F.col(parts[-1]) if alike or len(fps) == 1 else F.concat(*[F.lpad(F.hex(f), 16, "0") for f in fps[:2]])
+    classes = written(marked.groupBy(*parts).agg(F.min(id_col).alias("least_id")).withColumn("node", node))
     found = None
     for f in fps:
         checks = tuple(c for c in fps if c != f)
-        part = links(classes.select("node", F.col(f).alias("fp"), *checks), radius, checks, most)
+        part = links(classes.select("node", F.col(f).alias("fp"), *checks), radius, checks, most, bucket)
         found = part if found is None else found.union(part)
     roots = components(found)
+    if alike:
+        members = classes.join(roots, "node").select("node", "root", F.col("least_id").alias(id_col))
+        roots = components(verified(df.select(id_col, text).join(members, id_col), least, text, shingle))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias(component))
-    return marked.join(rooted.join(least, "root").select(*fps, component), list(fps)).select(*marked.columns, component)
+    first = rooted.groupBy("root").agg(F.min("least_id").alias(component))
+    return marked.join(rooted.join(first, "root").select(*parts, component), parts).select(*[c for c in marked.columns if c != alike], component)

@@ -53,6 +53,53 @@ def test_near_duplicate_stage(stages):
     assert {r.doc_id for r in rows(stages[2])} == {docs[i].doc_id for i in set(found)}
 
 
+def shingles(text):
+    ws = text.lower().split()
+    return {tuple(ws[i : i + pipeline.SHINGLE]) for i in range(max(1, len(ws) - pipeline.SHINGLE + 1))}
+
+
+def jaccard(a, b):
+    return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+
+def test_near_duplicate_stage_is_exact(stages):
+    """The stage against the Jaccard similarity of all pairs, not against fingerprints."""
+    docs = rows(stages[1])
+    found = classes([shingles(r.text or "") for r in docs], lambda a, b: len(a & b) >= pipeline.SIMILAR * len(a | b))
+    assert {r.doc_id for r in rows(stages[2])} == {docs[i].doc_id for i in set(found)}
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 3000])
+def test_near_duplicates_at_exact_similarity(spark, sf, monkeypatch, chunk):
+    """Pairs made over 0.6 to 1.0, and a chain whose ends are apart: links at 0.8 and above, none below."""
+    monkeypatch.setattr(simhash, "CHUNK_SHINGLES", chunk)
+    rng = np.random.default_rng(5)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    pairs = []
+    for k in range(800):
+        a = new(int(rng.integers(64, 600)))
+        share = 0.6 + 0.4 * k / 800
+        b = list(a)
+        b[int(len(a) * 2 * share / (1 + share)) :] = []
+        b += new(len(a) - len(b))
+        pairs.append((" ".join(a), " ".join(b)))
+    base = new(400)
+    chain = [" ".join(base[30 * i : 30 * i + 300]) for i in range(4)]  # neighbours at about 0.82
+    loose = [" ".join([*"the same words again and again ".split() * 300, *new(n)]) for n in (40, 40)]  # repeats make them close in bits only
+    texts = [t for p in pairs for t in p] + chain + loose + ["", "", "one two", "one two"]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in pipeline.without_near_duplicates(spark, written(docs.coalesce(1)), sf).collect()}
+    values = [jaccard(a, b) for a, b in pairs]
+    linked = [2 * i + 1 not in kept or 2 * i not in kept for i in range(len(pairs))]
+    bands = {lo: [x for v, x in zip(values, linked) if lo <= v < lo + 0.05] for lo in (0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)}
+    print({lo: (sum(x), len(x)) for lo, x in bands.items()})
+    assert not any(x for v, x in zip(values, linked) if v < 0.8)
+    assert all(sum(x) >= 0.97 * len(x) for lo, x in bands.items() if lo >= 0.8)
+    n = 2 * len(pairs)
+    assert len({n, n + 1, n + 2, n + 3} & kept) == 1 and {n + 4, n + 5} <= kept
+    assert len({n + 6, n + 7} & kept) == 1 and len({n + 8, n + 9} & kept) == 1
+
+
 def test_substring_stage(stages):
     docs = rows(stages[2])
     want = {r.doc_id: t for r, (_, gone, t) in zip(docs, repeats([r.text for r in docs], 35))}
