@@ -1,14 +1,15 @@
 """Benchmark decontamination by templates: numbers, their units and names become typed slots, windows of templates are
 hash-joined, and the slots of matching windows must map benchmark values to document values one to one.
 
-So a passage is found verbatim and with other numbers or names, but not where the slots are filled at random. Only
+So a passage is found verbatim and with other numbers or names, but not where the slots are filled at random. Copies of
+one item in a document are told apart by where their windows lie, so each may have a mapping of its own. Only
 DataFrame functions are used. Windows of documents are made inside the scan's stage; the benchmark's windows are broadcast
 if their measured size allows and joined by shuffle otherwise, so nothing else of the corpus moves than what matched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -21,6 +22,9 @@ LITERALS = 2
 #: Benchmark windows up to which they are broadcast (about 60 bytes each).
 BROADCAST_WINDOWS = 200_000
 
+#: Place of an occurrence that is the whole document, for a copy whose parts lie farther apart than an item's places allow.
+ANYWHERE = -(2**62)
+
 # Marks of slots, from the private-use area: a name, a number, a unit.
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
 MARKS = NAME + NUMBER + UNIT
@@ -64,33 +68,51 @@ def windows(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
     return rows.where(F.col("slots").isNull() | (F.size("slots") <= window - LITERALS))
 
 
+def places(shift, span):
+    """Places that a window of an item (of ``span`` words) counts for, by how far its place in the document is shifted.
+
+    Two grids of half an item's words lie half a step apart, so shifts that differ by up to a quarter of the item share a
+    cell, and whole or half copies one after the other never do; the document as a whole is one place more.
+    """
+    step = F.greatest(F.floor(span / 2), F.lit(1))
+    half = F.floor(step / 2)
+    return 2 * F.floor(shift / step), 2 * F.floor((shift + half) / step) + 1, F.lit(ANYWHERE).cast("long")
+
+
 def contaminated(
     df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     window: int = WINDOW, coverage: float = COVERAGE,
 ) -> DataFrame:
     """``id_col, item, coverage``: documents that hold at least that share of an item's windows with consistent slots.
 
+    Slots are consistent within one occurrence of the item, and the occurrence of the largest coverage counts.
     Texts and items of fewer words than a window, null and empty ones hold none. Repeated rows of an id count once; a null
     id or item is like any other. Other columns play no part; an empty table on either side gives no rows.
     """
-    items = written(windows(benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("_text")), "item", "_text", window))
+    items = windows(benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("_text")), "item", "_text", window)
+    items = written(items.withColumn("span", F.max("at").over(Window.partitionBy("item")) + (window - 1)))
     totals = items.groupBy("item").agg(F.count_distinct("at").alias("windows"))
     small = items.count() <= BROADCAST_WINDOWS
-    side = items.select("item", F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"))
+    side = items.select("item", F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "span")
     docs = windows(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("_text")), "id", "_text", window)
-    hits = written(docs.join(F.broadcast(side) if small else side.hint("shuffle_hash"), "h").select("id", "item", "at", "item_at", "slots", "item_slots"))
-    # Each benchmark value's commonest document value within a pair, and the other way round: what both agree on is the mapping.
-    pairs = hits.where("size(slots) > 0").select("id", "item", F.explode(F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d"))).alias("p"))
-    counts = pairs.groupBy("id", "item", F.col("p.b").alias("b"), F.col("p.d").alias("d")).count()
-    best = lambda by, other: counts.groupBy("id", "item", by).agg(F.max_by(other, F.struct("count", other)).alias(other))
-    mapping = best("b", "d").join(best("d", "b"), ["id", "item", "b", "d"]).groupBy("id", "item").agg(F.collect_set(F.struct("b", "d")).alias("mapping"))
-    plain = hits.where("slots is null or size(slots) = 0").select("id", "item", "item_at")
+    met = docs.join(F.broadcast(side) if small else side.hint("shuffle_hash"), "h")
+    # Equal hits are counted before they are dealt to places: repeated passages make many of them.
+    first, second, anywhere = places(F.col("at") - F.col("item_at"), F.col("span"))
+    met = met.groupBy("id", "item", first.alias("first"), second.alias("second"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("n"))
+    hits = written(met.select("id", "item", F.explode(F.array("first", "second", anywhere)).alias("place"), "item_at", "slots", "item_slots", "n"))
+    # Each benchmark value's commonest document value within an occurrence, and the other way round: what both agree on is the mapping.
+    one = ["id", "item", "place"]
+    pairs = hits.where("size(slots) > 0").select(*one, F.explode(F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d"))).alias("p"), "n")
+    counts = pairs.groupBy(*one, F.col("p.b").alias("b"), F.col("p.d").alias("d")).agg(F.sum("n").alias("count"))
+    best = lambda by, other: counts.groupBy(*one, by).agg(F.max_by(other, F.struct("count", other)).alias(other))
+    mapping = best("b", "d").join(best("d", "b"), [*one, "b", "d"]).groupBy(*one).agg(F.collect_set(F.struct("b", "d")).alias("mapping"))
+    plain = hits.where("slots is null or size(slots) = 0").select(*one, "item_at")
     slotted = (
         hits.where("size(slots) > 0")
-        .join(mapping, ["id", "item"])
+        .join(mapping, one)
         .where(F.forall(F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")), lambda p: F.array_contains("mapping", p)))
-        .select("id", "item", "item_at")
+        .select(*one, "item_at")
     )
-    held = plain.union(slotted).distinct().groupBy("id", "item").agg(F.count(F.lit(1)).alias("held"))
+    held = plain.union(slotted).distinct().groupBy(*one).agg(F.count(F.lit(1)).alias("held")).groupBy("id", "item").agg(F.max("held").alias("held"))
     share = held.join(F.broadcast(totals) if small else totals, "item").withColumn("coverage", F.col("held") / F.col("windows"))
     return share.where(F.col("coverage") >= coverage).select(F.col("id").alias(id_col), F.col("item").alias(item), "coverage")

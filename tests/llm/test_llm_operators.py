@@ -273,6 +273,33 @@ def test_decontamination_slots(spark):
     assert decontamination.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_several_copies(spark):
+    """Copies of one item with other values each, alone, one after the other and in a long page, the verbatim one among them."""
+    problem = "So {} has {} red pens, then {} has {} blue pens, so {} gives {} pens and takes {} more, then {} sells {} pens to {} for {} euros."
+    rng = np.random.default_rng(3)
+    names = "Alice Bob Carol Dan Erik Fay Gus Hal".split()
+
+    def copy():
+        a, b = rng.choice(names, 2, replace=False)
+        n = [int(x) for x in rng.choice(np.arange(10, 1000), 6, replace=False)]
+        return problem.format(a, n[0], b, n[1], a, n[2], n[3], b, n[4], a, n[5])
+
+    item = problem.format("Zoe", 2, "Yan", 3, "Zoe", 4, 5, "Yan", 6, "Zoe", 7)
+    filler = " and so on it went for many more of the plain words" * 30
+    docs, want = {}, set()
+    for n in (1, 2, 5, 18):
+        for k, (glue, more) in enumerate([(" ", []), (filler + " ", []), (" ", [item]), (filler + " ", [item])]):
+            docs[10 * n + k] = glue.join([*(copy() for j in range(n)), *more])
+            want.add(10 * n + k)
+    halves = copy().split()
+    docs[901] = " ".join([*halves[:14], *"now a long remark of quite other things goes in between the two parts".split() * 4, *halves[14:]])  # one copy, torn apart
+    docs[902] = " ".join(re.sub(r"[a-z]\w+", lambda m: m[0][::-1], copy()) for j in range(5))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id for r in decontamination.contaminated(df, bench).collect()}
+    assert got - {901} == want, sorted(want ^ got)
+
+
 def test_decontamination_awkward(awkward):
     bench = awkward.select(F.col("doc_id").alias("item_id"), "text")
     got = decontamination.contaminated(awkward, bench).select("doc_id", "item_id").distinct().collect()
