@@ -39,6 +39,8 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown"
 
 def _folding() -> dict[int, str]:
     out = {c: " " for c in range(128) if not chr(c).isalnum()}
+    # Punctuation, signs and separators beyond ASCII; planes above the second hold none.
+    out |= {c: " " for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PSZ"}
     out |= {ord(c): None for c in WIDTHLESS}
     out |= {ord(a): b for a, b in (p for part in (HOMOGLYPHS, LEET) for p in part.split())}
     return out
@@ -48,7 +50,7 @@ _FOLD = _folding()
 
 
 def fold(text: str | None) -> str:
-    """Folded text, a blank before and after; what is no letter or digit of ASCII's range separates words."""
+    """Folded text, a blank before and after; punctuation, signs and separators part words."""
     text = (text or "").lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)

@@ -356,6 +356,14 @@ def test_toxicity_folding_and_exceptions():
     assert lexicon.measures(a, "trash " + "word " * 400)[1] < lexicon.measures(a, "trash")[1]
 
 
+def test_toxicity_typographic_signs():
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " lowei": 3.0})
+    a = lexicon.automaton()
+    hit = lambda t: lexicon.measures(a, t)[0]
+    assert [hit(t) for t in ("an “idiot”", "«idiot»", "idiot—you", "so–idiot…", "an\u3000idiot。", "¿idiot?", "‘1d10t’", "id\u00adiot’s")] == [5.0] * 8
+    assert hit("“loweient”") == 3.0 and hit("“idiotic”") == 0.0
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     rows = spark.createDataFrame([("you idiot", 1), ("fine day", 0), (None, 0), ("", 1), ("x", None)] * 10, "text string, label int")
     model = toxicity.fit(rows)
