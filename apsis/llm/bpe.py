@@ -16,15 +16,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .common import without
 
-#: Texts of these characters only take the fast path; all of them are composed, and their classes are listed below.
-FAST = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]*")
+#: Texts of these characters only take the fast path: composed ones whose lower case is one too; their classes are listed below.
+_PLAIN = set(map(chr, [9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250)]))
+FAST = re.compile("[" + "".join(re.escape(c) for c in sorted(_PLAIN) if _PLAIN.issuperset(c.lower())) + "]*")
 #: The file's split pattern with letters and numbers spelt out for the range above, after lower-casing.
 FAST_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ɏ0-9²³¹¼½¾]+")
+#: Bytes of text, or of ids, whose results are held at once.
+PART_BYTES = 8_000_000
 #: Words remembered by a task before its memory is emptied.
 MEMORY_WORDS = 200_000
 END = "\x01"
@@ -258,9 +262,8 @@ class Model:
         return self._plain(text)
 
     def _plain(self, text: str) -> list[str]:
-        if text.isascii() or FAST.fullmatch(text):
-            if FAST.fullmatch(text):
-                return FAST_SPLIT.findall(text.lower())
+        if FAST.fullmatch(text):
+            return FAST_SPLIT.findall(text.lower())
         library = self.library
         return [text_of(p) for p, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))]
 
@@ -302,6 +305,18 @@ class Vocabulary:
         return _models[self.key]
 
 
+def map_parts(batches, source: str):
+    """Batches cut so that a part holds PART_BYTES of a column, or one row that is longer."""
+    for batch in batches:
+        column = batch.column(batch.schema.names.index(source))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            size = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART_BYTES, "right")) - at
+            yield batch.slice(at, max(1, size))
+            at += max(1, size)
+
+
 def _adding(df: DataFrame, source: str, added: list[tuple[str, T.DataType]], work) -> DataFrame:
     """df with columns made from one of its columns, batch by batch."""
     kept = without(df, *[name for name, _ in added if name != source])
@@ -309,9 +324,8 @@ def _adding(df: DataFrame, source: str, added: list[tuple[str, T.DataType]], wor
     kinds = [pa.large_binary() if t == T.BinaryType() else pa.large_string() if t == T.StringType() else pa.int64() for _, t in added]
 
     def run(batches):
-        for batch in batches:
-            at = batch.schema.names.index(source)
-            made = work(batch.column(at))
+        for batch in map_parts(batches, source):
+            made = work(batch.column(batch.schema.names.index(source)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(m, k) for m, k in zip(made, kinds)]], names=[*batch.schema.names, *[n for n, _ in added]]
             )

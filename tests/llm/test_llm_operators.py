@@ -90,6 +90,27 @@ def test_bpe_random_words(library):
     assert failing  # the exact path is taken
 
 
+def test_bpe_every_character(library):
+    """Each code point up to U+FFFF, alone, doubled and inside a word: ids, count and decoded text of the library."""
+    model = bpe.Model(open(queries.vocabulary_path(), encoding="utf-8").read())
+    chars = [chr(c) for c in range(9, 0x10000) if not 0xD800 <= c < 0xE000]
+    texts = [t for c in chars for t in (c, c + c, f"a{c}b", f"{c}ala MÜ{c}LLİM")]
+    for text, want, packed in zip(texts, library.encode_batch(texts, add_special_tokens=False), model.encode(texts)):
+        assert np.frombuffer(packed, "<u4").tolist() == want.ids, repr(text)
+    some = texts[:: 97] + ["MÜƏLLİM Əhməd Ɓala"]
+    assert [model.decode(p) for p in model.encode(some)] == [library.decode(library.encode(t, add_special_tokens=False).ids, skip_special_tokens=False) for t in some]
+    counts = token_counts._piece_counts(model, sorted({w for t in texts for w in model.pre_tokens(t)}))
+    assert all(sum(counts[w] for w in model.pre_tokens(t)) == len(p) // 4 for t, p in zip(texts, model.encode(texts)))
+
+
+def test_bpe_batches_are_cut(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "PART_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"i": list(range(6)), "t": ["a" * 4, None, "b" * 6, "c" * 50, "", "d"]})
+    assert [p.column("i").to_pylist() for p in bpe.map_parts([batch, batch.slice(0, 0)], "t")] == [[0, 1, 2], [3], [4, 5]]
+
+
 def test_token_counts(spark, sf, awkward, empty, vocabulary, library):
     got = {r.doc_id: r for r in queries.op10_token_counts(spark, sf).collect()}
     for i, text in texts_of(spark.read.parquet(f"{sf}/documents.parquet")):
