@@ -35,7 +35,7 @@ def op3_urls(spark, sf_dir):
     """Labels of a page: those of the document of its id; bad is a low quality or a toxic one."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    mined = url_filter.mine(pages.join(labels, "page_id").select("url", "bad"))
+    mined = url_filter.mine(pages.join(labels.hint("merge"), "page_id").select("url", "bad"))
     return url_filter.judge(pages, mined).select("page_id", "host", "path", "rule", "verdict", "confidence")
 
 

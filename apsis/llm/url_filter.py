@@ -1,25 +1,31 @@
 """URL filters: a list of host and path rules, and association rules mined from labelled urls for all others.
 
-Labelled urls become baskets of tokens (host labels, path segments, query keys), with one item more where the label is
-bad. FP-growth mines token combinations; those that imply the bad item with enough support and confidence, and are better
-than every part of themselves, become rules. A rule is indexed by its rarest token, so a common token never gathers rules,
-and a url meets only the rules whose rarest token it holds.
+Labelled urls become baskets of tokens (host labels, path segments, query keys). FP-growth mines the token combinations of
+the bad ones; a join counts each over all baskets. Those whose odds of being bad exceed the table's by enough, and which
+are better than every part of themselves, become rules. A rule is indexed by its rarest token, so a common token never
+gathers rules, and a url meets only the rules whose rarest token it holds.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import without, written
 
-BAD = "label=bad"
-#: Labelled urls that a combination needs, in rows and as a share of all, and the share of them that must be bad. The share
-#: bounds the frequent tokens, which FP-growth keeps on the driver, whatever the number of rows.
-SUPPORT, SHARE, CONFIDENCE = 25, 1e-4, 0.6
+#: Labelled urls that a combination needs at any size of the table, and by how much its odds of being bad exceed those of
+#: all labelled urls.
+SUPPORT, ODDS = 25, 2.0
+#: Tokens of a mined combination at most.
+MOST_TOKENS = 4
 #: Rules up to which their index is broadcast (tens of bytes each).
 BROADCAST_RULES = 50_000
+#: Parts over which the rows of one url are spread.
+SALTS = 32
 
 #: (action, host, path): a rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -56,32 +62,70 @@ def tokens(url):
     return F.array_sort(F.array_distinct(F.filter(F.concat(labels, segments, keys), lambda x: F.length(x) > 2)))
 
 
-def mine(labelled: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """``tokens, key, confidence, support``: rules from ``url, bad`` (boolean; rows without label play no part).
+def _combinations(tokens_):
+    """All combinations of up to MOST_TOKENS of a sorted array's tokens."""
+    one = F.transform(tokens_, lambda x: F.array(x))
+    out, last = one, one
+    for _ in range(MOST_TOKENS - 1):
+        last = F.flatten(F.transform(last, lambda c: F.transform(F.filter(tokens_, lambda x: x > F.element_at(c, -1)), lambda x: F.concat(c, F.array(x)))))
+        out = F.concat(out, last)
+    return out
+
+
+def mine(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS) -> DataFrame:
+    """``tokens, key, confidence, support``: rules from ``url, bad`` (boolean; rows without label or tokens play no part).
 
-    No labelled rows, or too few bad ones, give no rules.
+    A rule needs ``support`` labelled urls and a share of bad ones (its confidence) whose odds are at least ``odds`` times
+    those of all, however many rows there are. Combinations have MOST_TOKENS tokens at most. No bad rows give no rules, and
+    neither do only bad ones, as nothing then tells more than the table. FP-growth keeps its frequent tokens on the driver:
+    those of bad urls that reach the support, so at most 1 / (support x confidence) of all tokens of bad urls.
     """
-    rows = labelled.where("bad is not null").select(tokens(F.col("url")).alias("tokens"), "bad")
-    baskets = written(rows.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")).where("size(items) > 0"))
     spark = labelled.sparkSession
-    n = baskets.count()
-    if n < support:
+    rows = written(labelled.where("bad is not null").select(tokens(F.col("url")).alias("tokens"), "bad").where("size(tokens) > 0"))
+    n, bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    if not bad or bad == n:
         return spark.createDataFrame([], "tokens array<string>, key string, confidence double, support long")
-    model = FPGrowth(itemsCol="items", minSupport=max(support / n, SHARE) * confidence, minConfidence=confidence).fit(baskets)
-    sets = written(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
-    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("bad"))
-    rules = bad.join(sets.withColumnRenamed("items", "tokens"), "tokens").where(F.col("freq") >= max(support, SHARE * n))
-    rules = rules.select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"), F.col("freq").alias("support")).where(F.col("confidence") >= confidence)
-    # A rule that is no better than it is without one of its tokens says nothing new.
-    parts = rules.withColumn("part", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x)))).select("tokens", "confidence", "part")
+    share = bad * odds / (bad * odds + n - bad)
+    # A rule of least support and confidence holds so many bad urls, and each of its tokens too.
+    least = math.ceil(round(support * share, 9))
+    single = written(rows.select(F.explode("tokens").alias("token"), "bad").groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.count_if("bad").alias("bad")).where(F.col("bad") >= least))
+    numbered = rows.where("bad").withColumn("_row", F.monotonically_increasing_id()).select("_row", F.explode("tokens").alias("token"))
+    side = single.select("token").hint("shuffle_hash")
+    baskets = written(numbered.join(side, "token").groupBy("_row").agg(F.array_sort(F.collect_list("token")).alias("items")).select("items"))
+    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / max(1, baskets.count()), minConfidence=1.0, numPartitions=_parts(spark)).fit(baskets).freqItemsets if baskets.head(1) else None
+    if sets is None:
+        return spark.createDataFrame([], "tokens array<string>, key string, confidence double, support long")
+    found = written(sets.where(F.size("items") <= MOST_TOKENS).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad")))
+    every = _support(rows, found, single)
+    rules = found.join(every, "tokens").where(F.col("freq") >= support).select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"), F.col("freq").alias("support"))
+    rules = written(rules.where(F.col("confidence") >= share))
+    # A rule that is no better than one of its parts says nothing new.
+    parts = rules.select("tokens", "confidence", F.explode(_combinations(F.col("tokens"))).alias("part")).where(F.size("part") < F.size("tokens"))
     better = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"))
     idle = parts.join(better, "part").where("part_confidence >= confidence").select("tokens").distinct()
     kept = rules.join(idle, "tokens", "left_anti")
-    single = sets.where("size(items) = 1").select(F.col("items")[0].alias("key"), F.col("freq").alias("key_freq"))
-    rarest = kept.select("*", F.explode("tokens").alias("key")).join(single, "key").groupBy("tokens", "confidence", "support").agg(F.min_by("key", F.struct("key_freq", "key")).alias("key"))
+    rarest = kept.select("*", F.explode("tokens").alias("token")).join(single.select("token", F.col("freq").alias("key_freq")), "token")
+    rarest = rarest.groupBy("tokens", "confidence", "support").agg(F.min_by("token", F.struct("key_freq", "token")).alias("key"))
     return rarest.select("tokens", "key", "confidence", "support")
 
 
+def _parts(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _support(rows: DataFrame, found: DataFrame, single: DataFrame) -> DataFrame:
+    """``tokens, freq``: how many baskets hold each found combination, by the inverted index of its rarest token.
+
+    Equal baskets are counted once; each meets the combinations whose rarest token it holds.
+    """
+    exploded = found.select("tokens", F.explode("tokens").alias("token"))
+    rarest = written(exploded.join(single.select("token", "freq"), "token").groupBy("tokens").agg(F.min_by("token", F.struct("freq", "token")).alias("key")))
+    rarest = F.broadcast(rarest) if rarest.count() <= BROADCAST_RULES else rarest
+    baskets = rows.groupBy("tokens").agg(F.count(F.lit(1)).alias("n")).select(F.col("tokens").alias("_basket"), "n")
+    met = baskets.select("_basket", "n", F.explode("_basket").alias("key")).join(rarest, "key").where(F.size(F.array_except("tokens", "_basket")) == 0)
+    return met.groupBy("tokens").agg(F.sum("n").alias("freq"))
+
+
 def judge(df: DataFrame, mined: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     """df with ``host, path, rule, verdict, confidence``: the longest listed rule decides, else a mined rule blocks, else allow.
 
@@ -94,12 +138,14 @@ def judge(df: DataFrame, mined: DataFrame, url: str = "url", rules=RULES) -> Dat
     index = mined.select("key", F.col("tokens").alias("_rule"), F.col("confidence").alias("_confidence"))
     if mined.count() <= BROADCAST_RULES:
         index = F.broadcast(index)
-    # Distinct urls meet the rules once, however often they occur.
+    # Distinct urls meet the rules once, however often they occur; the rows of one url are spread over SALTS parts.
     urls = kept.select(u.alias("_url")).where("_url is not null").distinct().withColumn("_tokens", tokens(F.col("_url")))
     hits = urls.withColumn("key", F.explode("_tokens")).join(index, "key").where(F.size(F.array_except("_rule", "_tokens")) == 0)
-    found = hits.groupBy("_url").agg(F.max("_confidence").alias("confidence"))
-    host, path = host_of(u), path_of(u)
-    judged = kept.join(found, u == F.col("_url"), "left").drop("_url").withColumn("host", host).withColumn("path", path)
+    found = hits.groupBy("_url").agg(F.max("_confidence").alias("confidence")).withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    plain = [F.col(f"`{f.name}`") for f in kept.schema if isinstance(f.dataType, T.AtomicType)]
+    salted = kept.withColumn("_part", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
+    joined = salted.join(found, (u == F.col("_url")) & (F.col("_part") == F.col("_salt")), "left").drop("_url", "_part", "_salt")
+    judged = joined.withColumn("host", host_of(u)).withColumn("path", path_of(u))
     judged = judged.withColumn("_listed", listed(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce("_listed.action", F.when(F.col("confidence").isNotNull(), "block").otherwise("allow"))
     return judged.select(*[F.col(f"`{c}`") for c in kept.columns], "host", "path", F.col("_listed.rule").alias("rule"), verdict.alias("verdict"), "confidence")

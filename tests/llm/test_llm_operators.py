@@ -1,6 +1,7 @@
 """The dealt operators against brute force, their libraries, or held-out labels, and on awkward rows."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -465,12 +466,62 @@ def test_urls(spark, sf):
     assert len(queries.op3_urls(spark, sf).collect()) == spark.read.parquet(f"{sf}/pages.parquet").count()
 
 
+def rules_by_hand(rows, support, odds):
+    """All token combinations of labelled urls, counted one by one."""
+    baskets = [(sorted(t), bad) for t, bad in rows if t and bad is not None]
+    n, bad = len(baskets), sum(b for _, b in baskets)
+    share = bad * odds / (bad * odds + n - bad)
+    freq, wrong = Counter(), Counter()
+    for t, b in baskets:
+        for k in range(1, url_filter.MOST_TOKENS + 1):
+            for c in itertools.combinations(t, k):
+                freq[c] += 1
+                wrong[c] += b
+    rules = {c: (wrong[c] / f, f) for c, f in freq.items() if f >= support and wrong[c] / f >= share}
+    return {c: r for c, r in rules.items() if not any(set(d) < set(c) and rules[d][0] >= r[0] for d in rules)}, freq
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+@pytest.mark.parametrize("times", [1, 20])
+def test_urls_mined_by_hand(spark, monkeypatch, broadcast, times):
+    """Rules and verdicts as by counting every combination, whatever the size of the table, by broadcast and by shuffle."""
+    monkeypatch.setattr(url_filter, "BROADCAST_RULES", broadcast)
+    rng = np.random.default_rng(4)
+    hosts, parts, keys = [f"h{i}.example.com" for i in range(12)], ["buy", "en", "de", "win", "7"], ["id", "ref", "page"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(parts)}/{rng.choice(parts)}?{rng.choice(keys)}={i}" for i in range(500)]
+    labels = [bool(rng.random() < (0.9 if "win" in u and "h1." in u else 0.5 if "h3." in u else 0.05)) for u in urls]
+    rare = [(f"http://casino.example.org/{i}", True) for i in range(26)]
+    rows = [*zip(urls, labels), *rare, *[(f"http://fine.example.org/{i}", False) for i in range(500 * (times - 1))], (None, True), ("", False), ("http://h1.example.com/win", None)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    tokens = [(r.t, r.bad) for r in df.select(url_filter.tokens(F.col("url")).alias("t"), "bad").collect()]
+    want, freq = rules_by_hand(tokens, url_filter.SUPPORT, url_filter.ODDS)
+    mined = url_filter.mine(df)
+    got = {tuple(r.tokens): r for r in mined.collect()}
+    assert {c: (round(r.confidence, 9), r.support) for c, r in got.items()} == {c: (round(x, 9), f) for c, (x, f) in want.items()}
+    assert any("h:casino" in c for c in got) and len(got) > 2  # a small bad host is found in small and large tables
+    assert all(freq[(r.key,)] == min(freq[(x,)] for x in c) for c, r in got.items())
+    pages = df.withColumn("confidence", F.lit("clash")).withColumn("verdict", F.lit("clash"))
+    judged = url_filter.judge(pages, mined, rules=()).collect()
+    assert len(judged) == len(rows)
+    by_url = {}
+    for r, (t, _) in zip(df.collect(), tokens):
+        by_url[r.url] = max([x for c, (x, _) in want.items() if set(c) <= set(t)], default=None)
+    for r in judged:
+        x = by_url[r.url]
+        assert r.verdict == ("allow" if x is None else "block") and (x is None or abs(r.confidence - x) < 1e-9)
+
+
+def test_urls_of_one_kind_teach_nothing(spark):
+    for bad in (True, False):
+        assert url_filter.mine(spark.createDataFrame([(f"http://a.example.com/{i}", bad) for i in range(60)], "url string, bad boolean")).count() == 0
+
+
 def test_urls_mined(spark):
     bad = [(f"http://cheap-pills.example.com/buy/{i}", True) for i in range(60)]
     good = [(f"http://www.example.com/buy/{i}", i % 10 == 0) for i in range(300)] + [(f"http://cheap-pills.example.com/about/{i}", True) for i in range(30)] + [(None, True), ("x", None)]
     mined = url_filter.mine(spark.createDataFrame(bad + good, "url string, bad boolean"))
     rules = {tuple(r.tokens): r for r in mined.collect()}
-    assert ("h:cheap-pills",) in rules and rules[("h:cheap-pills",)].confidence == 1.0
+    assert ("h:cheap-pills",) in rules and rules[("h:cheap-pills",)].confidence == 1.0 and rules[("h:cheap-pills",)].support == 90
     df = spark.createDataFrame([(1, "http://cheap-pills.example.com/x"), (2, "http://www.example.com/buy/1"), (3, None)], "page_id long, url string")
     assert {r.page_id: r.verdict for r in url_filter.judge(df, mined).collect()} == {1: "block", 2: "allow", 3: "allow"}
     assert url_filter.judge(df.limit(0), mined).count() == 0
