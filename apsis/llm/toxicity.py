@@ -1,12 +1,13 @@
 """Toxicity by a weighted lexicon: Aho-Corasick over folded text, exception phrases, and normalisation by length.
 
 Folding undoes case, homoglyphs, digit substitutions and invisible characters. The lexicon is learned from labelled rows:
-whole words and word beginnings whose documents are toxic more often than chance, weighed by log odds. A document's
-strongest word and its weights per length are turned into a score by a logistic regression on the same rows.
+whole words and word beginnings whose documents are toxic more often than chance, weighed by log odds. Phrases of two
+words that hold an entry and yet are no commoner in toxic rows excuse it, next to a fixed list. A document's strongest word and its weights per length are turned into a score by a logistic regression on the same rows.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import unicodedata
 from dataclasses import dataclass
@@ -24,6 +25,8 @@ from .common import without, written
 TRAIN_ROWS = 40_000
 #: Entries kept, toxic documents that an entry needs, and its least log odds.
 ENTRIES, SUPPORT, LEAST_WEIGHT = 4000, 8, 2.5
+#: Learned exception phrases kept, and the largest log odds of one; it needs SUPPORT clean rows.
+PHRASES, MOST_WEIGHT = 4000, 0.0
 #: Letters of a word beginning.
 STEMS = (4, 5, 6, 7)
 #: Length to which weights are normalised.
@@ -33,7 +36,7 @@ PER_WORDS = 100
 HOMOGLYPHS = "аa вb еe кk мm нh оo рp сc тt уy хx іi ѕs јj ԁd ɡg ӏl αa βb εe ηn ιi κk νv οo ρp τt υu χx ωw ıi ſs"
 LEET = "0o 1i 3e 4a 5s 7t @a $s"
 WIDTHLESS = "­​‌‍⁠﻿"
-#: Phrases in which an entry means no harm.
+#: Phrases in which an entry means no harm, whatever the rows say.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown", "pond scum", "not stupid", "not an idiot")
 
 
@@ -97,21 +100,31 @@ class Lexicon:
                 else:
                     hits[start] = max(weight, hits.get(start, 0.0))
         if excused:
-            hits = {s: w for s, w in hits.items() if not any(a <= s < b for a, b in excused)}
+            # Both in order of place: one sweep, however many there are.
+            excused.sort()
+            kept, at, until = {}, 0, -1
+            for s in sorted(hits):
+                while at < len(excused) and excused[at][0] <= s:
+                    until = max(until, excused[at][1])
+                    at += 1
+                if s >= until:
+                    kept[s] = hits[s]
+            hits = kept
         if not hits:
             return 0.0, 0.0, 0
         total = sum(sorted(hits.values()))
         return max(hits.values()), total * PER_WORDS / max(PER_WORDS, len(folded.split())), len(hits)
 
 
-def learn_lexicon(df: DataFrame, text: str = "text", label: str = "label") -> Lexicon:
-    """Entries over-represented in rows of label 1. At most ENTRIES come to the driver."""
+def _weights(df: DataFrame, entries_of, text: str, label: str) -> DataFrame:
+    """``entry, clean, toxic, weight``: rows of either label that hold each of a text's entries, and its log odds."""
 
     def count(batches):
+        of = entries_of()
         for pdf in batches:
             seen: dict[str, list[int]] = {}
             for t, y in zip(pdf["_text"], pdf["_label"]):
-                for e in _entries_of(t):
+                for e in of(t):
                     seen.setdefault(e, [0, 0])[y] += 1
             yield pd.DataFrame([(e, a, b) for e, (a, b) in seen.items()], columns=["entry", "clean", "toxic"])
 
@@ -120,10 +133,37 @@ def learn_lexicon(df: DataFrame, text: str = "text", label: str = "label") -> Le
     clean, toxic = clean or 0, toxic or 0
     counts = rows.mapInPandas(count, "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     weight = F.ln((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) - F.ln((F.col("clean") + 0.5) / F.lit(clean + 1.0))
-    best = counts.where(F.col("toxic") >= SUPPORT).select("entry", "toxic", weight.alias("weight")).where(F.col("weight") >= LEAST_WEIGHT)
+    return counts.withColumn("weight", weight)
+
+
+def learn_lexicon(df: DataFrame, text: str = "text", label: str = "label") -> Lexicon:
+    """Entries over-represented in rows of label 1, and phrases around them that are not.
+
+    At most ENTRIES entries and PHRASES phrases come to the driver.
+    """
+    best = _weights(df, lambda: _entries_of, text, label).where((F.col("toxic") >= SUPPORT) & (F.col("weight") >= LEAST_WEIGHT))
     # The most telling ones by weight and support; the driver holds ENTRIES rows at most.
     top = best.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "entry").limit(ENTRIES).collect()
-    return Lexicon({r.entry: float(r.weight) for r in top})
+    weights = {r.entry: float(r.weight) for r in top}
+    if not weights:
+        return Lexicon({})
+
+    def phrases():
+        automaton = Lexicon(weights, ()).automaton()
+
+        known: dict[str, bool] = {}
+
+        def of(t):
+            ws = fold(t).split()
+            for w in set(ws).difference(known):
+                known[w] = next(automaton.iter(f" {w} "), None) is not None
+            return {f"{a} {b}" for a, b in itertools.pairwise(ws) if known[a] or known[b]}
+
+        return of
+
+    mild = _weights(df, phrases, text, label).where((F.col("clean") >= SUPPORT) & (F.col("weight") <= MOST_WEIGHT))
+    learned = [r.entry for r in mild.orderBy(F.desc("clean"), "entry").limit(PHRASES).collect()]
+    return Lexicon(weights, (*EXCEPTIONS, *learned))
 
 
 @dataclass

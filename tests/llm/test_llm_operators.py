@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -386,6 +387,46 @@ def test_toxicity_typographic_signs():
     assert hit("“loweient”") == 3.0 and hit("“idiotic”") == 0.0
 
 
+def measured_by_hand(lexicon, text):
+    """The measures by looking for every entry and phrase at every place."""
+    folded = toxicity.fold(text)
+    places = lambda e: [i for i in range(len(folded)) if folded.startswith(e, i)]
+    excused = [(i, i + len(e) - 1) for p in lexicon.exceptions for e in [f" {' '.join(toxicity.fold(p).split())} "] for i in places(e)]
+    hits = {}
+    for e, w in lexicon.weights.items():
+        for i in places(e):
+            if not any(a <= i < b for a, b in excused):
+                hits[i] = max(w, hits.get(i, 0.0))
+    if not hits:
+        return 0.0, 0.0, 0
+    return max(hits.values()), sum(sorted(hits.values())) * 100 / max(100, len(folded.split())), len(hits)
+
+
+def test_toxicity_matcher_by_hand():
+    rng = np.random.default_rng(2)
+    words = ["ab", "abab", "ababab", "ba", "bab", "trash", "can", "b4b", "aЬ", "аb"]
+    lexicon = toxicity.Lexicon({" ab ": 1.0, " abab": 2.5, " bab ": 3.0, " b": 0.5, " trash ": 4.0, " can ": 1.5}, ("trash can", "bab ab", "ab abab ab", "can"))
+    a = lexicon.automaton()
+    for _ in range(400):
+        text = rng.choice([" ", "—", "! "]).join(rng.choice(words, rng.integers(0, 150)))
+        assert lexicon.measures(a, text) == measured_by_hand(lexicon, text)
+
+
+def test_toxicity_long_excused_text():
+    lexicon = toxicity.Lexicon({" trash ": 4.0, " can ": 2.0})
+    a, began = lexicon.automaton(), time.process_time()
+    assert lexicon.measures(a, "trash can " * 100_000) == (0.0, 0.0, 0)
+    assert time.process_time() - began < 1.5
+
+
+def test_toxicity_learns_exceptions(spark):
+    rows = [(f"you moron {i}", 1) for i in range(60)] + [(f"the moron fish swims {i}", 0) for i in range(10)] + [(f"a fine day {i}", 0) for i in range(400)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert " moron " in lexicon.weights and {"moron fish", "the moron"} <= set(lexicon.exceptions) and "you moron" not in lexicon.exceptions
+    a = lexicon.automaton()
+    assert lexicon.measures(a, "such a moron")[2] == 1 and lexicon.measures(a, "one moron fish")[2] == 0
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     rows = spark.createDataFrame([("you idiot", 1), ("fine day", 0), (None, 0), ("", 1), ("x", None)] * 10, "text string, label int")
     model = toxicity.fit(rows)
