@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -323,6 +324,90 @@ def test_decontamination_several_copies(spark):
     assert got - {901} == want, sorted(want ^ got)
 
 
+def marked_by_hand(text):
+    """(template word, word as it stands) of a text."""
+    t = re.sub(f"[{decontamination.MARKS}]", " ", text or "")
+    t = regex.sub(r"(?<=[\p{L}\p{N},)] )\p{Lu}\p{Ll}+", lambda m: "\ue001" + m[0], t).lower()
+    t = regex.sub(r"(?<![\p{L}\p{N}\ue001])\d+(?:[.,]\d+)*", lambda m: "\ue002" + m[0], t)
+    t = regex.sub(rf"(\ue002\d+(?:[.,]\d+)*) ?({'|'.join(decontamination.UNITS)})(?![\p{{L}}\p{{N}}])", "\\1 \ue003\\2", t)
+    ws = regex.sub(r"[\p{P}\p{S}]+", "", t).split()
+    return [(re.sub(r"([\ue001-\ue003])\S*", r"\1", w), w) for w in ws]
+
+
+def contaminated_by_hand(docs, items):
+    """Every document against every item, window by window."""
+    out = {}
+
+    def agreed(hits):
+        pairs = Counter(p for _, own, theirs in hits for p in zip(own, theirs))
+        def best(k): 
+            top = {}
+            for p, n in pairs.items():
+                top[p[k]] = max(top.get(p[k], (0, "")), (n, p[1 - k]))
+            return {k_: v for k_, (_, v) in top.items()}
+        to, back = best(0), best(1)
+        return len({i for i, own, theirs in hits if all(to[b] == d and back[d] == b for b, d in zip(own, theirs))})
+
+    def grams(ws, size, exact):
+        rows = [ws[i : i + size] for i in range(len(ws) - size + 1)]
+        return [(tuple(v for _, v in r) if exact else tuple(w for w, _ in r), tuple(v for w, v in r if not exact and w in decontamination.MARKS)) for r in rows]
+
+    for (d, dt), (k, kt) in itertools.product(docs, items):
+        a, b = marked_by_hand(dt), marked_by_hand(kt)
+        size, exact = 5, False
+        own = [(i, g) for i, g in enumerate(grams(b, 5, False)) if len(g[1]) <= 3]
+        if not own:
+            size, exact = min(5, len(b)), True
+            own = list(enumerate(grams(b, size, True))) if b else []
+        if not own:
+            continue
+        span = max(i for i, _ in own) + size
+        hits = [(i, x, y, j - i) for j, (g, y) in enumerate(grams(a, size, exact)) for i, (h, x) in own if g == h]
+        step = max(1, span // 2)
+        cells = {}
+        for i, x, y, shift in hits:
+            for cell in ("any", ("a", shift // step), ("b", (shift + step // 2) // step)):
+                cells.setdefault(cell, []).append((i, x, y))
+        share = max([agreed(h) for h in cells.values()], default=0) / len(own)
+        if share >= 0.5:
+            out[d, k] = round(share, 9)
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_decontamination_by_hand(spark, monkeypatch, broadcast):
+    """Templates, slots, dense and short items, shared windows and null ids, by broadcast and by shuffle."""
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", broadcast)
+    monkeypatch.setattr(decontamination, "RUN", 7)
+    rng = np.random.default_rng(8)
+    names, words = ["Alice", "Bob", "Carol"], "so has then pens red takes more gives sells the of and".split()
+    def text(n):
+        return " ".join(rng.choice([rng.choice(words), rng.choice(names), str(rng.integers(1, 9)), f"{rng.integers(1, 9)} km"], p=[0.7, 0.1, 0.1, 0.1]) for _ in range(n))
+    start = "answer this question in one word please "
+    items = [(i, (start if i % 2 else "") + text(int(rng.integers(4, 25)))) for i in range(24)]
+    items += [(None, "so red pens and then the pens more of it"), (100, "Alice 3 km, Bob 4 km, Carol 5 km, Dan 6 km, Erik 7 km"), (101, "7 red pens"), (102, "pens"), (103, ""), (104, None), (105, "12 13 14")]
+    german = "ein Zug fährt 12 km in 3 Stunden nach Bonn und dann weiter nach Ulm"
+    items += [(106, german)]
+    docs = [(i, " ".join([text(int(rng.integers(0, 30))), items[i % 24][1], text(5), str(items[(i * 7) % 24][1])[: int(rng.integers(0, 80))]])) for i in range(60)]
+    docs += [(None, items[3][1]), (200, items[25][1]), (201, "Alice 13 km, Bob 14 km, Carol 15 km, Dan 16 km, Erik 17 km"), (202, "we saw 7 red pens there"), (203, None), (204, ""), (205, "10 12 13 14 15"), (206, start * 3)]
+    docs += [(207, "ein Zug fährt 40 km in 8 Stunden nach Köln und dann weiter nach Trier")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("coverage", F.lit("clash"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): round(r.coverage, 9) for r in decontamination.contaminated(df, bench.union(bench.limit(3))).collect()}
+    want = contaminated_by_hand(docs, items)
+    assert got == want
+    expected = {(None, 3), (200, 100), (202, 101), (205, 105), (207, 106)}
+    assert expected <= set(got), expected - set(got)
+    assert (201, 100) not in got
+
+
+def test_decontamination_null_ids_and_items(spark):
+    text = "the quick brown fox jumps over the lazy dog again"
+    df = spark.createDataFrame([(1, text), (None, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, text), (None, text)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(df, bench).collect()} == {(a, b) for a in (1, None) for b in (1, None)}
+
+
 def test_decontamination_awkward(awkward):
     bench = awkward.select(F.col("doc_id").alias("item_id"), "text")
     got = decontamination.contaminated(awkward, bench).select("doc_id", "item_id").distinct().collect()
