@@ -19,6 +19,8 @@ WINDOW = 5
 COVERAGE = 0.5
 #: Words of a window that must not be slots.
 LITERALS = 2
+#: Parts of half an item's words to which places are told apart.
+GRAINS = 16
 #: Windows made from one run of a text's words.
 RUN = 512
 #: Benchmark windows up to which they are broadcast (about 100 bytes each).
@@ -149,10 +151,14 @@ def contaminated(
     telling = rarity.withColumn("n", place).where(F.col("n") <= F.col("windows") - F.ceil(F.col("windows") * coverage - 1e-9) + 1).select("item", "item_at")
     telling = written(items.join(telling, ["item", "item_at"]).select("item", "h").distinct())
     candidates = written(met.select("id", "h").distinct().join(light(telling), "h").select("id", "item").distinct())
-    hits = candidates.join(light(items), "item").join(met, ["id", "h"])
-    # Equal hits are counted before they are dealt to places: repeated passages make many of them.
-    first, second, anywhere = places(F.col("at") - F.col("item_at"), F.col("span"))
-    hits = hits.groupBy("id", "item", first.alias("first"), second.alias("second"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("n"))
+    # Equal hits are counted before they meet the item's places, which are told apart no finer than occurrences need: a window
+    # that a long text and a long item repeat makes no square of hits.
+    grain = F.greatest(F.floor(F.col("span") / (2 * GRAINS)), F.lit(1))
+    held_at = candidates.join(light(items.select("item", "h", "span").distinct()), "item").join(met, ["id", "h"])
+    held_at = held_at.groupBy("id", "item", "h", "span", "slots", (F.floor(F.col("at") / grain) * grain).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    hits = held_at.join(light(items), ["item", "h", "span"])
+    first, second, anywhere = places(F.col("at") - F.floor(F.col("item_at") / grain) * grain, F.col("span"))
+    hits = hits.groupBy("id", "item", first.alias("first"), second.alias("second"), "item_at", "slots", "item_slots").agg(F.sum("n").alias("n"))
     hits = written(hits.select("id", "item", F.explode(F.array("first", "second", anywhere)).alias("place"), "item_at", "slots", "item_slots", "n"))
     # Each benchmark value's commonest document value within an occurrence, and the other way round: what both agree on is the mapping.
     one = ["id", "item", "place"]
