@@ -1,12 +1,13 @@
-"""Approximate nearest neighbours on shifted space-filling curves.
+"""Approximate nearest neighbours by inner product on shifted space-filling curves.
 
-Vectors are projected onto a few random directions, shifted, and put in Hilbert order, several times with other
-directions and shifts. Each order is cut into blocks of equal size by its key's quantiles; a query looks through the
-blocks around its own key on the curves whose directions hold most of it. Every group of one block and the queries that
-look at it is one small matrix product, and what the groups find is merged and ranked by the exact score.
+A coordinate that brings every vector to one length turns the largest inner product into the nearest direction. Vectors are
+projected onto a few random directions, shifted and put in Hilbert order, several times with other directions and shifts.
+Every order is range-partitioned at its key's quantiles; a query looks through the window of blocks around its own key on
+every curve used, each block and the queries at it give matrix products, and what they find is merged and ranked exactly.
 
-A query's key is taken at the place where its neighbours are expected: a neighbour at inner product r lies near r times
-the query within the projection. Blocks with many rows (repeated vectors share a key) are salted into parts.
+How many curves are used and how wide their windows are follows from the data: for a bounded sample of queries the true
+neighbours are found first, and the cheapest windows that hold TARGET of them are taken. Where vectors have no structure
+that an order could keep (uniform directions), the cheapest way is one order looked through as a whole, each pair once.
 """
 
 from __future__ import annotations
@@ -21,13 +22,20 @@ from pyspark.sql import functions as F
 
 from .common import written
 
+#: Curves to choose from, directions of each and bits of a coordinate.
 CURVES, DIRECTIONS, BITS = 24, 3, 10
-#: Blocks of an order, at least so many rows in each, and blocks looked at on either side of a query's own.
-BLOCKS, LEAST_ROWS, REACH = 50, 200, 2
-#: Curves that a query looks at, and the expected inner product of its neighbours for unit vectors.
-LOOKED_AT, EXPECTED = 12, 0.6
-#: Rows of a block in one group.
-PART_ROWS = 10_000
+#: Rows on which ranges and borders are fitted and queries whose true neighbours set the windows: bounds, at any size.
+SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 200
+#: Share of the sampled queries' neighbours that windows must hold.
+TARGET = 0.96
+#: Products per pair from which an order is looked through as a whole.
+WHOLE = 0.75
+#: What a further copy of every vector weighs, in products per pair.
+COPY = 0.01
+#: Blocks of an order at most, the blocks a window should have, and rows of a block at least.
+BLOCKS, WINDOW_BLOCKS, LEAST_ROWS = 1024, 8, 400
+#: Candidates and queries in one group.
+PART_ROWS, PART_QUERIES = 10_000, 5_000
 SEED = 7
 
 
@@ -58,38 +66,97 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Curves:
-    """Directions, shifts and ranges of all curves for one dimension; small and fixed in size."""
+    """Directions, shifts and ranges of all curves for one dimension, and the longest vector's length: fixed in size."""
 
-    directions: np.ndarray  # curves x dimension x DIRECTIONS
+    directions: np.ndarray  # curves x (dimension + 1) x DIRECTIONS
     shifts: np.ndarray  # curves x DIRECTIONS, shares of the range
+    longest: float
     low: np.ndarray | None = None
     high: np.ndarray | None = None
 
     @classmethod
-    def drawn(cls, dimension: int, curves: int = CURVES, seed: int = SEED) -> Curves:
+    def drawn(cls, dimension: int, longest: float, seed: int = SEED) -> Curves:
         rng = np.random.default_rng(seed)
-        k = min(DIRECTIONS, dimension)
-        return cls(np.stack([np.linalg.qr(rng.standard_normal((dimension, k)))[0] for _ in range(curves)]), 0.3 * rng.random((curves, k)))
+        k = min(DIRECTIONS, dimension + 1)
+        directions = np.stack([np.linalg.qr(rng.standard_normal((dimension + 1, k)))[0] for _ in range(CURVES)])
+        return cls(directions, 0.3 * rng.random((CURVES, k)), longest)
 
-    def project(self, x: np.ndarray) -> np.ndarray:
-        return np.einsum("nd,cdk->cnk", x, self.directions, optimize=True)
+    def project(self, x: np.ndarray, query: bool = False) -> np.ndarray:
+        """Projections of candidates brought to length one, or of queries' directions: curves x rows x DIRECTIONS."""
+        norm = np.linalg.norm(x, axis=1)
+        x = x / norm[:, None] if query else x / self.longest
+        rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, 1 - (norm / self.longest) ** 2))
+        return np.einsum("nd,cdk->cnk", np.column_stack([x, rest]), self.directions, optimize=True)
+
+    def fit(self, x: np.ndarray) -> None:
+        p = self.project(x)
+        self.low, self.high = p.min(axis=1), p.max(axis=1)
 
     def keys(self, projected: np.ndarray) -> np.ndarray:
-        """Keys by curve of projected rows."""
-        span = np.maximum(self.high - self.low, 1e-12)[:, None, :]
-        share = ((projected - self.low[:, None, :]) / span + self.shifts[:, None, :]) / 1.3
+        """Keys of projections, curve by curve; what lies beyond the ranges goes to their edge."""
+        c = len(projected)
+        span = np.maximum(self.high - self.low, 1e-12)[:c, None, :]
+        share = ((projected - self.low[:c, None, :]) / span + self.shifts[:c, None, :]) / 1.3
         cells = np.clip(share * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
-        return np.stack([hilbert_keys(c, BITS) for c in cells])
+        return np.stack([hilbert_keys(x, BITS) for x in cells])
+
+
+@dataclass
+class Plan:
+    """Curves used, keys at which each is cut into blocks, blocks looked at on either side, and where queries are placed."""
+
+    curves: int
+    borders: np.ndarray  # curves x (blocks - 1)
+    reach: int
+    place: float
+
+    @property
+    def blocks(self) -> int:
+        return self.borders.shape[1] + 1
+
+    def products(self) -> float:
+        """Inner products per query and row: those of the blocks looked at."""
+        return self.curves * min(1.0, (2 * self.reach + 1) / self.blocks)
+
+
+def plan_for(curves: Curves, sample: np.ndarray, queries: np.ndarray, neighbours: list[np.ndarray], n: int) -> Plan:
+    """The cheapest windows that hold TARGET of the neighbours, in shares of each order as the sample shows it."""
+    ordered = np.sort(curves.keys(curves.project(sample)), axis=1)
+    if not len(neighbours) or n <= PART_ROWS:
+        return _whole(ordered, n)
+    owner = np.repeat(np.arange(len(queries)), [len(x) for x in neighbours])
+    found = np.concatenate(neighbours)
+    # Neighbours at inner product r with a query's direction lie about r along it.
+    place = float(np.median((found * queries[owner]).sum(axis=1) / np.linalg.norm(queries[owner], axis=1))) / curves.longest
+    at = lambda keys: np.stack([(np.searchsorted(o, k, "left") + np.searchsorted(o, k, "right")) / (2 * len(o)) for o, k in zip(ordered, keys)])
+    apart = np.abs(at(curves.keys(curves.project(found))) - at(curves.keys(curves.project(queries, True) * place))[:, owner])
+    best, width, used = np.inf, 1.0, 1
+    for c in range(1, CURVES + 1):
+        w = np.quantile(apart[:c].min(axis=0), TARGET)
+        cost = c * (2 * w + 2 * w / WINDOW_BLOCKS) + COPY * c  # a window's last block reaches beyond it; a curve costs a copy
+        if cost < best:
+            best, width, used = cost, w, c
+    if best >= WHOLE:
+        return _whole(ordered, n)
+    blocks = int(np.clip(WINDOW_BLOCKS / max(2 * width, 1e-9), 2, min(BLOCKS, max(2, n // LEAST_ROWS))))
+    return Plan(used, _borders(ordered[:used], blocks), int(np.ceil(width * blocks)), place)
+
+
+def _borders(ordered: np.ndarray, blocks: int) -> np.ndarray:
+    return ordered[:, (np.arange(1, blocks) * ordered.shape[1]) // blocks]
+
+
+def _whole(ordered: np.ndarray, n: int) -> Plan:
+    blocks = max(1, min(BLOCKS, n // PART_ROWS))
+    return Plan(1, _borders(ordered[:1], blocks), blocks, 0.0)
 
 
 def usable(df: DataFrame, id_col: str, vector: str) -> DataFrame:
-    """``id, v``: rows with an id and a vector of finite components, not all zero, of the commonest length."""
+    """``id, v, query``: rows with an id and a vector of finite components, not all zero."""
     v = F.transform(F.col(f"`{vector}`"), lambda x: x.cast("double"))
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null")
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v"), "query").where("id is not null and v is not null")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    rows = rows.where(~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    return rows.where(F.size("v") == (sizes["size"] if sizes else 0))
+    return rows.where(~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
 
 
 def _matrix(column) -> np.ndarray:
@@ -97,19 +164,101 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(flat, np.float64).reshape(len(column), -1)
 
 
-def _ranges(rows: DataFrame, curves: Curves) -> Curves:
-    """Range of every projection over all rows: minima and maxima by task, then over tasks."""
+def _sample(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of at most so many rows, in order of a hash of their ids."""
+    found = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(most).toArrow().combine_chunks()
+    return found.column("id").to_numpy(), _matrix(found.column("v").combine_chunks()) if len(found) else np.empty((0, 0))
+
+
+def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
+    """``query, row, score``: places of the k rows with the largest inner product for each query, its own id left out."""
+    for start in range(0, len(q), 256):
+        for i, s in enumerate(q[start : start + 256] @ x.T, start):
+            s[ids == q_ids[i]] = -np.inf
+            least = np.partition(s, -k)[-k] if len(s) > k else -np.inf
+            # Products may round otherwise than the exact score, by a share of the lengths.
+            at = np.flatnonzero((s >= least - 1e-12 * len(q[i]) * np.abs(s[np.isfinite(s)]).max(initial=0.0) - 1e-300) & (s > -np.inf))
+            exact = (x[at] * q[i]).sum(axis=1)
+            best = np.lexsort((ids[at], -exact))[:k]
+            yield i, at[best], exact[best]
+
+
+def _true_neighbours(rows: DataFrame, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[np.ndarray]:
+    """Vectors of the sampled queries' k nearest rows among all: k by task, then over tasks."""
 
     def work(batches):
         for b in batches:
             if b.num_rows:
-                p = curves.project(_matrix(b.column("v")))
-                yield pa.RecordBatch.from_pydict({"low": [p.min(axis=1).ravel().tolist()], "high": [p.max(axis=1).ravel().tolist()]})
+                x, ids = _matrix(b.column("v")), b.column("id").to_numpy()
+                for i, at, score in _best(q_ids, q, ids, x, k):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i)), pa.array(score), pa.array(ids[at]), pa.array(list(x[at]), pa.list_(pa.float64()))], names=["i", "score", "id", "v"])
+
+    order = Window.partitionBy("i").orderBy(F.desc("score"), "id")
+    best = rows.select("id", "v").mapInArrow(work, "i long, score double, id long, v array<double>").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
+    found = best.select("i", "v").toPandas()  # SAMPLE_QUERIES x k vectors at most
+    return [np.stack(v) if len(v := found.loc[found["i"] == i, "v"].tolist()) else np.empty((0, q.shape[1])) for i in range(len(q))]
+
+
+def fit(rows: DataFrame, dimension: int, k: int) -> tuple[Curves, Plan]:
+    """Curves and windows for usable rows of one dimension."""
+    n, longest = rows.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
+    curves = Curves.drawn(dimension, longest)
+    _, sample = _sample(rows, SAMPLE_ROWS)
+    curves.fit(sample)
+    q_ids, q = _sample(rows.where("query"), SAMPLE_QUERIES)
+    neighbours = _true_neighbours(rows, q_ids, q, k) if len(q) and n > PART_ROWS else []
+    return curves, plan_for(curves, sample, q, neighbours, n)
+
+
+def _nearest(rows: DataFrame, dimension: int, k: int) -> DataFrame:
+    curves, plan = fit(rows, dimension, k)
+    used = Curves(curves.directions[: plan.curves], curves.shifts[: plan.curves], curves.longest, curves.low, curves.high)
+
+    def block_of(projected):
+        keys = used.keys(projected)
+        return np.stack([np.searchsorted(b, x, "right") for b, x in zip(plan.borders, keys)]).T.astype(np.int32)
+
+    def placed(query: bool):
+        def run(batches):
+            for b in batches:
+                p = used.project(_matrix(b.column("v")), query)
+                own = block_of(p * plan.place if query else p)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(own.tolist(), pa.list_(pa.int32()))], names=["id", "v", "blocks"])
+
+        return run
+
+    made = "id long, v array<double>, blocks array<int>"
+    each = lambda q: rows.where("query" if q else "true").select("id", "v").mapInArrow(placed(q), made).select("id", "v", F.posexplode("blocks").alias("curve", "own"))
+    spread = F.sequence(F.greatest(F.col("own") - plan.reach, F.lit(0)), F.least(F.col("own") + plan.reach, F.lit(plan.blocks - 1)))
+    candidates = each(False).withColumnRenamed("own", "block").withColumn("query", F.lit(False))
+    probes = each(True).withColumn("block", F.explode(spread)).drop("own").withColumn("query", F.lit(True))
+    # Rows and queries of each block: curves x blocks numbers. Both sides of a full block are cut into parts.
+    counted = candidates.select("curve", "block", "query").union(probes.select("curve", "block", "query")).groupBy("curve", "block").agg(F.count_if(~F.col("query")).alias("rows"), F.count_if("query").alias("queries"))
+    sizes = counted.collect()
+    parts = {(r.curve, r.block): (-(-r.rows // PART_ROWS), -(-r.queries // PART_QUERIES)) for r in sizes}
+    cuts = {side: F.create_map(*[F.lit(x) for (c, b), p in parts.items() for x in (c * BLOCKS + b, p[side])]) if parts else F.create_map(F.lit(0), F.lit(0)) for side in (0, 1)}
+    cut = lambda side: F.coalesce(F.try_element_at(cuts[side], F.col("curve") * BLOCKS + F.col("block")), F.lit(0))
+
+    def dealt(side_rows, own, other):
+        """Rows with their part on their own side, once for every part of the other."""
+        return side_rows.where((cut(0) > 0) & (cut(1) > 0)).withColumn("_own", F.pmod(F.xxhash64("id"), cut(own)).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), cut(other) - 1)))
+
+    place = ["curve", "block", "part", "query_part"]
+    left = dealt(candidates, 0, 1).withColumnRenamed("_own", "part").withColumnRenamed("_other", "query_part")
+    right = dealt(probes, 1, 0).withColumnRenamed("_own", "query_part").withColumnRenamed("_other", "part")
+    both = left.select("id", "v", "query", *place).union(right.select("id", "v", "query", *place))
+    tasks = 1 + sum(r.rows * parts[r.curve, r.block][1] + r.queries * parts[r.curve, r.block][0] for r in sizes) // (4 * PART_ROWS)
+
+    def rank(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked = pdf["query"].to_numpy(bool)
+        out = [pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})]
+        if asked.any() and not asked.all():
+            ids, q_ids = pdf["id"].to_numpy()[~asked], pdf["id"].to_numpy()[asked]
+            for i, at, score in _best(q_ids, _matrix(pdf["v"][asked]), ids, _matrix(pdf["v"][~asked]), k):
+                out.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": ids[at], "score": score}))
+        return pd.concat(out)
 
-    found = rows.select("v").mapInArrow(work, "low array<double>, high array<double>")
-    each = found.select(F.posexplode(F.arrays_zip("low", "high")).alias("i", "x")).groupBy("i").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high")).orderBy("i").collect()
-    shape = curves.shifts.shape
-    return Curves(curves.directions, curves.shifts, *(np.array([r[c] for r in each]).reshape(shape) for c in ("low", "high")))
+    return both.repartitionByRange(tasks, *place).groupBy(*place).applyInPandas(rank, "query_id long, vec_id long, score double")
 
 
 def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector: str = "embedding", k: int = 20) -> DataFrame:
@@ -117,65 +266,14 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector: str = "embe
 
     is_query is a condition on df's columns. Ties go to the smaller id; a row is no neighbour of a query of its own id;
     rows that share an id count once, with their best score. Vectors that are null, zero or hold null or non-finite
-    components, and rows without id, take no part. With fewer rows than k all are returned; an empty table gives none.
+    components, and rows without id, take no part; vectors of different lengths have no inner product, so each length is
+    searched by itself. With fewer rows than k all are returned; an empty table gives none.
     """
-    marked = df.withColumn("_query", F.coalesce(is_query, F.lit(False)))
-    rows = written(usable(marked, id_col, vector).join(marked.where("_query").select(F.col(f"`{id_col}`").cast("long").alias("id"), "_query").distinct(), "id", "left").withColumn("_query", F.coalesce("_query", F.lit(False))))
-    n = rows.count()
-    spark = df.sparkSession
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    curves = _ranges(rows, Curves.drawn(rows.select(F.size("v")).first()[0]))
-    blocks = max(1, min(BLOCKS, n // LEAST_ROWS))
-
-    def keyed(batches):
-        for b in batches:
-            x = _matrix(b.column("v"))
-            p = curves.project(x)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(curves.keys(p).T.tolist(), pa.list_(pa.int64()))], names=[*b.schema.names, "keys"])
-
-    def probing(batches):
-        for b in batches:
-            x = _matrix(b.column("v"))
-            p = curves.project(x)
-            best = np.argsort(-np.linalg.norm(p, axis=2), axis=0, kind="stable")[:LOOKED_AT].T
-            # Scores scale with lengths, the expected place only with the query's direction.
-            keys = curves.keys(p * EXPECTED).T
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(best.tolist(), pa.list_(pa.int32())), pa.array(np.take_along_axis(keys, best, 1).tolist(), pa.list_(pa.int64()))], names=["id", "v", "curves", "keys"])
-
-    keys = rows.select("id", "v").mapInArrow(keyed, "id long, v array<double>, keys array<long>")
-    per_curve = keys.select(F.posexplode("keys").alias("curve", "key"))
-    cuts = [i / blocks for i in range(1, blocks)] or [1.0]
-    borders = {r.curve: r.b for r in per_curve.groupBy("curve").agg(F.percentile_approx("key", cuts, 10_000).alias("b")).collect()}  # curves x blocks
-    table = F.array(*[F.array(*[F.lit(int(x)) for x in (borders[c] if blocks > 1 else [])]).cast("array<long>") for c in range(len(borders))])
-    block_of = lambda curve, key: F.size(F.filter(F.get(table, curve), lambda x: x < key))
-    placed = keys.select("id", "v", F.posexplode("keys").alias("curve", "key")).select("id", "v", "curve", block_of(F.col("curve"), F.col("key")).alias("block"))
-    counted = {(r.curve, r.block): r["count"] for r in placed.groupBy("curve", "block").count().collect()}  # curves x blocks at most
-    parts = F.create_map(*[F.lit(x) for (c, b), m in counted.items() for x in (c * BLOCKS + b, -(-m // PART_ROWS))])
-    parts_of = lambda block: F.coalesce(F.try_element_at(parts, F.col("curve") * BLOCKS + block), F.lit(0))
-    candidates = placed.withColumn("part", F.pmod(F.xxhash64("id"), parts_of(F.col("block"))).cast("int"))
-    probes = rows.where("_query").select("id", "v").mapInArrow(probing, "id long, v array<double>, curves array<int>, keys array<long>")
-    probes = probes.select("id", "v", F.explode(F.arrays_zip("curves", "keys")).alias("p")).select("id", "v", F.col("p.curves").alias("curve"), "p.keys")
-    near = probes.withColumn("own", block_of(F.col("curve"), F.col("keys")))
-    near = near.withColumn("block", F.explode(F.sequence(F.greatest(F.col("own") - REACH, F.lit(0)), F.least(F.col("own") + REACH, F.lit(blocks - 1)))))
-    near = near.where(parts_of(F.col("block")) > 0).withColumn("part", F.explode(F.sequence(F.lit(0), parts_of(F.col("block")) - 1)))
-
-    def rank(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})]
-        if len(queries) and len(found):
-            q, x, ids = _matrix(queries["v"]), _matrix(found["v"]), found["id"].to_numpy()
-            for start in range(0, len(q), 256):
-                for own, row, s in zip(queries["id"].iloc[start : start + 256], q[start : start + 256], q[start : start + 256] @ x.T):
-                    s[ids == own] = -np.inf
-                    least = np.partition(s, -k)[-k] if len(s) > k else -np.inf
-                    at = np.flatnonzero((s >= least - 1e-9) & (s > -np.inf))
-                    exact = (x[at] * row).sum(axis=1)
-                    best = np.lexsort((ids[at], -exact))[:k]
-                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at][best], "score": exact[best]}))
-        return pd.concat(out)
-
-    place = ["curve", "block", "part"]
-    found = near.select("id", "v", *place).groupBy(*place).cogroup(candidates.select("id", "v", *place).groupBy(*place)).applyInPandas(rank, "query_id long, vec_id long, score double")
+    marked = df.withColumn("query", F.coalesce(is_query, F.lit(False)))
+    rows = written(usable(marked, id_col, vector))
+    found = df.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    for r in rows.where("query").groupBy(F.size("v").alias("size")).count().orderBy("size").collect():  # one row a length
+        found = found.union(_nearest(rows.where(F.size("v") == r["size"]), r["size"], k))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order))
     return merged.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
