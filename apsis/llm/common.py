@@ -49,6 +49,21 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a key beyond which its side is broadcast; a larger table has at most MOST_HOT such keys.
+HOT_ROWS, MOST_HOT = 100_000, 1000
+
+
+def join_hot(rows: DataFrame, side: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """Inner join of n rows with one row a key, of whose column ``_n`` (about how many of the rows have it) the hot keys are known.
+
+    Rows of hot keys stay where they are and the few sides come to them; the others are joined by shuffle. Keys are not null.
+    """
+    least = max(HOT_ROWS, n // MOST_HOT)
+    hot = F.broadcast(side.where(F.col("_n") > least).drop("_n"))
+    rest = side.where(F.col("_n") <= least).drop("_n")
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """df less the columns that an operator is about to add; a clashing input column is replaced by the result's."""
     taken = {n.lower() for n in names}

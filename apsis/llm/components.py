@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, join_hot, written
 
 MOST_ROUNDS = 60
 
@@ -15,21 +15,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round joins every larger neighbour, then every smaller one, to the smallest neighbour of its node, until only
     stars around the smallest nodes are left; the number of rounds grows with the logarithm of a component's diameter.
-    Minima are taken by partial aggregation, so a hub's links need not meet. Rounds are written to the shared folder.
+    Minima are taken by partial aggregation and come to a hub's links where they are. Rounds are written to the shared folder.
     """
     pair = F.least(a, b).alias("v"), F.greatest(a, b).alias("u")
     stars = written(links.select(*pair).where("u <> v").distinct())
-    seen = None
+    seen, n = None, stars.count()
     for _ in range(MOST_ROUNDS):
         both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_n"))
+        large = join_hot(both, least, ["u"], 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = written(large)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+        joined = join_hot(large, low, ["u"], 2 * n).select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         then = written(joined.select("e.u", "e.v").where("u <> v").distinct())
         state = then.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(stars)
-        stars = then
+        discard(large)
+        stars, n = then, state[0]
         if state == seen:
             break
         seen = state

@@ -6,8 +6,10 @@ bucket the fingerprints lie as 64 vertical bit planes; one pass of carry-save ad
 pairs per machine word, and words in which every pair is beyond the radius are given up early. A bucket over
 ``CHUNK`` classes is cut into chunks whose pairs are compared separately; a bucket yields a forest, never all its pairs.
 
-Where a least Jaccard similarity is asked for, these links are candidates only. What they connect holds every class that
-they could link, so the shingles of each such component are compared exactly, and only true links enter the result.
+Where a least Jaccard similarity is asked for, no radius on 64 bits would hold it, and the pigeonhole's combinations would
+grow with the table. Classes then meet in buckets of equal minima of their shingles' hashes (BANDS of ROWS each, at any
+size), only those that meet another fetch their fingerprints, and the bit-sliced comparison runs over four fingerprints.
+Its links are candidates: the shingles of each component of them are compared exactly, and only true links enter the result.
 """
 
 from __future__ import annotations
@@ -23,12 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without, written
+from .common import join_hot, without, written
 from .components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Classes that a bucket should hold, and those beyond which it is cut.
 BUCKET, CHUNK = 2048, 8192
+#: Buckets of a class by its shingles' minima, and minima that make one: 0.999 of pairs at a Jaccard similarity of 0.8 meet.
+BANDS, ROWS = 13, 4
+#: Classes of a bucket up to which many buckets are compared at once, and the rows of such a batch.
+SMALL, BATCH_ROWS = 64, 50_000
 #: Shingles of a component's classes beyond which it is cut for the exact comparison.
 CHUNK_SHINGLES = 1 << 20
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -69,31 +75,50 @@ def _fingerprints(text: str | None, shingle: int, n: int) -> tuple[int, ...]:
     return _bits(_hashes(text, shingle), n)
 
 
-def _set_fingerprints(text: str | None, shingle: int, n: int) -> tuple[int, ...]:
-    """n fingerprints of a text's distinct shingles, as Jaccard similarity counts them, and a hash of their set."""
-    h = np.unique(_hashes(text, shingle))
-    return *_bits(h, n), int.from_bytes(xxhash.xxh64_digest(h.tobytes(), SEED), "big", signed=True)
+_ODD = (np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
-def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE, names: tuple[str, ...] = ("fp",), set_hash: str | None = None) -> DataFrame:
-    """df with one 64-bit fingerprint (long) per name. A text of fewer words is one shingle; without words it is zero.
+def _bands(h: np.ndarray) -> list[int]:
+    """One key for each band: a mix of the smallest of the hashes under each of its permutations."""
+    least = np.full(len(_ODD), _FULL)
+    for part in range(0, len(h), 2048):
+        least = np.minimum(least, (h[part : part + 2048] * _ODD[:, None]).min(axis=1))
+    rows = least.reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(r.tobytes()) - (1 << 63) for r in rows]
 
-    With set_hash, fingerprints are of the distinct shingles, whose set's hash is that column.
-    """
-    made_of, n = (_set_fingerprints if set_hash else _fingerprints), len(names)
-    names = (*names, set_hash) if set_hash else names
+
+def _set_fingerprints(text: str | None, shingle: int, n: int) -> tuple:
+    """n fingerprints of a text's distinct shingles, as Jaccard similarity counts them, a hash of their set, and its band keys."""
+    h = np.unique(_hashes(text, shingle))
+    return *_bits(h, n), int.from_bytes(xxhash.xxh64_digest(h.tobytes(), SEED), "big", signed=True), _bands(h) if len(h) else []
+
+
+def _marking(df: DataFrame, text: str, shingle: int, made_of, fps: tuple[str, ...], more: list[T.StructField]) -> DataFrame:
+    """df with what made_of gives for its text, in columns of the fingerprints' names and more."""
+    names = (*fps, *[f.name for f in more])
     kept = without(df, *names)
-    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, T.LongType()) for n in fps], *more])
+    kinds = [pa.list_(pa.int64()) if isinstance(schema[n].dataType, T.ArrayType) else pa.int64() for n in names]
 
     def run(batches):
         for batch in batches:
-            made = [made_of(t.as_py(), shingle, n) for t in batch.column(batch.schema.names.index(text))]
+            made = [made_of(t.as_py(), shingle, len(fps)) for t in batch.column(batch.schema.names.index(text))]
             columns = zip(*made) if made else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.int64()) for c in columns]], names=[*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=[*batch.schema.names, *names])
 
     return kept.mapInArrow(run, schema)
 
 
+def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE, names: tuple[str, ...] = ("fp",)) -> DataFrame:
+    """df with one 64-bit fingerprint (long) per name. A text of fewer words is one shingle; without words it is zero."""
+    return _marking(df, text, shingle, _fingerprints, names, [])
+
+
+def set_fingerprints(df: DataFrame, text: str, shingle: int, names: tuple[str, ...], set_hash: str, bands: str) -> DataFrame:
+    """df with fingerprints of the distinct shingles, the hash of their set, and the keys of its bands (none without words)."""
+    return _marking(df, text, shingle, _set_fingerprints, names, [T.StructField(set_hash, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType()))])
+
+
 def block_plan(n: int, radius: int, bucket: int | None = None) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
     """Blocks of the 64 bits as (first bit, bits) and the combinations that must agree, for n classes.
 
@@ -166,13 +191,65 @@ def close_pairs(x: np.ndarray, y: np.ndarray, radius: int, pairs: int = 262_144)
             yield start + at_q[word], at_w[word] * 64 + lane
 
 
+def within(x: np.ndarray, y: np.ndarray, most: int, lanes: int = 65_536) -> np.ndarray:
+    """Which pairs of rows (each of several 64-bit words) differ in at most so many bits: bit planes of many pairs at once."""
+    out = np.zeros(len(x), bool)
+    levels = most.bit_length()
+    for start in range(0, len(x), lanes):
+        apart = x[start : start + lanes] ^ y[start : start + lanes]
+        width = -(-len(apart) // 64)
+        at = np.arange(width)
+        counters, over = [np.zeros(width, np.uint64) for _ in range(levels)], np.zeros(width, np.uint64)
+        for k in range(apart.shape[1]):
+            planes = _planes(apart[:, k])[:, at]
+            for b in range(0, 64, 2):
+                u, v = planes[b], planes[b + 1]
+                either = u ^ v
+                carry = (u & v) | (counters[0] & either)
+                counters[0] = counters[0] ^ either
+                for j in range(1, levels):
+                    counters[j], carry = counters[j] ^ carry, counters[j] & carry
+                over = over | carry
+            live = ~_beyond(counters, over, most)
+            keep = np.flatnonzero(live)
+            at, over, counters = at[keep], over[keep], [c[keep] for c in counters]
+            if not len(at):
+                break
+        if len(at):
+            bits = np.unpackbits(live[keep].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            word, lane = np.nonzero(bits)
+            found = at[word] * 64 + lane
+            out[start + found[found < len(apart)]] = True
+    return out
+
+
+def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Roots after the linked pairs were joined: each the first of its component."""
+    while len(i):
+        i, j = root[i], root[j]
+        i, j = i[i != j], j[i != j]
+        np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
+        while (root[root] != root).any():
+            root = root[root]
+    return root
+
+
+def _links_of(root: np.ndarray, node: np.ndarray) -> pd.DataFrame:
+    at = np.flatnonzero(root != np.arange(len(root)))
+    return pd.DataFrame({"a": node[at], "b": node[root[at]]})
+
+
+def _words(pdf: pd.DataFrame, columns: list[str]) -> np.ndarray:
+    return np.stack([pdf[c].to_numpy(np.int64).view(np.uint64) for c in columns], axis=1)
+
+
 def _forest(left: pd.DataFrame, right: pd.DataFrame, radius: int, checks: list[str], most: int | None):
     """Links that join what the two sides connect: each class to the first of its component."""
     same = left is right
     both = left if same else pd.concat([left, right])
-    fps = both["fp"].to_numpy(np.int64).view(np.uint64)
+    words = _words(both, ["fp", *checks])
+    fps = words[:, 0]
     x, y = (fps, fps) if same else (fps[: len(left)], fps[len(left) :])
-    more = [both[c].to_numpy(np.int64).view(np.uint64) for c in checks]
     root = np.arange(len(both))
     for i, j in close_pairs(x, y, radius):
         if same:
@@ -180,16 +257,28 @@ def _forest(left: pd.DataFrame, right: pd.DataFrame, radius: int, checks: list[s
         else:
             j = j + len(left)
         if most is not None:
-            near = sum(np.bitwise_count(m[i] ^ m[j]).astype(np.int64) for m in [fps, *more]) <= most
+            new = root[i] != root[j]  # what is connected already needs no further look
+            i, j = i[new], j[new]
+            near = within(words[i], words[j], most)
             i, j = i[near], j[near]
-        while len(i):
-            i, j = root[i], root[j]
-            i, j = i[i != j], j[i != j]
-            np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
-            while (root[root] != root).any():
-                root = root[root]
-    at, node = np.flatnonzero(root != np.arange(len(root))), both["node"].to_numpy()
-    return pd.DataFrame({"a": node[at], "b": node[root[at]]})
+        root = _join(root, i, j)
+    return _links_of(root, both["node"].to_numpy())
+
+
+def _forest_of_many(pdf: pd.DataFrame, fps: list[str], most: int):
+    """Links of many small buckets at once: each class is compared with those some places after it in its bucket."""
+    pdf = pdf.sort_values(["t", "bucket"])
+    words, node = _words(pdf, fps), pdf["node"].to_numpy()
+    t, bucket = pdf["t"].to_numpy(), pdf["bucket"].to_numpy()
+    root = np.arange(len(pdf))
+    for d in range(1, len(pdf)):
+        i = np.flatnonzero((t[d:] == t[:-d]) & (bucket[d:] == bucket[:-d]))
+        if not len(i):
+            break
+        i = i[root[i] != root[i + d]]
+        i = i[within(words[i], words[i + d], most)]
+        root = _join(root, i, i + d)
+    return _links_of(root, node)
 
 
 def links(classes: DataFrame, radius: int = RADIUS, checks: tuple[str, ...] = (), most: int | None = None, bucket: int | None = None) -> DataFrame:
@@ -206,10 +295,13 @@ def links(classes: DataFrame, radius: int = RADIUS, checks: tuple[str, ...] = ()
         keys.append(F.struct(F.lit(t).alias("t"), bucket.alias("bucket")))
     dealt = classes.select("node", "fp", *checks, F.explode(F.array(*keys)).alias("k")).select("node", "fp", *checks, "k.*")
     large = dealt.groupBy("t", "bucket").count().where(F.col("count") > CHUNK).select("t", "bucket", F.ceil(F.col("count") / CHUNK).alias("chunks"))
+    return _compared(dealt.join(large, ["t", "bucket"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))), radius, checks, most)
+
+
+def _compared(dealt: DataFrame, radius: int, checks: tuple[str, ...], most: int | None) -> DataFrame:
+    """Links within buckets (``t, bucket``, cut into ``chunks`` whose pairs are compared) of ``node, fp`` and checks."""
     chunked = (
-        dealt.join(large, ["t", "bucket"], "left")
-        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        .withColumn("own", F.pmod(F.xxhash64("node", "t"), "chunks"))
+        dealt.withColumn("own", F.pmod(F.xxhash64("node", "t"), "chunks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
         .select("node", "fp", *checks, "t", "bucket", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
@@ -218,10 +310,29 @@ def links(classes: DataFrame, radius: int = RADIUS, checks: tuple[str, ...] = ()
         left = pdf[pdf["own"] == key[2]]
         return _forest(left, left if key[2] == key[3] else pdf[pdf["own"] == key[3]], radius, list(checks), most)
 
-    kind = classes.schema["node"].dataType.simpleString()
+    kind = dealt.schema["node"].dataType.simpleString()
     return chunked.groupBy("t", "bucket", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}")
 
 
+def set_links(classes: DataFrame, fps: tuple[str, ...], bands: str, radius: int, most: int) -> DataFrame:
+    """Links ``a, b`` that connect classes (``node``) of one bucket whose fingerprints differ in at most ``most`` bits in all.
+
+    In buckets of over SMALL classes the first fingerprints must be within ``radius`` besides. Every class deals BANDS keys,
+    whatever the table's size; fingerprints follow to those that meet another class.
+    """
+    keyed = classes.select("node", F.posexplode(bands).alias("t", "bucket"))
+    sizes = keyed.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("_n", F.col("size"))
+    met = join_hot(keyed, sizes, ["t", "bucket"], BANDS * classes.count())
+    met = written(met.join(classes.select("node", *fps), "node"))
+    small, large = met.where(F.col("size") <= SMALL), met.where(F.col("size") > SMALL)
+    kind = classes.schema["node"].dataType.simpleString()
+    batch = F.pmod(F.xxhash64("t", "bucket"), F.lit(small.count() // BATCH_ROWS + 1))
+    found = small.groupBy(batch.alias("batch")).applyInPandas(lambda pdf: _forest_of_many(pdf, list(fps), most), f"a {kind}, b {kind}")
+    first, checks = fps[0], fps[1:]
+    dealt = large.select("node", F.col(first).alias("fp"), *checks, "t", "bucket", F.ceil(F.col("size") / CHUNK).alias("chunks"))
+    return found.union(_compared(dealt, radius, checks, most))
+
+
 def _similar(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
     """Members and the first member of their component, for all members but the first, over pairs of at least that Jaccard similarity.
 
@@ -288,31 +399,39 @@ def verified(members: DataFrame, least: float, text: str = "text", shingle: int
 
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
-    fps: tuple[str, ...] = ("fp",), most: int | None = None, component: str = "component_id", least: float | None = None, bucket: int | None = None,
+    fps: tuple[str, ...] = ("fp",), most: int | None = None, component: str = "component_id", least: float | None = None,
 ) -> DataFrame:
     """df less its text, with fingerprints and the smallest id reachable over links, its own included.
 
     With several fingerprints, texts link if any of them is within radius and all together differ in at most ``most`` bits.
-    With ``least``, such links are candidates and texts link if the Jaccard similarity of their shingles is at least that;
-    texts of equal shingles are one class, and ids must be distinct and not null.
+    With ``least``, texts link if the Jaccard similarity of their shingles is at least that; candidates share a band and
+    differ in at most ``most`` bits. Texts of equal shingles are one class, and ids must be distinct and not null.
     Null ids link like others but are never the smallest; a component of null ids only has a null one. Null and empty
     texts have fingerprint zero and link like any other. Repeated rows stay. Input columns named like a result are
     replaced. An empty table gives an empty table.
     """
-    alike = "_set" if least is not None else None
-    marked = written(fingerprints(without(df, component), text, shingle, fps, alike).drop(text))
-    parts = [*fps, alike] if alike else list(fps)
-    node = F.col(parts[-1]) if alike or len(fps) == 1 else F.concat(*[F.lpad(F.hex(f), 16, "0") for f in fps[:2]])
-    classes = written(marked.groupBy(*parts).agg(F.min(id_col).alias("least_id")).withColumn("node", node))
-    found = None
-    for f in fps:
-        checks = tuple(c for c in fps if c != f)
-        part = links(classes.select("node", F.col(f).alias("fp"), *checks), radius, checks, most, bucket)
-        found = part if found is None else found.union(part)
-    roots = components(found)
-    if alike:
+    kept = without(df, component)
+    if least is None:
+        parts, made = list(fps), fingerprints(kept, text, shingle, fps)
+        node = F.col(fps[0]) if len(fps) == 1 else F.concat(*[F.lpad(F.hex(f), 16, "0") for f in fps[:2]])
+    else:
+        parts, made, node = [*fps, "_set"], set_fingerprints(kept, text, shingle, fps, "_set", "_bands"), F.col("_set")
+    marked = written(made.drop(text))
+    grouped = marked.groupBy(*parts).agg(F.min(id_col).alias("least_id"), F.count(F.lit(1)).alias("_n"), *([F.first("_bands").alias("_bands")] if least is not None else []))
+    classes = written(grouped.withColumn("node", node))
+    if least is None:
+        found = None
+        for f in fps:
+            checks = tuple(c for c in fps if c != f)
+            part = links(classes.select("node", F.col(f).alias("fp"), *checks), radius, checks, most)
+            found = part if found is None else found.union(part)
+        roots = components(found)
+    else:
+        roots = components(set_links(classes, fps, "_bands", radius, most))
         members = classes.join(roots, "node").select("node", "root", F.col("least_id").alias(id_col))
         roots = components(verified(df.select(id_col, text).join(members, id_col), least, text, shingle))
-    rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = rooted.groupBy("root").agg(F.min("least_id").alias(component))
-    return marked.join(rooted.join(first, "root").select(*parts, component), parts).select(*[c for c in marked.columns if c != alike], component)
+    rooted = written(classes.select("node", "least_id", "_n", *parts).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    first = rooted.groupBy("root").agg(F.min("least_id").alias(component), F.count(F.lit(1)).alias("_n"))
+    done = join_hot(rooted.withColumnRenamed("_n", "_rows"), first, ["root"], rooted.count()).select(*parts, component, F.col("_rows").alias("_n"))
+    names = [c for c in marked.columns if c not in ("_set", "_bands")]
+    return join_hot(marked.select(*{c: 0 for c in [*names, *parts]}), done, parts, marked.count()).select(*names, component)
