@@ -1,8 +1,8 @@
 """From raw documents to token ids: five stages, each written as Parquet and read again by the next.
 
 The stages use the operators with the parameters below and work on all rows that their predecessor kept. Near-duplicates
-are taken at five-word shingles and a Jaccard similarity of 0.8: four independent fingerprints of 64 bits, candidates
-within 11 bits on any and 56 of 256 in all, accepted by their shingles alone.
+are taken at five-word shingles and a Jaccard similarity of 0.8: candidates share the least hashes of a band and differ in
+at most 72 of the 256 bits of four independent fingerprints, and are accepted by their shingles alone.
 """
 
 from __future__ import annotations
@@ -15,9 +15,7 @@ from apsis.llm.common import table, written
 from apsis.llm.queries import vocabulary_path
 
 FINGERPRINTS = ("fp0", "fp1", "fp2", "fp3")
-SHINGLE, RADIUS, MOST_BITS, SIMILAR = 5, 11, 56, 0.8
-#: Classes that a bucket of candidates should hold: so wide a radius is compared with less copying in larger ones.
-BUCKET = 8192
+SHINGLE, RADIUS, MOST_BITS, SIMILAR = 5, 26, 72, 0.8
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +28,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the first in reading order."""
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    grouped = simhash.near_duplicates(rows.select("_row", "text"), "_row", shingle=SHINGLE, radius=RADIUS, fps=FINGERPRINTS, most=MOST_BITS, least=SIMILAR, bucket=BUCKET)
+    grouped = simhash.near_duplicates(rows.select("_row", "text"), "_row", shingle=SHINGLE, radius=RADIUS, fps=FINGERPRINTS, most=MOST_BITS, least=SIMILAR)
     first = grouped.where("_row = component_id").select("_row")
     return rows.join(first, "_row", "left_semi").select(docs.columns)
 
