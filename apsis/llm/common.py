@@ -28,8 +28,11 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where that is unset (tests), one of our own."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+    """The folder named by ``spark.checkpoint.dir``; on a local master, where that may be unset (tests), one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or _own_dir()
 
 
 def written(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A window is a run of consecutive words; a word goes if some window over it also starts elsewhere in the corpus.
 
-1. Rows are dealt into batches by a hash of their content. Each batch hashes its windows and adds them to its own
+1. Rows are dealt evenly into batches by a hash of their content and place. Each batch hashes its windows and adds them to its own
    count-min sketch, kept sparse and cut into ranges of cells: one row per batch, sketch row and range.
 2. The partition sketches of a range are added up; each batch gets back, for the cells it touched, whether the merged
    count exceeds one. Counts only overestimate, so no repeated window is lost, and the width follows the data's size.
@@ -10,8 +10,8 @@ A window is a run of consecutive words; a word goes if some window over it also
 4. Batches get the exact verdicts and drop the covered words.
 
 The sketch is never in one place: every range of cells is merged by its own task, whatever the corpus size. A window
-repeated a million times weighs one entry per batch. At 100 TB, larger ``batch_bytes`` and ``shard_windows`` keep the
-number of (batch, range) rows down.
+repeated a million times weighs one entry per batch. Rows of (batch, range) grow with the product of both numbers until each
+holds a few windows, never beyond the number of windows; larger ``batch_bytes`` and ``shard_windows`` keep them down.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from .common import text_bytes, without
 
 WINDOW = 35
-BATCH_BYTES = 8_000_000
+BATCH_BYTES, BATCH_ROWS = 6_000_000, 4_000
 SHARD_WINDOWS = 4_000_000
 #: Rows of the sketch, and cells in each for every window of the corpus.
 DEPTH, CELLS_PER_WINDOW = 2, 4
@@ -118,8 +118,8 @@ def _mask(b: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
 
 
-_SLICE = "kind int, shard int, _batch int, values binary, more binary, twice binary"
-_VERDICT = "kind int, shard int, _batch int, verdict binary"
+_SLICE = "kind int, shard int, _batch int, digest long, values binary, more binary, twice binary"
+_VERDICT = "kind int, shard int, _batch int, digest long, verdict binary"
 
 
 def _slices(kind: int, values: np.ndarray, more: np.ndarray | None, twice: np.ndarray, shards: int, bits: int):
@@ -139,8 +139,17 @@ def _borders(values: np.ndarray, shards: int, bits: int) -> np.ndarray:
     return np.append(np.searchsorted(values, starts), len(values))
 
 
-def _slice_frame(rows, batch: int) -> pd.DataFrame:
-    return pd.DataFrame([(k, s, batch, v, m, t) for k, s, v, m, t in rows], columns=["kind", "shard", "_batch", "values", "more", "twice"])
+def _slice_frame(rows, batch: int, digest: int) -> pd.DataFrame:
+    return pd.DataFrame([(k, s, batch, digest, v, m, t) for k, s, v, m, t in rows], columns=["kind", "shard", "_batch", "digest", "values", "more", "twice"])
+
+
+def _digest(texts, found: pd.DataFrame | None = None) -> int:
+    """What the texts of a batch are, in any order; verdicts on others raise an error."""
+    total = sum(xxhash.xxh64_intdigest(t) for t in texts if t) + len(texts)
+    own = total % (1 << 64) - (1 << 63)
+    if found is not None and (found["digest"] != own).any():
+        raise RuntimeError("rows came in another order when they were read again; write the table first")
+    return own
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -165,15 +174,16 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     often = np.empty(len(flat), bool)
     often[order] = (total > 1)[np.cumsum(new) - 1]
     cuts = np.split(often, np.cumsum(lens)[:-1])
-    return pd.DataFrame({"kind": kind, "shard": shard, "_batch": pdf["_batch"], "verdict": [_bits(c) for c in cuts]})
+    return pd.DataFrame({"kind": kind, "shard": shard, "_batch": pdf["_batch"], "digest": pdf["digest"], "verdict": [_bits(c) for c in cuts]})
 
 
 class Plan:
     """Sizes that follow from the text's bytes."""
 
-    def __init__(self, size: int, window: int, batch_bytes: int, shard_windows: int):
+    def __init__(self, rows: int, size: int, window: int, batch_bytes: int, shard_windows: int):
         n = max(1, size // BYTES_PER_WORD)
-        self.window, self.batches, self.shards = window, max(1, -(-size // batch_bytes)), max(1, -(-n // shard_windows))
+        self.window, self.shards = window, max(1, -(-n // shard_windows))
+        self.batches = max(1, -(-size // batch_bytes), -(-rows // BATCH_ROWS))
         self.bits = max(10, int(CELLS_PER_WINDOW * n).bit_length())
 
     def sketch(self, texts):
@@ -234,22 +244,24 @@ def remove_repeats(
 
     Windows are judged on the input. Texts shorter than a window, empty and null ones have none (null becomes empty).
     Repeated rows are repeats of each other and lose all their windows. An input column named like a result is replaced;
-    an empty table gives an empty table.
+    an empty table gives an empty table. df is read three times and dealt by content and place; a plan whose rows come in
+    another order when read again raises an error; write it first.
     """
     kept = without(df, n_words, n_removed)
-    _, size = text_bytes(df, text)
-    plan = Plan(size, window, batch_bytes, shard_windows)
+    rows, size = text_bytes(df, text)
+    plan = Plan(rows, size, window, batch_bytes, shard_windows)
     hashable = [F.col(f"`{f.name}`") for f in kept.schema if isinstance(f.dataType, T.AtomicType)]
-    docs = kept.withColumn("_batch", F.pmod(F.xxhash64(*hashable), F.lit(plan.batches)).cast("int"))
+    docs = kept.withColumn("_batch", F.pmod(F.xxhash64(F.monotonically_increasing_id(), *hashable), F.lit(plan.batches)).cast("int"))
 
     def sketch(key, pdf):
-        return _slice_frame(plan.sketch(pdf[text]), int(key[0]))
+        return _slice_frame(plan.sketch(pdf[text]), int(key[0]), _digest(pdf[text]))
 
     def exact(key, pdf, found):
-        return _slice_frame(plan.exact(pdf[text], found), int(key[0]))
+        return _slice_frame(plan.exact(pdf[text], found), int(key[0]), _digest(pdf[text], found))
 
     def finish(pdf, found):
         texts = pdf[text]
+        _digest(texts, found)
         gone = plan.repeated(texts, found) if len(pdf) else []
         out = pdf.drop(columns="_batch")
         out[text] = [b" ".join([w for w, g in zip(split_words(t), m) if not g] if m.any() else split_words(t)).decode() for t, m in zip(texts, gone)]

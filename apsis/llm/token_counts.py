@@ -28,6 +28,9 @@ class _Block:
     """Documents of a block, its distinct pre-tokens in order of shard and text, and where they occur."""
 
     def __init__(self, model, ids: list[int], texts: list[str | None], shards: int):
+        self.digests = np.array([xxhash.xxh64_intdigest(t, 42) if t is not None else 42 for t in texts], np.uint64).view(np.int64)
+        # Of rows and texts: another order of rows in a later pass gives another key, never another block's numbers.
+        self.key = xxhash.xxh64_intdigest(np.array(ids, np.int64).tobytes() + self.digests.tobytes()) - (1 << 63)
         number: dict[str, int] = {}
         word, times, per_doc = [], [], []
         for text in texts:
@@ -50,11 +53,11 @@ class _Block:
         at = 0
         for s, n in enumerate(self.cuts):
             if n:
-                yield s, self.ids[0], self.names[at : at + n]
+                yield s, self.key, self.names[at : at + n]
             at += n
 
     def frequencies(self):
-        yield self.ids[0], np.array(self.ids, np.int64).tobytes(), _planes(self.spread), _planes(self.docs), _planes(self.times)
+        yield self.key, np.array(self.ids, np.int64).tobytes(), self.digests.tobytes(), _planes(self.spread), _planes(self.docs), _planes(self.times)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -70,8 +73,8 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
     """df's other columns, with ``n_tokens`` instead of the text: the number of tokens of the whole text.
 
     A null or empty text has none; every row gives one row, repeated rows too; an input column named like the result is
-    replaced; an empty table gives an empty table. df is read three times and its rows are numbered in reading order, so
-    it should be a table or a plan that gives the same rows in the same order each time.
+    replaced; an empty table gives an empty table. df is read three times and its rows are numbered in reading order. A
+    plan whose rows come in another order when read again (by a lost executor, say) raises an error; write it first.
     """
     _, size = text_bytes(df, text)
     shards = max(1, -(-size // SHARD_BYTES))
@@ -96,7 +99,7 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
         return blocks(batches, _Block.questions, ["shard", "block", "pieces"])
 
     def keep(batches):
-        return blocks(batches, _Block.frequencies, ["block", "ids", "spread", "docs", "times"])
+        return blocks(batches, _Block.frequencies, ["block", "ids", "digests", "spread", "docs", "times"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         counts = _piece_counts(vocabulary.model(), sorted(set().union(*pdf["pieces"])))
@@ -104,17 +107,21 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
 
     def add(frequencies: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         counts = np.concatenate([np.empty(0, np.uint32), *map(_numbers, answers.sort_values("shard")["counts"])])
+        if len(frequencies) != 1 or len(counts) != len(frequencies["spread"].iloc[0]) // 4:
+            raise RuntimeError("rows came in another order when they were read again; write the table first")
+        digests = np.frombuffer(frequencies["digests"].iloc[0], np.int64)
         ids, spread, docs, times = frequencies[["ids", "spread", "docs", "times"]].iloc[0]
         ids = np.frombuffer(ids, np.int64)
         total = np.bincount(_numbers(docs), np.repeat(counts, _numbers(spread)) * _numbers(times).astype(np.float64), minlength=len(ids))
-        return pd.DataFrame({"_row": ids, n_tokens: total.astype(np.int64)})
+        return pd.DataFrame({"_row": ids, "_digest": digests, n_tokens: total.astype(np.int64)})
 
     texts = numbered.select("_row", F.col(f"`{text}`").alias("_text"))
     answers = texts.mapInPandas(ask, "shard int, block long, pieces array<string>").groupBy("shard").applyInPandas(answer, "block long, shard int, counts binary")
-    frequencies = texts.mapInPandas(keep, "block long, ids binary, spread binary, docs binary, times binary")
-    totals = frequencies.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add, f"_row long, `{n_tokens}` long")
-    rest = numbered.select("_row", *[F.col(f"`{c}`") for c in kept])
-    return rest.join(totals, "_row", "left").select(*[F.col(f"`{c}`") for c in kept], F.coalesce(n_tokens, F.lit(0)).cast("long").alias(n_tokens))
+    frequencies = texts.mapInPandas(keep, "block long, ids binary, digests binary, spread binary, docs binary, times binary")
+    totals = frequencies.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add, f"_row long, _digest long, `{n_tokens}` long")
+    rest = numbered.select("_row", F.xxhash64(F.col(f"`{text}`")).alias("_own"), *[F.col(f"`{c}`") for c in kept])
+    same = F.when(F.col("_own") == F.col("_digest"), F.col(n_tokens)).otherwise(F.raise_error(F.lit("rows came in another order when they were read again; write the table first")).cast("long"))
+    return rest.join(totals, "_row", "left").select(*[F.col(f"`{c}`") for c in kept], same.alias(n_tokens))
 
 
 def _piece_counts(model, distinct: list[str]) -> dict[str, int]:
