@@ -62,6 +62,8 @@ def join_hot(rows: DataFrame, side: DataFrame, keys: list[str], n: int) -> DataF
     Rows of hot keys stay where they are and the few sides come to them; the others are joined by shuffle. Keys are not null.
     """
     least = max(HOT_ROWS, n // MOST_HOT)
+    if n <= least:  # no key can have so many
+        return rows.join(side.drop("_n"), keys)
     hot = F.broadcast(side.where(F.col("_n") > least).drop("_n"))
     rest = side.where(F.col("_n") <= least).drop("_n")
     return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))

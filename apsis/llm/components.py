@@ -24,13 +24,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_n"))
         large = join_hot(both, least, ["u"], 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
         joined = join_hot(large, low, ["u"], 2 * n).select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         then = written(joined.select("e.u", "e.v").where("u <> v").distinct())
         state = then.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(stars)
-        discard(large)
         stars, n = then, state[0]
         if state == seen:
             break
