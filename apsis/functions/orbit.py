@@ -102,6 +102,12 @@ def risk_band(score: str | Column) -> Column:
     return band(score, RISK_BANDS, "LOW")
 
 
+def period_band(period: str | Column, low: float = 95.0, mid: float = 100.0) -> Column:
+    """Calibration band by period in minutes, low, mid or high; null where there is none or it is no number."""
+    p = col(period).cast("string").try_cast("double")
+    return F.when(p.isNull() | (p == 0), F.lit(None).cast("string")).when(p < low, "low").when(p < mid, "mid").otherwise("high")
+
+
 def orbit_class(height: str | Column) -> Column:
     """Regime by altitude in kilometres."""
     return band(height, ((35_000, "HIGH"), (2_000, "MEDIUM")), "LOW")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import all_of
 from .windows import keep_one
 
 
@@ -15,15 +16,17 @@ def after_high_water(new: DataFrame, stored: DataFrame, by: list[str], ts: str)
 
 
 def not_stored(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys are not stored yet, each key once."""
-    return new.join(stored.select(keys).distinct(), keys, "left_anti")
+    """Rows whose keys are not stored yet, each key once: the first in order of the other columns. A null key is like any other."""
+    known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    fresh = new.join(known, all_of([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
+    return keep_one(fresh, keys, [c for c in new.columns if c not in keys] or keys)
 
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[str, str]) -> DataFrame:
-    """Old and new rows by key; per column "replace", "coalesce" (new unless null), "or", or "add"."""
-    o, n = old.alias("o"), new.alias("n")
-    joined = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full")
-    here = F.coalesce(*[F.col(f"n.{k}").isNotNull() for k in keys])
+    """Old and new rows by key; per column "replace", "coalesce" (new unless null), "or", or "add". A null key is like any other."""
+    o, n = old.withColumn("_here", F.lit(True)).alias("o"), new.withColumn("_here", F.lit(True)).alias("n")
+    joined = o.join(n, all_of([F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]), "full")
+    here = F.col("n._here").isNotNull()
 
     def merged(c: str, rule: str) -> Column:
         a, b = F.col(f"o.{c}"), F.col(f"n.{c}")
@@ -37,7 +40,7 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[st
             return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
         raise ValueError(f"unknown rule {rule}")
 
-    return joined.select(*[F.coalesce(f"n.{k}", f"o.{k}").alias(k) for k in keys], *[merged(c, r).alias(c) for c, r in rules.items()])
+    return joined.select(*[F.when(here, F.col(f"n.{k}")).otherwise(F.col(f"o.{k}")).alias(k) for k in keys], *[merged(c, r).alias(c) for c, r in rules.items()])
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -20,10 +20,16 @@ def stratified(df: DataFrame, strata: str, key: str, n: int, seed: int = 47, fir
     return ranked.where(F.col("_rank") <= n).drop("_rank", "_first")
 
 
-def manifest_hash(df: DataFrame, by: list[str], value: str, out: str = "signature") -> DataFrame:
-    """SHA-256 of each key's sorted values: a fingerprint of a data set's files."""
-    joined = F.concat_ws(",", F.array_sort(F.collect_list(F.col(value).cast("string"))))
-    return df.groupBy(*by).agg(F.sha2(joined, 256).alias(out))
+def manifest_hash(df: DataFrame, by: list[str], value: str, out: str = "signature", digits: int = 0) -> DataFrame:
+    """SHA-256 of each key's sorted values: a fingerprint of a data set's files.
+
+    For keys of many values, parts by that many hex digits of the values' MD5 are hashed first, then their sorted hashes.
+    """
+    joined = lambda c: F.sha2(F.concat_ws(",", F.array_sort(F.collect_list(c.cast("string")))), 256)
+    if not digits:
+        return df.groupBy(*by).agg(joined(F.col(value)).alias(out))
+    part = F.substring(F.md5(F.col(value).cast("string").cast("binary")), 1, digits)
+    return df.groupBy(*by, part.alias("_part")).agg(joined(F.col(value)).alias("_hash")).groupBy(*by).agg(joined(F.col("_hash")).alias(out))
 
 
 def request_hash(parameters: dict) -> str:

@@ -41,6 +41,22 @@ def clean_numbers(df: DataFrame, columns, fill: dict | None = None) -> DataFrame
     return done.fillna({k: v for k, v in (fill or {}).items() if k in df.columns})
 
 
+def counted(df: DataFrame, rules: list[Rule], ts: str | None = None, cutoff=None) -> tuple[DataFrame, DataFrame]:
+    """Good rows later than a cutoff, and one row of counts: ``input, valid, filtered, invalid``.
+
+    Rows that break a rule, or whose time cannot be read where there is a cutoff, are invalid; good ones up to the cutoff
+    are filtered. Times that come as text may carry a zone.
+    """
+    good, bad = validate(df, rules)
+    marked = good.withColumn("_state", F.lit("valid"))
+    if cutoff is not None:
+        at = good[ts] if good.schema[ts].dataType.typeName() == "timestamp_ntz" else F.to_timestamp_ntz(F.try_to_timestamp(F.col(ts).cast("string")).cast("string"))
+        marked = good.withColumn("_state", F.when(at.isNull(), "invalid").when(at <= F.lit(cutoff).cast("timestamp_ntz"), "filtered").otherwise("valid"))
+    states = marked.select("_state").union(bad.select(F.lit("invalid")))
+    counts = states.agg(F.count(F.lit(1)).alias("input"), *[F.count_if(F.col("_state") == s).alias(s) for s in ("valid", "filtered", "invalid")])
+    return marked.where("_state = 'valid'").drop("_state"), counts
+
+
 def validate(df: DataFrame, rules: list[Rule], nulls: str = "fail", only_declared: bool = False) -> tuple[DataFrame, DataFrame]:
     """Good and rejected rows. ``nulls``: "fail" (a rule must be true) or "pass" (a null passes all but required).
 

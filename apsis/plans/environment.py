@@ -71,15 +71,22 @@ def timeline(kp: DataFrame, flux: DataFrame, spots: DataFrame) -> DataFrame:
 def density_index(active: DataFrame, by: str = "norad_cat_id", ts: str = "epoch_dt", width: float = 100.0, days: int = 3) -> DataFrame:
     """Daily density index from active objects: the median over altitude bins of the bins' median drag proxy.
 
-    Near-circular orbits with drag and without a manoeuvre since the record before take part. The rolling mean runs over
-    one row a day.
+    Near-circular orbits with drag take part, less those that manoeuvred since the record before among them. The rolling
+    mean runs over one row a day; days without a value take the one before.
     """
-    df = lag_diff(active, "mean_motion", [by], [ts], "_jump", absolute=True)
-    df = df.where("eccentricity < 0.05 and abs(bstar) > 1e-6 and _jump < 0.01")
+    df = active.where("eccentricity < 0.05 and abs(bstar) > 1e-6 and mean_motion_dot is not null and semimajor_axis is not null")
+    df = lag_diff(df, "mean_motion", [by], [ts], "_jump", absolute=True).where("_jump < 0.01")
     height = orbit.altitude("semimajor_axis")
     df = df.select(
         F.date_trunc("day", ts).cast("timestamp_ntz").alias("date"), orbit.altitude_bin(height, width).alias("bin"), F.col(by).alias("object"), orbit.drag_proxy("mean_motion_dot", "bstar", "semimajor_axis").alias("drag")
     ).where("drag is not null")
     daily = nested_median(df, ["date"], ["bin"], "drag", "object").withColumnsRenamed({"median": "thermometer_density_index", "n": "thermometer_sat_count"})
     mean = rolling(_one_series(daily), "date", ["_series"], days * DAY, {f"thermometer_density_{days}d_avg": F.avg("thermometer_density_index")})
-    return mean.drop("_series")
+    return forward_fill(mean, [c for c in mean.columns if c not in ("date", "_series")], ["_series"], ["date"]).drop("_series")
+
+
+def with_density(weather: DataFrame, density: DataFrame) -> DataFrame:
+    """The environment with the day's density; every gap takes the value before it, in order of time."""
+    joined = _one_series(weather.join(density, "date", "left"))
+    order = ["date", *[c for c in ("start_time", "ordinal") if c in weather.columns]]
+    return forward_fill(joined, [c for c in joined.columns if c not in (*order, "_series")], ["_series"], order).drop("_series")

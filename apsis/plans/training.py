@@ -10,6 +10,7 @@ from ..operators.aggregate import keys_with_rows
 from ..operators.asof import asof_daily
 from ..operators.incremental import after_high_water
 from ..operators.windows import last_rows, rate_per_day
+from .environment import with_density
 
 #: Columns of the training table, in order.
 COLUMNS = (
@@ -23,7 +24,7 @@ COLUMNS = (
 def integrate(orbits: DataFrame, weather: DataFrame, density: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
     """Orbit rows with the day's environment and derived columns, those later than what is stored of their object."""
     if density is not None:
-        weather = weather.join(F.broadcast(density), "date", "left")  # one row a day
+        weather = with_density(weather, density)
     fresh = orbits if stored is None else after_high_water(orbits, stored.select(F.col("norad_cat_id").cast("long").alias("norad_cat_id"), F.col("epoch").alias("epoch_dt")), ["norad_cat_id"], "epoch_dt")
     payload = [c for c in weather.columns if c not in ("date", "ordinal") and c not in fresh.columns]
     order = ["date", *[c for c in ("start_time", "ordinal") if c in weather.columns]]

@@ -249,23 +249,29 @@ def high_water_increment(spark, sf_dir):
     return incremental.after_high_water(ev, ev.where("ts < timestamp_ntz '2024-01-15'"), ["user_id"], "ts").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select user_id, ts from events a where event_id < 6000 and not exists (select 1 from events b where b.event_id < 5000 and a.user_id = b.user_id and a.ts = b.ts)")
+_NULL_USERS = "case when user_id % 10 = 0 then null else user_id end as u"
+
+
+@query("""with k as (select case when user_id % 10 = 0 then null else user_id end as u, date_trunc('day', ts)::timestamp as d, event_id, event_type from events)
+select u, d, min(event_id) as event_id from k a where event_type <> 'purchase' and not exists (select 1 from k b where b.event_type = 'purchase' and a.u is not distinct from b.u and a.d = b.d) group by 1, 2""")
 def insert_ignore(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    return incremental.not_stored(ev.where("event_id < 6000"), ev.where("event_id < 5000"), ["user_id", "ts"]).select("user_id", "ts")
+    ev = _events(spark, sf_dir).select(F.expr(_NULL_USERS), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("d"), "event_id", "event_type")
+    rows = lambda kind: ev.where(kind).drop("event_type")
+    return incremental.not_stored(rows("event_type <> 'purchase'"), rows("event_type = 'purchase'"), ["u", "d"])
 
 
-@query("""with o as (select user_id, max(value) as peak, bool_or(value > 150) as flagged, count(*) as n from events where day(ts) <= 10 group by 1),
-n as (select user_id, max(case when value > 100 then value end) as peak, bool_or(value > 190) as flagged, count(*) as n from events where day(ts) > 10 and user_id % 2 = 0 group by 1)
-select user_id, coalesce(n.peak, o.peak) as peak, coalesce(o.flagged, false) or coalesce(n.flagged, false) as flagged, coalesce(o.n, 0) + coalesce(n.n, 0) as n
-from o full join n using (user_id)""")
+@query("""with k as (select *, case when user_id % 10 = 0 then null else user_id end as u, nullif(event_type, 'purchase') as kind from events),
+o as (select u, kind, max(value) as peak, bool_or(value > 150) as flagged, count(*) as n, min(event_id) as first from k where day(ts) <= 10 group by 1, 2),
+n as (select u, kind, max(case when value > 100 then value end) as peak, bool_or(value > 190) as flagged, count(*) as n, min(event_id) as first from k where day(ts) > 10 group by 1, 2),
+m as (select u, kind, any_value(peak) filter (is_new) as new_peak, any_value(peak) filter (not is_new) as old_peak, bool_or(flagged) as flagged, sum(n) as n,
+  any_value(first) filter (is_new) as new_first, any_value(first) filter (not is_new) as old_first from (select *, false as is_new from o union all select *, true from n) group by 1, 2)
+select u, kind, coalesce(new_peak, old_peak) as peak, flagged, cast(n as bigint) as n, coalesce(new_first, old_first) as first from m""")
 def merge_upsert(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    old = ev.where("day(ts) <= 10").groupBy("user_id").agg(F.max("value").alias("peak"), F.bool_or(F.col("value") > 150).alias("flagged"), F.count(F.lit(1)).alias("n"))
-    new = ev.where("day(ts) > 10 and user_id % 2 = 0").groupBy("user_id").agg(
-        F.max(F.when(F.col("value") > 100, F.col("value"))).alias("peak"), F.bool_or(F.col("value") > 190).alias("flagged"), F.count(F.lit(1)).alias("n")
-    )
-    return incremental.merge_upsert(old, new, ["user_id"], {"peak": "coalesce", "flagged": "or", "n": "add"})
+    ev = _events(spark, sf_dir).select("*", F.expr(_NULL_USERS), F.expr("nullif(event_type, 'purchase')").alias("kind"))
+    n, first = F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first")
+    old = ev.where("day(ts) <= 10").groupBy("u", "kind").agg(F.max("value").alias("peak"), F.bool_or(F.col("value") > 150).alias("flagged"), n, first)
+    new = ev.where("day(ts) > 10").groupBy("u", "kind").agg(F.max(F.when(F.col("value") > 100, F.col("value"))).alias("peak"), F.bool_or(F.col("value") > 190).alias("flagged"), n, first)
+    return incremental.merge_upsert(old, new, ["u", "kind"], {"peak": "coalesce", "flagged": "or", "n": "add", "first": "replace"})
 
 
 @query("select o_custkey, o_orderstatus, o_orderkey from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1")
@@ -413,19 +419,46 @@ def catalogue_regimes(spark, sf_dir):
     return history.long_enough(orders, "o_orderdate", "end", 60).select("o_orderkey", control.regime(F.year("o_orderdate"), _RANGES).alias("regime"))
 
 
-@query("select c_mktsegment, sha256(string_agg(c_custkey::varchar, ',' order by c_custkey::varchar)) as signature from customer group by 1")
+@query("""with p as (select c_mktsegment, sha256(string_agg(c_custkey::varchar, ',' order by c_custkey::varchar)) as h from customer group by c_mktsegment, substring(md5(c_custkey::varchar), 1, 2))
+select c_mktsegment, sha256(string_agg(h, ',' order by h)) as signature from p group by 1""")
 def manifest_hash(spark, sf_dir):
-    return sampling.manifest_hash(_t(spark, sf_dir, "customer"), ["c_mktsegment"], "c_custkey")
+    return sampling.manifest_hash(_t(spark, sf_dir, "customer"), ["c_mktsegment"], "c_custkey", digits=2)
 
 
 @query("""with n as (select o_custkey, max(o_orderdate) as d from orders group by 1), a as (select c_custkey, (epoch_us(timestamp '1998-08-02') - epoch_us(d)) // 1000000 / 86400.0 as age from customer left join n on c_custkey = o_custkey)
-select c_custkey, round(age, 4) as age_days, case when age < 60 then 'REUSE' when age < 200 then 'INCREMENTAL' else 'RUN' end as decision from a""")
+select c_custkey, round(age, 4) as age_days, case when c_custkey % 13 = 0 then 'FORCED' when age < 60 then 'REUSE' when age < 200 then 'INCREMENTAL' else 'RUN' end as decision,
+  case when c_custkey % 13 = 0 then 'FORCE_REFRESH' when age is null then 'INITIAL_RUN' when age < 60 then 'CACHE_HIT' else 'DATA_STALE' end as reason from a""")
 def freshness_decisions(spark, sf_dir):
     from .config import Freshness
 
     runs = _t(spark, sf_dir, "orders").select(F.lit("orders").alias("phase"), F.col("o_custkey").cast("string").alias("param_hash"), F.col("o_orderdate").alias("created_at"), F.col("o_orderkey").alias("id"), F.lit("").alias("manifest_files"))
     asked = _t(spark, sf_dir, "customer").select("c_custkey", F.lit("orders").alias("phase"), F.col("c_custkey").cast("string").alias("param_hash"))
-    return control.decisions(runs, asked, "1998-08-02 00:00:00", Freshness(60, 200)).select("c_custkey", F.round("age_days", 4).alias("age_days"), "decision")
+    done = control.decisions(runs, asked, "1998-08-02 00:00:00", Freshness(60, 200), F.col("c_custkey") % 13 == 0)
+    return done.select("c_custkey", F.round("age_days", 4).alias("age_days"), "decision", "reason")
+
+
+@query("""with h as (select user_id, date_trunc('hour', ts)::timestamp as hour, count(*) as n from events group by 1, 2), d as (select *, sum(n) over (partition by user_id, hour::date) as m from h),
+s as (select user_id, hour, case when m / 8.0 > 0.9 or n / 3.0 > 0.8 then 'critical' when m / 8.0 > 0.75 or n / 3.0 > 0.6 then 'warning' when m / 8.0 > 0.5 or n / 3.0 > 0.4 then 'caution' else 'good' end as status from d)
+select user_id, hour, status, case status when 'critical' then 2.0 when 'warning' then 1.5 else 1.0 end::double as delay from s""")
+def usage_ladder(spark, sf_dir):
+    hours = _events(spark, sf_dir).groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    days = hours.withColumn("m", F.sum("n").over(windows.Window.partitionBy("user_id", F.to_date("hour"))))
+    status = control.usage_status(F.col("m") / 8.0, F.col("n") / 3.0)
+    return days.select("user_id", "hour", status.alias("status"), control.delay_factor(status).alias("delay"))
+
+
+@query("""select p_partkey, case when p_size % 7 = 0 then null when p_size % 5 = 0 then null when 60.0 + p_size < 75 then 'low' when 60.0 + p_size < 90 then 'mid' else 'high' end as band from part""")
+def period_bands(spark, sf_dir):
+    period = F.expr("case when p_size % 7 = 0 then 'n/a' when p_size % 5 = 0 then '0' else cast(60.0 + p_size as string) end")
+    return _t(spark, sf_dir, "part").select("p_partkey", orbit.period_band(period, 75, 90).alias("band"))
+
+
+@query("""with k as (select case when event_id % 17 = 0 then null when ts <= timestamp '2024-01-12' then 'filtered' when value > 190 then 'x' else 'valid' end as s, value, event_id % 17 = 0 as bad, ts from events),
+c as (select case when bad or value > 190 then 'invalid' when ts <= timestamp '2024-01-12' then 'filtered' else 'valid' end as s from k)
+select count(*) as input, count(*) filter (s = 'valid') as valid, count(*) filter (s = 'filtered') as filtered, count(*) filter (s = 'invalid') as invalid from c""")
+def telemetry_counts(spark, sf_dir):
+    ev = _events(spark, sf_dir).select("value", F.expr("case when event_id % 17 = 0 then 'no time' else cast(ts as string) || '+00:00' end").alias("epoch"))
+    return validate.counted(ev, [validate.Rule("value", "double", required=True, le=190.0)], "epoch", "2024-01-12 00:00:00")[1]
 
 
 @query("""with c as (select event_id, count(*) over (partition by user_id order by ts range between interval 2 day preceding and current row) as b,
@@ -441,31 +474,34 @@ def quota_states(spark, sf_dir):
 # Phases on the driver's tables
 
 
-@query("""with j as (select event_id, ts, user_id, value, abs(value / 5000 - lag(value / 5000) over (partition by user_id order by ts)) as jump from events),
-k as (select date_trunc('day', ts)::timestamp as date, floor((500 + value - 6378.0) / 100.0) * 100.0 as bin, user_id, abs(value / 2.0 / ((500 + value) * (500 + value))) as drag from j where jump < 0.01),
+@query("""with f as (select *, event_id % 4 + 1.0 as bstar from events where event_id % 6 <> 1 and event_id % 9 <> 2),
+j as (select event_id, ts, user_id, value, bstar, abs(value / 5000 - lag(value / 5000) over (partition by user_id order by ts)) as jump from f),
+k as (select date_trunc('day', ts)::timestamp as date, floor((500 + value - 6378.0) / 100.0) * 100.0 as bin, user_id, abs(value / bstar / ((500 + value) * (500 + value))) as drag from j where jump < 0.01),
 g as (select date, bin, median(drag) as m, count(distinct user_id) as n from k group by 1, 2), d as (select date, median(m) as x, sum(n) as n from g group by 1)
 select date, round(x * 1e6, 4) as density, cast(n as bigint) as objects, round(1e6 * avg(x) over (order by date range between to_microseconds(259199999999) preceding and current row), 4) as mean_3d from d""")
 def density_index(spark, sf_dir):
     ev = _events(spark, sf_dir)
     play = ev.select(
-        F.col("user_id").alias("norad_cat_id"), F.col("ts").alias("epoch_dt"), (F.col("value") / 5000).alias("mean_motion"), F.lit(0.0).alias("eccentricity"),
-        F.lit(2.0).alias("bstar"), F.col("value").alias("mean_motion_dot"), (F.col("value") + 500).alias("semimajor_axis"),
+        F.col("user_id").alias("norad_cat_id"), F.col("ts").alias("epoch_dt"), (F.col("value") / 5000).alias("mean_motion"), F.expr("case when event_id % 6 = 1 then 0.5D else 0.01D end").alias("eccentricity"),
+        F.expr("case when event_id % 9 = 2 then 0.0D else cast(event_id % 4 + 1 as double) end").alias("bstar"), F.col("value").alias("mean_motion_dot"), (F.col("value") + 500).alias("semimajor_axis"),
     )
     d = environment.density_index(play)
     return d.select("date", F.round(F.col("thermometer_density_index") * 1e6, 4).alias("density"), F.col("thermometer_sat_count").alias("objects"), F.round(F.col("thermometer_density_3d_avg") * 1e6, 4).alias("mean_3d"))
 
 
-@query("""with w as (select date_trunc('day', o_orderdate)::timestamp as date, round(avg(o_totalprice), 2) as observed_flux from orders group by 1),
-e as (select user_id, event_id, ts, value from events where ts > timestamp '2024-01-10')
+@query("""with v as (select date_trunc('day', o_orderdate)::timestamp as date, round(avg(o_totalprice), 2) as observed_flux, count(*)::double as x from orders group by 1),
+w as (select date, observed_flux, last_value(case when day(date) % 5 = 1 then x end ignore nulls) over (order by date rows unbounded preceding) as thermometer_density_index from v),
+e as (select user_id, event_id, ts, value from events)
 select event_id, round(value - 6378.0, 6) as altitude, round(case when value - 6378.0 < 400 then (400 - (value - 6378.0)) / 100 else 0 end, 6) as low_altitude_risk,
-  round((value - lag(value) over (partition by user_id order by ts)) / nullif(((epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts))) // 1000000) / 86400.0, 0), 3) as altitude_change_rate, observed_flux
+  round((value - lag(value) over (partition by user_id order by ts)) / nullif(((epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts))) // 1000000) / 86400.0, 0), 3) as altitude_change_rate, observed_flux, thermometer_density_index
 from e asof left join w on e.ts >= w.date""")
 def integrate(spark, sf_dir):
-    ev = _events(spark, sf_dir).where("ts > timestamp_ntz '2024-01-10'")
+    ev = _events(spark, sf_dir)
     orbits = ev.select(F.col("user_id").alias("norad_cat_id"), F.col("ts").alias("epoch_dt"), F.col("value").alias("semimajor_axis"), F.col("event_id").alias("mean_motion"))
-    weather = _t(spark, sf_dir, "orders").groupBy(F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("date")).agg(F.round(F.avg("o_totalprice"), 2).alias("observed_flux"))
-    done = training.integrate(orbits, weather)
-    return done.select(F.col("mean_motion").alias("event_id"), F.round("altitude", 6).alias("altitude"), F.round("low_altitude_risk", 6).alias("low_altitude_risk"), F.round("altitude_change_rate", 3).alias("altitude_change_rate"), "observed_flux")
+    weather = _t(spark, sf_dir, "orders").groupBy(F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("date")).agg(F.round(F.avg("o_totalprice"), 2).alias("observed_flux"), F.count(F.lit(1)).cast("double").alias("x"))
+    density = weather.where("day(date) % 5 = 1").select("date", F.col("x").alias("thermometer_density_index"))
+    done = training.integrate(orbits, weather.drop("x"), density)
+    return done.select(F.col("mean_motion").alias("event_id"), F.round("altitude", 6).alias("altitude"), F.round("low_altitude_risk", 6).alias("low_altitude_risk"), F.round("altitude_change_rate", 3).alias("altitude_change_rate"), "observed_flux", "thermometer_density_index")
 
 
 @query("""with d as (select date_trunc('day', ts)::timestamp as day, max(value) as peak from events where day(ts) % 4 = 1 group by 1),

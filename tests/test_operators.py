@@ -94,6 +94,37 @@ def test_upsert_rules(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 5, True, 1), (2, 6, True, 2), (3, 7, False, 3)]
 
 
+def test_keys_may_be_null(spark):
+    old = spark.createDataFrame([(None, "y", 5), (1, "x", 1)], "a long, b string, v long")
+    new = spark.createDataFrame([(None, "y", 9), (None, "z", 3), (None, "z", 4)], "a long, b string, v long")
+    got = incremental.merge_upsert(old, new.limit(2), ["a", "b"], {"v": "replace"})
+    assert {tuple(r) for r in got.collect()} == {(None, "y", 9), (None, "z", 3), (1, "x", 1)}
+    assert [tuple(r) for r in incremental.not_stored(new, old, ["a", "b"]).collect()] == [(None, "z", 3)]
+
+
+def test_density_filters_before_it_compares(spark):
+    rows = [(1, dt(2024, 1, d), n, e, 1e-3, 1e-4, 7000.0) for d, n, e in ((1, 15.0, 0.001), (2, 15.5, 0.5), (3, 15.001, 0.001))]
+    df = spark.createDataFrame(rows, "norad_cat_id long, epoch_dt timestamp_ntz, mean_motion double, eccentricity double, bstar double, mean_motion_dot double, semimajor_axis double")
+    assert [r.date.day for r in environment.density_index(df).collect()] == [3]
+
+
+def test_gaps_of_the_environment_are_filled(spark):
+    weather = spark.createDataFrame([(dt(2024, 1, d), float(d) if d != 2 else None) for d in range(1, 5)], "date timestamp_ntz, observed_flux double")
+    density = spark.createDataFrame([(dt(2024, 1, 2), 7.0)], "date timestamp_ntz, thermometer_density_index double")
+    got = environment.with_density(weather, density).orderBy("date").collect()
+    assert [(r.observed_flux, r.thermometer_density_index) for r in got] == [(1.0, None), (1.0, 7.0), (3.0, 7.0), (4.0, 7.0)]
+
+
+def test_decisions_and_routes(spark):
+    assert control.route("FORCED", {"RUN": 1, "REUSE": 2}) == 1 and control.route("REUSE", {"RUN": 1, "REUSE": 2}) == 2
+    with pytest.raises(ValueError):
+        control.route("INCREMENTAL", {"RUN": 1})
+    null = F.lit(None).cast("double")
+    assert [one(spark, control.checkpoint_decision(*a)) for a in ((null,), (F.lit(3.0),), (F.lit(3.0), F.lit(False)))] == ["RUN", "REUSE", "FORCED"]
+    assert one(spark, control.reason(F.lit(3.0), F.lit("REUSE"), "CHECKPOINT_EXISTS")) == "CHECKPOINT_EXISTS"
+    assert one(spark, control.usage_status(F.lit(0.2), F.lit(0.5))) == "caution" and one(spark, control.delay_factor(F.lit("warning"))) == 1.5
+
+
 def test_feeds(spark):
     flux = ["", "header one", "header two", "20240101 170000 02460311.208 002285.1 0141.2 0136.6 0122.9", "20240230 1 1 1 1 1 1", "20240102 1 1 1 -999.0 1 1", "short line", "20240103 1 1 1 x 1 1"]
     kp = ["# comment", ":also", "2024 01 01 00.0 01.50 33603.00000 33603.06250 2.667 12 1", "2024 02 30 00.0 01.50 1 1 2 12 1", "2024 01 01 00.0 01.50 1 1 2 12", "2024 01 02 00.0 01.50 1 1 -1 0 1"]
