@@ -34,7 +34,7 @@ BUCKET, CHUNK = 2048, 8192
 #: Buckets of a class by its shingles' minima, and minima that make one: 0.999 of pairs at a Jaccard similarity of 0.8 meet.
 BANDS, ROWS = 13, 4
 #: Classes of a bucket up to which many buckets are compared at once, and the rows of such a batch.
-SMALL, BATCH_ROWS = 64, 50_000
+SMALL, BATCH_ROWS = 64, 4_000
 #: Shingles of a component's classes beyond which it is cut for the exact comparison.
 CHUNK_SHINGLES = 1 << 20
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
