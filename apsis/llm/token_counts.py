@@ -3,7 +3,8 @@
 Documents fall into blocks. For every shard of the pre-tokens a block asks once for its distinct ones (one row per block
 and shard); the shuffle by shard brings equal pre-tokens of all blocks together, each distinct one is tokenised once, and
 a block gets back one number per pre-token it asked for. The block's own frequencies, one packed row, meet those answers
-and give a sum per document. No ids are kept. A frequent pre-token weighs one entry per block, so no shard is hot.
+and give a sum per document. Questions and frequencies come from one pass over the texts and leave it by one shuffle, which
+both readers share. No ids are kept. A frequent pre-token weighs one entry per block, so no shard is hot.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ from .common import text_bytes, without
 BLOCK_CHARS = 8_000_000
 #: Input bytes whose pre-tokens should share a shard.
 SHARD_BYTES = 16_000_000
+#: What a block sends: a question to each shard (kind 0, key: the shard) and its frequencies (kind 1, key: the block).
+QUESTION, FREQUENCIES = 0, 1
+SENT = "kind int, key long, block long, pieces array<string>, ids binary, digests binary, spread binary, docs binary, times binary"
+
 
 class _Block:
     """Documents of a block, its distinct pre-tokens in order of shard and text, and where they occur."""
@@ -49,15 +54,17 @@ class _Block:
         self.times = np.array(times, np.uint32)[order]
         self.docs = np.repeat(np.arange(len(texts)), per_doc)[order]
 
-    def questions(self):
+    def rows(self):
         at = 0
         for s, n in enumerate(self.cuts):
             if n:
-                yield s, self.key, self.names[at : at + n]
+                yield QUESTION, s, self.key, self.names[at : at + n], None, None, None, None, None
             at += n
+        packed = np.array(self.ids, np.int64).tobytes(), self.digests.tobytes(), _planes(self.spread), _planes(self.docs), _planes(self.times)
+        yield FREQUENCIES, self.key, self.key, None, *packed
 
-    def frequencies(self):
-        yield self.key, np.array(self.ids, np.int64).tobytes(), self.digests.tobytes(), _planes(self.spread), _planes(self.docs), _planes(self.times)
+    def frame(self) -> pd.DataFrame:
+        return pd.DataFrame(self.rows(), columns=[f.split()[0] for f in SENT.split(", ")])
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -73,7 +80,7 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
     """df's other columns, with ``n_tokens`` instead of the text: the number of tokens of the whole text.
 
     A null or empty text has none; every row gives one row, repeated rows too; an input column named like the result is
-    replaced; an empty table gives an empty table. df is read three times and its rows are numbered in reading order. A
+    replaced; an empty table gives an empty table. df is read twice, after its size, and its rows are numbered in reading order. A
     plan whose rows come in another order when read again (by a lost executor, say) raises an error; write it first.
     """
     _, size = text_bytes(df, text)
@@ -81,7 +88,7 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
     numbered = without(df, n_tokens).withColumn("_row", F.monotonically_increasing_id())
     kept = [c for c in numbered.columns if c not in (text, "_row")]
 
-    def blocks(batches, give, columns):
+    def send(batches):
         model = vocabulary.model()
         for pdf in batches:
             ids, texts, chars = [], [], 0
@@ -90,22 +97,20 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
                 texts.append(t)
                 chars += len(t or "")
                 if chars >= BLOCK_CHARS:
-                    yield pd.DataFrame(give(_Block(model, ids, texts, shards)), columns=columns)
+                    yield _Block(model, ids, texts, shards).frame()
                     ids, texts, chars = [], [], 0
             if ids:
-                yield pd.DataFrame(give(_Block(model, ids, texts, shards)), columns=columns)
-
-    def ask(batches):
-        return blocks(batches, _Block.questions, ["shard", "block", "pieces"])
-
-    def keep(batches):
-        return blocks(batches, _Block.frequencies, ["block", "ids", "digests", "spread", "docs", "times"])
+                yield _Block(model, ids, texts, shards).frame()
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["kind"].iloc[0] != QUESTION:
+            return pd.DataFrame(columns=["kind", "block", "shard", "counts"])
         counts = _piece_counts(vocabulary.model(), sorted(set().union(*pdf["pieces"])))
-        return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "counts": [_planes(np.fromiter((counts[w] for w in ws), np.int64, len(ws))) for ws in pdf["pieces"]]})
+        return pd.DataFrame({"kind": FREQUENCIES, "block": pdf["block"], "shard": pdf["key"], "counts": [_planes(np.fromiter((counts[w] for w in ws), np.int64, len(ws))) for ws in pdf["pieces"]]})
 
     def add(frequencies: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if len(frequencies) and frequencies["kind"].iloc[0] == QUESTION:
+            return pd.DataFrame(columns=["_row", "_digest", n_tokens])
         counts = np.concatenate([np.empty(0, np.uint32), *map(_numbers, answers.sort_values("shard")["counts"])])
         if len(frequencies) != 1 or len(counts) != len(frequencies["spread"].iloc[0]) // 4:
             raise RuntimeError("rows came in another order when they were read again; write the table first")
@@ -116,9 +121,9 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, text: str = "text", n_to
         return pd.DataFrame({"_row": ids, "_digest": digests, n_tokens: total.astype(np.int64)})
 
     texts = numbered.select("_row", F.col(f"`{text}`").alias("_text"))
-    answers = texts.mapInPandas(ask, "shard int, block long, pieces array<string>").groupBy("shard").applyInPandas(answer, "block long, shard int, counts binary")
-    frequencies = texts.mapInPandas(keep, "block long, ids binary, digests binary, spread binary, docs binary, times binary")
-    totals = frequencies.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add, f"_row long, _digest long, `{n_tokens}` long")
+    sent = texts.mapInPandas(send, SENT).groupBy("kind", "key")
+    answers = sent.applyInPandas(answer, "kind int, block long, shard long, counts binary")
+    totals = sent.cogroup(answers.groupBy("kind", "block")).applyInPandas(add, f"_row long, _digest long, `{n_tokens}` long")
     rest = numbered.select("_row", F.xxhash64(F.col(f"`{text}`")).alias("_own"), *[F.col(f"`{c}`") for c in kept])
     same = F.when(F.col("_own") == F.col("_digest"), F.col(n_tokens)).otherwise(F.raise_error(F.lit("rows came in another order when they were read again; write the table first")).cast("long"))
     return rest.join(totals, "_row", "left").select(*[F.col(f"`{c}`") for c in kept], same.alias(n_tokens))
