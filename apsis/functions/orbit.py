@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import EARTH_MU, EARTH_RADIUS, FAR_FROM_ELEMENTS_MINUTES, RISK_BANDS
-from .scalar import band, clip_below, col, whole
+from .scalar import band, clip_below, col, up_to, whole
 
 
 def semimajor_axis(mean_motion: str | Column) -> Column:
@@ -108,6 +108,37 @@ def period_band(period: str | Column, low: float = 95.0, mid: float = 100.0) ->
     return F.when(p.isNull() | (p == 0), F.lit(None).cast("string")).when(p < low, "low").when(p < mid, "mid").otherwise("high")
 
 
+# The highest altitude [km], inclination [deg] and eccentricity of each class, and the special orbits' ranges.
+ALTITUDES = ((160, "VLEO"), (300, "LOW_LEO"), (500, "STANDARD_LEO"), (800, "HIGH_LEO"), (2000, "VERY_HIGH_LEO"), (35786, "MEO"))
+INCLINATIONS = ((20, "EQUATORIAL"), (70, "INCLINED"), (85, "HIGH_INCLINED"), (95, "POLAR"))
+ECCENTRICITIES = ((0.01, "CIRCULAR"), (0.1, "NEAR_CIRCULAR"), (0.5, "ELLIPTICAL"))
+SUN_SYNCHRONOUS = {"inclination": (96, 98), "altitude": (600, 800), "period": (95, 105)}
+MOLNIYA = {"inclination": (63.4 - 2, 63.4 + 2), "eccentricity": 0.5, "period": (700, 740)}
+NAVIGATION = {"altitude": (19000, 21000), "inclination": (50, 65)}
+
+
+def altitude_class(height: str | Column) -> Column:
+    """Class by altitude, GEO beyond the last; like the two below, a class holds its highest value, and null has none."""
+    return up_to(height, ALTITUDES, "GEO")
+
+
+def inclination_class(degrees: str | Column) -> Column:
+    return up_to(degrees, INCLINATIONS, "RETROGRADE")
+
+
+def eccentricity_class(eccentricity: str | Column) -> Column:
+    return up_to(eccentricity, ECCENTRICITIES, "HIGHLY_ELLIPTICAL")
+
+
+def special_orbit(height: str | Column, inclination: str | Column, eccentricity: str | Column, period: str | Column) -> Column:
+    """SUN_SYNCHRONOUS, MOLNIYA (over the least eccentricity) or NAVIGATION, the first that fits; null for none."""
+    h, i, e, p = col(height), col(inclination), col(eccentricity), col(period)
+    sun = h.between(*SUN_SYNCHRONOUS["altitude"]) & i.between(*SUN_SYNCHRONOUS["inclination"]) & p.between(*SUN_SYNCHRONOUS["period"])
+    molniya = i.between(*MOLNIYA["inclination"]) & (e > MOLNIYA["eccentricity"]) & p.between(*MOLNIYA["period"])
+    navigation = h.between(*NAVIGATION["altitude"]) & i.between(*NAVIGATION["inclination"])
+    return F.when(sun, "SUN_SYNCHRONOUS").when(molniya, "MOLNIYA").when(navigation, "NAVIGATION")
+
+
 def orbit_class(height: str | Column) -> Column:
     """Regime by altitude in kilometres."""
     return band(height, ((35_000, "HIGH"), (2_000, "MEDIUM")), "LOW")

@@ -58,6 +58,24 @@ def band(c: str | Column, bands, lowest: str) -> Column:
     return out.otherwise(F.lit(lowest))
 
 
+def up_to(c: str | Column, classes, beyond: str) -> Column:
+    """Name of the first class whose highest value c doesn't exceed; classes from low to high; null without c."""
+    out = F.when(col(c).isNull(), F.lit(None).cast("string"))
+    for most, name in classes:
+        out = out.when(col(c) <= most, F.lit(name))
+    return out.otherwise(F.lit(beyond))
+
+
+def json_value(c: str | Column, path: str, kind: str) -> Column:
+    """A value in a JSON text, softly cast; null where text, path or cast fails."""
+    return F.get_json_object(col(c), path).try_cast(kind)
+
+
+def json_row(*columns: str | Column) -> Column:
+    """Columns as a JSON object in their order, nulls included."""
+    return F.to_json(F.struct(*[col(c) for c in columns]), {"ignoreNullFields": "false"})
+
+
 def all_of(conditions) -> Column:
     return reduce(and_, conditions, F.lit(True))
 

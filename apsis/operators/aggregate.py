@@ -41,5 +41,16 @@ def largest_gap(df: DataFrame, by: list[str], ts: str, unit: str = "DAY") -> Dat
     return df.withColumn("_gap", F.timestamp_diff(unit, before, F.col(ts))).groupBy(*by).agg(F.max("_gap").alias("largest_gap"))
 
 
+def integrity(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """One row about a table: distinct keys, first and last time, rows."""
+    return df.agg(F.count_distinct(key).alias("objects"), F.max(ts).alias("max_ts"), F.min(ts).alias("min_ts"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def lasting(df: DataFrame, by: list[str], ts: str, days: int) -> DataFrame:
+    """Keys whose times span at least so many whole days."""
+    spans = df.groupBy(*by).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
+    return spans.where(F.timestamp_diff("DAY", F.col("_a"), F.col("_b")) >= days).select(*by)
+
+
 def keys_with_rows(df: DataFrame, by: list[str], at_least: int) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") >= at_least)

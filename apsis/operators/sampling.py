@@ -32,7 +32,35 @@ def manifest_hash(df: DataFrame, by: list[str], value: str, out: str = "signatur
     return df.groupBy(*by, part.alias("_part")).agg(joined(F.col(value)).alias("_hash")).groupBy(*by).agg(joined(F.col("_hash")).alias(out))
 
 
+def _digest(values: dict, algorithm: str) -> str:
+    return hashlib.new(algorithm, json.dumps(values, sort_keys=True).encode()).hexdigest()
+
+
+def _text(v) -> str:
+    return v.isoformat() if hasattr(v, "isoformat") else str(v)
+
+
 def request_hash(parameters: dict) -> str:
-    """SHA-256 of a request: nulls dropped, lists in order of their text, keys sorted."""
-    normal = {k: sorted(map(str, v)) if isinstance(v, (list, tuple, set)) else v for k, v in parameters.items() if v is not None}
-    return hashlib.sha256(json.dumps(normal, sort_keys=True, default=str).encode()).hexdigest()
+    """SHA-256 of a request: nulls dropped, values as text (times in ISO form), lists in order of their text, keys sorted."""
+    listed = (list, tuple, set)
+    return _digest({k: sorted(map(str, v)) if isinstance(v, listed) else _text(v) for k, v in parameters.items() if v is not None}, "sha256")
+
+
+def filter_hash(filters: dict, algorithm: str = "sha256") -> str:
+    """SHA-256 or MD5 of filters: as a request's, but a list's order counts."""
+    if algorithm not in ("sha256", "md5"):
+        raise ValueError(f"unknown algorithm {algorithm}")
+    return _digest({k: _text(v) for k, v in filters.items() if v is not None}, algorithm)
+
+
+def data_signature(sizes: dict[str, int]) -> str:
+    """Sixteen hex digits of the MD5 of the sources' row counts."""
+    return _digest(sizes, "md5")[:16]
+
+
+def with_row_id(df: DataFrame, keys: list[str], out: str = "id") -> DataFrame:
+    """df with an id made of the keys: a recomputed task gives the same one, unlike a random or counted id.
+
+    It is the MD5 of the keys' values as a JSON object; null keys are like any other.
+    """
+    return df.withColumn(out, F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary")))

@@ -31,6 +31,11 @@ class Rule:
         return all_of(tests) if tests else None
 
 
+def without_matches(df: DataFrame, column: str, pattern: str) -> DataFrame:
+    """Rows whose text does not match; a null text goes too."""
+    return df.where(~F.col(column).rlike(pattern))
+
+
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -79,6 +84,6 @@ def validate(df: DataFrame, rules: list[Rule], nulls: str = "fail", only_declare
 
 def role_thresholds(df: DataFrame, role: str, limits: DataFrame, tests: dict[str, tuple[str, bool]]) -> DataFrame:
     """Rows within their role's limits: tests maps a column to (limit column, absolute). limits has one row per role."""
-    joined = df.join(F.broadcast(limits), role)
+    joined = df.join(limits, role)  # a table of roles is small enough for Spark to broadcast by its size
     conditions = [(F.abs(F.col(c)) if absolute else F.col(c)) <= F.col(limit) for c, (limit, absolute) in tests.items()]
     return joined.where(all_of(conditions)).select(df.columns)

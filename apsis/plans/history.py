@@ -11,7 +11,7 @@ from ..functions.scalar import timestamp
 from ..functions.sgp4 import state_vector
 from ..operators.asof import asof_backward, time_grid
 from ..operators.segments import gap_over, gate_segments, rise_over, split_at_breaks
-from ..operators.validate import clean_numbers, lower_names
+from ..operators.validate import clean_numbers, lower_names, without_matches
 from ..operators.windows import keep_one, key_maximum, lag_diff, rate_per_day
 
 #: Elements that are copied as reference elements of propagated rows.
@@ -34,7 +34,7 @@ def clean(raw: DataFrame, role: Role) -> DataFrame:
         df = df.withColumn("_ordinal", F.monotonically_increasing_id())
     df = clean_numbers(df, NUMERIC, {"bstar": 0.0, "mean_motion_dot": 0.0, "mean_motion_ddot": 0.0})
     df = df.withColumn(KEY, F.col(KEY).try_cast("long")).withColumn(TIME, timestamp("epoch")).withColumn("decay_date", timestamp("decay_date"))
-    df = df.where(~F.col("object_name").rlike("TBA")).dropna(subset=[*CRITICAL, KEY, TIME])
+    df = without_matches(df, "object_name", "TBA").dropna(subset=[*CRITICAL, KEY, TIME])
     df = df.where((F.col("eccentricity") <= role.max_eccentricity) & (F.abs("bstar") <= role.bstar_limit))
     if not role.negative_bstar:
         df = df.where("bstar >= 0")

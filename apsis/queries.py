@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .config import RISK_BANDS
 from .functions import orbit
-from .functions.scalar import all_of, clip_above, flag, number, whole
+from .functions.scalar import clip_above, json_row, json_value, number, whole
 from .operators import aggregate, asof, incremental, sampling, segments, validate, windows
 from .plans import control, environment, history, training
 from .sources import feeds
@@ -124,8 +124,7 @@ def latest_per_key(spark, sf_dir):
 @query("select event_id from events where user_id in (select user_id from events group by 1 having (epoch_us(max(ts)) - epoch_us(min(ts))) // 86400000000 >= 28)")
 def duration_gate(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    long = ev.groupBy("user_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).where(whole("DAY", "a", "b") >= 28)
-    return ev.join(long.select("user_id"), "user_id", "left_semi").select("event_id")
+    return ev.join(aggregate.lasting(ev, ["user_id"], "ts", 28), "user_id", "left_semi").select("event_id")
 
 
 @query("""select event_id, lag(least(value, 150.0), 1) over w as value_lag_1, lag(least(value, 150.0), 2) over w as value_lag_2, lag(least(value, 150.0), 3) over w as value_lag_3
@@ -237,7 +236,7 @@ def min_records(spark, sf_dir):
 
 @query("select count(distinct user_id) as objects, max(ts) as max_ts, min(ts) as min_ts, count(*) as n_rows from events")
 def integrity_check(spark, sf_dir):
-    return _events(spark, sf_dir).agg(F.count_distinct("user_id").alias("objects"), F.max("ts").alias("max_ts"), F.min("ts").alias("min_ts"), F.count(F.lit(1)).alias("n_rows"))
+    return aggregate.integrity(_events(spark, sf_dir), "user_id", "ts")
 
 
 # Increments
@@ -310,7 +309,7 @@ def numeric_clean(spark, sf_dir):
 @query("select p_partkey from part where case when p_partkey % 10 = 0 then null else p_name end not like '%a%'")
 def regex_filter(spark, sf_dir):
     name = F.when(F.col("p_partkey") % 10 != 0, F.col("p_name"))
-    return _t(spark, sf_dir, "part").where(~name.rlike("a")).select("p_partkey")
+    return validate.without_matches(_t(spark, sf_dir, "part").select("p_partkey", name.alias("name")), "name", "a").select("p_partkey")
 
 
 @query("""with r(l_returnflag, max_discount, max_tax) as (values ('A', 0.05, 0.04), ('N', 0.08, 0.08), ('R', 0.02, 0.06))
@@ -342,11 +341,10 @@ def log_features(spark, sf_dir):
 b as (select event_id, case when m > 0 then value / m end as x, value as k from a)
 select event_id, round(x, 6) as ratio, cast(x > 1.2 as int) as active, cast(x > 1.5 as int) as very_active, cast(k <= 20 as int) as quiet, cast(k >= 50 as int) as storm, cast(k >= 70 as int) as severe, cast(x > 1.2 or k >= 50 as int) as high from b""")
 def ratio_flags(spark, sf_dir):
-    df = windows.rolling(_events(spark, sf_dir), "ts", ["user_id"], 7 * 86_400, {"m": F.avg("value")})
-    df = df.withColumn("x", F.when(F.col("m") > 0, F.col("value") / F.col("m")))
-    x, k = F.col("x"), F.col("value")
-    flags = {"active": x > 1.2, "very_active": x > 1.5, "quiet": k <= 20, "storm": k >= 50, "severe": k >= 70, "high": (x > 1.2) | (k >= 50)}
-    return df.select("event_id", F.round("x", 6).alias("ratio"), *[flag(c).alias(n) for n, c in flags.items()])
+    df = windows.rolling(_events(spark, sf_dir), "ts", ["user_id"], 7 * 86_400, {"flux_81d_avg": F.avg("value")})
+    df = environment.activity(df.withColumns({"date": F.col("ts"), "observed_flux": F.col("value"), "kp_value": F.col("value") / 10}))
+    names = {"active": "solar_active", "very_active": "solar_very_active", "quiet": "geomag_quiet", "storm": "geomag_storm", "severe": "geomag_severe_storm", "high": "high_activity_period"}
+    return df.select("event_id", F.round("flux_enhancement", 6).alias("ratio"), *[F.col(c).alias(n) for n, c in names.items()])
 
 
 @query("""select event_id, case when value > 0 then round(power(398600.4418 / power(value * 2 * 3.141592653589793 / 86400.0, 2), 1.0 / 3.0), 4) end as axis from events""")
@@ -364,7 +362,29 @@ def altitude_risk(spark, sf_dir):
 
 @query("select event_id, cast(json_extract_string(props, '$.k') as int) as k from events")
 def json_field(spark, sf_dir):
-    return _events(spark, sf_dir).select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    return _events(spark, sf_dir).select("event_id", json_value("props", "$.k", "int").alias("k"))
+
+
+@query("""select event_id, json_object('user_id', user_id, 'kind', nullif(event_type, 'click'), 'k', cast(json_extract_string(props, '$.k') as int)) as line,
+  md5(json_object('user_id', user_id, 'event_id', event_id)) as id from events""")
+def json_rows(spark, sf_dir):
+    ev = sampling.with_row_id(_events(spark, sf_dir), ["user_id", "event_id"])
+    kind, k = F.expr("nullif(event_type, 'click')").alias("kind"), json_value("props", "$.k", "int").alias("k")
+    return ev.select("event_id", json_row("user_id", kind, k).alias("line"), "id")
+
+
+@query("""with o as (select p_partkey, p_retailprice * 20 - 18000 as h, p_partkey % 110 as i, p_size / 60.0 as e, case when p_partkey % 3 = 0 then 720 when p_partkey % 7 <> 0 then 100 end as p from part)
+select p_partkey, case when h <= 160 then 'VLEO' when h <= 300 then 'LOW_LEO' when h <= 500 then 'STANDARD_LEO' when h <= 800 then 'HIGH_LEO' when h <= 2000 then 'VERY_HIGH_LEO' when h <= 35786 then 'MEO' else 'GEO' end as by_altitude,
+  case when i <= 20 then 'EQUATORIAL' when i <= 70 then 'INCLINED' when i <= 85 then 'HIGH_INCLINED' when i <= 95 then 'POLAR' else 'RETROGRADE' end as by_inclination,
+  case when e <= 0.01 then 'CIRCULAR' when e <= 0.1 then 'NEAR_CIRCULAR' when e <= 0.5 then 'ELLIPTICAL' else 'HIGHLY_ELLIPTICAL' end as by_eccentricity,
+  case when h between 600 and 800 and i between 96 and 98 and p between 95 and 105 then 'SUN_SYNCHRONOUS' when i between 61.4 and 65.4 and e > 0.5 and p between 700 and 740 then 'MOLNIYA'
+    when h between 19000 and 21000 and i between 50 and 65 then 'NAVIGATION' end as special from o""")
+def orbit_classes(spark, sf_dir):
+    key = F.col("p_partkey")
+    period = F.when(key % 3 == 0, 720).when(key % 7 != 0, 100)
+    df = _t(spark, sf_dir, "part").select(key, (F.col("p_retailprice") * 20 - 18000).alias("h"), (key % 110).alias("i"), (F.col("p_size") / 60.0).alias("e"), period.alias("p"))
+    classes = {"by_altitude": orbit.altitude_class("h"), "by_inclination": orbit.inclination_class("i"), "by_eccentricity": orbit.eccentricity_class("e"), "special": orbit.special_orbit("h", "i", "e", "p")}
+    return df.select("p_partkey", *[c.alias(n) for n, c in classes.items()])
 
 
 # Validation, catalogue, control
@@ -394,8 +414,8 @@ def validate_lenient(spark, sf_dir):
 
 @query("select count(*) as input, count(*) filter (l_discount <= 0.07 and l_returnflag in ('A', 'N')) as valid, count(*) filter (not (l_discount <= 0.07 and l_returnflag in ('A', 'N'))) as invalid from lineitem")
 def validation_counts(spark, sf_dir):
-    good = all_of([F.col("l_discount") <= 0.07, F.col("l_returnflag").isin("A", "N")])
-    return _t(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("input"), F.count_if(good).alias("valid"), F.count_if(~good).alias("invalid"))
+    rules = [validate.Rule("l_discount", le=0.07), validate.Rule("l_returnflag", values=("A", "N"))]
+    return validate.counted(_t(spark, sf_dir, "lineitem"), rules)[1].select("input", "valid", "invalid")
 
 
 @query("select c_custkey, c_mktsegment from customer qualify row_number() over (partition by c_mktsegment order by md5('47|' || c_custkey)) <= 3")

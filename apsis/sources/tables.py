@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,24 +59,87 @@ def write_version(df: DataFrame, root: str, version: str, partition_by: tuple[st
     return path
 
 
+def _at(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _at(spark, path)
+    return fs.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or a folder with what is in it; False if there is none."""
+    fs, at = _at(spark, path)
+    return fs.delete(at, True)
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Rows as JSON objects, one a line, nulls left out."""
+    df.write.mode(mode).json(path)
+
+
+# The forms of the names below.
+def batch_name(param_hash: str, number: int) -> str:
+    """Name of a numbered batch of a request."""
+    return f"data_{param_hash[:16]}_batch_{number:03d}.parquet"
+
+
+def delta_name(at: datetime) -> str:
+    """Name of a delta: its time, and four hex digits that keep deltas of one second apart."""
+    return f"delta_{at:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:4]}.parquet"
+
+
+def write_landed(df: DataFrame, root: str, name: str, max_records: int = 10_000) -> str:
+    """Raw rows under a batch's or a delta's name (deltas under updates/), in files of so many rows at most."""
+    path = f"{root}/updates/{name}" if name.startswith("delta_") else f"{root}/{name}"
+    df.write.mode("errorifexists").option("maxRecordsPerFile", max_records).parquet(path)
+    return path
+
+
+def write_catalogue(chosen: DataFrame, id_col: str, root: str, category: str, seed: int | None = None) -> str:
+    """The objects of a category, one JSON line each: ``category, seed, id`` and ``metadata`` (all their columns).
+
+    It replaces the category's last one. Ids are kept as text; without a seed the field is left out.
+    """
+    path = f"{root}/category={category}"
+    seeded = F.lit(seed).cast("long").alias("seed")
+    write_json(chosen.select(F.lit(category).alias("category"), seeded, F.col(id_col).cast("string").alias("id"), F.struct("*").alias("metadata")), path)
+    return path
+
+
+def read_catalogue(spark: SparkSession, root: str, category: str) -> DataFrame | None:
+    """Ids of a category's objects; None if it was never written."""
+    path = f"{root}/category={category}"
+    return spark.read.schema("id string").json(path) if exists(spark, path) else None
+
+
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
     """The newest version under root; versions sort by name, and only its folder is read."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.getPath().getName().startswith("version="))
+    fs, at = _at(spark, root)
+    names = sorted(s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("version="))
     if not names:
         raise FileNotFoundError(f"no version under {root}")
     return spark.read.parquet(f"{root}/{names[-1]}")
 
 
-def append_new(new: DataFrame, target: str, keys: list[str]) -> None:
-    """Insert rows whose keys the target lacks; the target is created on first use."""
+def append_new(new: DataFrame, target: str, keys: list[str], within: str | None = None) -> None:
+    """Insert rows whose keys the target lacks; the target is created on first use.
+
+    ``within`` names a key, such as a time, by whose least and largest new value the target's scan is pruned.
+    """
     from ..operators.incremental import not_stored
     from ..operators.windows import keep_one
 
     spark = new.sparkSession
     once = keep_one(new, keys, [c for c in new.columns if c not in keys] or keys)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        once = not_stored(once, spark.read.parquet(target), keys)
+    if within is not None and within not in keys:
+        raise ValueError(f"{within} is no key")
+    if exists(spark, target):
+        stored = spark.read.parquet(target)
+        if within is not None:
+            least, most = new.agg(F.min(within), F.max(within)).first()
+            stored = stored.where(F.col(within).isNull() | F.col(within).between(F.lit(least), F.lit(most)))
+        once = not_stored(once, stored, keys)
     once.write.mode("append").parquet(target)

@@ -29,6 +29,15 @@ def windowed_mean(stream: DataFrame, by: list[str], ts: str, value: str, width:
     return timed.groupBy(*by, F.window(ts, width).alias("w")).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n_rows")).select(*by, F.col("w.start").alias("start"), "mean", "n_rows")
 
 
-def append_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Run what is available and insert rows whose keys the target lacks; a repeated batch adds nothing."""
-    return stream.writeStream.foreachBatch(lambda batch, _: append_new(batch, target, keys)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def append_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, within: str | None = None) -> StreamingQuery:
+    """Run what is available and insert rows whose keys the target lacks; a repeated batch adds nothing.
+
+    With ``within``, a key that mostly grows such as the time, a batch reads only the target's files and row groups of its range.
+    """
+
+    def add(batch: DataFrame, _: int) -> None:
+        batch.persist()  # its range and its rows are both asked for
+        append_new(batch, target, keys, within)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -229,6 +229,58 @@ def test_snapshots_roles_and_json(spark, tmp_path):
     assert tables.history(df.withColumn("t", F.lit(dt(2024, 1, 2))), [1, 2], "id", "t", dt(2024, 1, 1)).count() == 2
 
 
+def test_landing_and_catalogue(spark, tmp_path):
+    df = spark.range(25).withColumn("name", F.when(F.col("id") > 0, F.concat(F.lit("n"), "id"))).coalesce(1)
+    root = str(tmp_path / "raw")
+    batch, delta = tables.batch_name("0123456789abcdef0123", 7), tables.delta_name(dt(2024, 1, 2, 3, 4, 5))
+    assert batch == "data_0123456789abcdef_batch_007.parquet" and delta.startswith("delta_20240102_030405_") and len(delta) == 34
+    paths = [tables.write_landed(df, root, batch, max_records=10), tables.write_landed(df, root, delta)]
+    assert tables.deltas(paths) == paths[1:] and tables.read_manifest(spark, paths).count() == 50
+    assert len(list((tmp_path / "raw" / batch).glob("part-*"))) == 3
+    with pytest.raises(Exception, match="exists"):
+        tables.write_landed(df, root, batch)
+    assert tables.delete(spark, paths[0]) and not tables.exists(spark, paths[0]) and not tables.delete(spark, paths[0])
+    assert tables.read_catalogue(spark, root, "active") is None
+    for seed, n in ((None, 25), (47, 3)):
+        path = tables.write_catalogue(df.where(F.col("id") < n), "id", root, "active", seed)
+        assert sorted(r.id for r in tables.read_catalogue(spark, root, "active").collect()) == sorted(str(i) for i in range(n))
+    stored = spark.read.json(path).orderBy("id").collect()
+    assert stored[1].metadata.name == "n1" and stored[0].metadata.name is None and stored[0].seed == 47
+    tables.write_catalogue(df.where("id < 0"), "id", root, "decayed")
+    assert tables.read_catalogue(spark, root, "decayed").count() == 0
+
+
+def test_append_within_a_range(spark, tmp_path):
+    target = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, dt(2024, 1, 1)), (1, dt(2024, 1, 5)), (2, None)], "k long, t timestamp_ntz")
+    tables.append_new(df, target, ["k", "t"], within="t")
+    tables.append_new(df.union(spark.createDataFrame([(3, dt(2024, 1, 3)), (2, dt(2024, 1, 9))], df.schema)), target, ["k", "t"], within="t")
+    tables.append_new(df.where("t is null"), target, ["k", "t"], within="t")
+    tables.append_new(df.where("k > 9"), target, ["k", "t"], within="t")
+    assert spark.read.parquet(target).count() == 5
+    with pytest.raises(ValueError):
+        tables.append_new(df, target, ["k"], within="t")
+
+
+def test_hashes_and_ids(spark):
+    at = dt(2024, 1, 2, 3)
+    assert sampling.request_hash({"a": 1, "t": at}) == sampling.request_hash({"t": "2024-01-02T03:00:00", "a": "1", "b": None})
+    assert sampling.filter_hash({"a": [2, 1]}) != sampling.filter_hash({"a": [1, 2]}) and len(sampling.filter_hash({}, "md5")) == 32
+    assert sampling.data_signature({"b": 2, "a": 1}) == sampling.data_signature({"a": 1, "b": 2}) and len(sampling.data_signature({})) == 16
+    with pytest.raises(ValueError):
+        sampling.filter_hash({}, "crc")
+    df = spark.createDataFrame([(1, None), (None, 1), (None, None), (1, None)], "a long, b long")
+    ids = [r.id for r in sampling.with_row_id(df, ["a", "b"]).collect()]
+    assert len(set(ids)) == 3 and ids[0] == ids[3] and all(ids)
+
+
+def test_orbit_classes_at_their_bounds(spark):
+    df = spark.createDataFrame([(160.0,), (160.1,), (35786.0,), (35786.1,), (None,)], "h double")
+    assert [r.c for r in df.select(orbit.altitude_class("h").alias("c")).collect()] == ["VLEO", "LOW_LEO", "MEO", "GEO", None]
+    rows = spark.createDataFrame([(700.0, 97.0, 0.001, 100.0), (1500.0, 63.4, 0.7, 718.0), (20200.0, 55.0, 0.01, 718.0), (700.0, 97.0, 0.001, 110.0), (700.0, None, 0.001, 100.0)], "h double, i double, e double, p double")
+    assert [r.s for r in rows.select(orbit.special_orbit("h", "i", "e", "p").alias("s")).collect()] == ["SUN_SYNCHRONOUS", "MOLNIYA", "NAVIGATION", None, None]
+
+
 def test_control(spark):
     assert sampling.request_hash({"a": [2, 1], "b": None}) == sampling.request_hash({"a": [1, 2]}) != sampling.request_hash({"a": [1]})
     runs = spark.createDataFrame([(1, "p", "h", "s", dt(2024, 1, 1)), (2, "p", "h", "t", dt(2024, 1, 2))], "id long, phase string, param_hash string, source_id string, created_at timestamp_ntz")
