@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, quality, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
+from . import ann, bpe, decontamination, exact_dedup, quality, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
 from .common import table, written
 
 #: Vocabulary of ops 5 and 10.
@@ -84,7 +84,11 @@ def op10_token_counts(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts}
+def op12_exact_dedup(spark, sf_dir):
+    return exact_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts, "op12_exact_dedup": op12_exact_dedup}
 
 _OP9_SQL = r"""with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 s as (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
@@ -122,5 +126,8 @@ f as (select doc_id, host_share, path_share, evidence, 1 / (1 + exp(-(ln(greates
   from e join q on e.host is not distinct from q.host and e.path is not distinct from q.path)
 select doc_id, round(host_share, 6) as host_share, round(path_share, 6) as path_share, round(evidence, 6) as evidence, round(p_good, 6) as p_good, p_good >= 0.5 as keep from f"""
 
+_OP12_SQL = r"""with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as h from documents)
+select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = min(doc_id) over w as kept, h as text_sha256 from d window w as (partition by h)"""
+
 #: Plain SQL for the same rows; the other operators need hashes, models or libraries that SQL lacks, and have tests instead.
-SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL}
+SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL, "op12_exact_dedup": _OP12_SQL}
