@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, exact_dedup, quality, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
+from . import ann, bpe, decontamination, exact_dedup, quality, sharding, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
 from .common import table, written
 
 #: Vocabulary of ops 5 and 10.
@@ -88,7 +88,11 @@ def op12_exact_dedup(spark, sf_dir):
     return exact_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts, "op12_exact_dedup": op12_exact_dedup}
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts, "op12_exact_dedup": op12_exact_dedup, "op13_spelling_variants": op13_spelling_variants}
 
 _OP9_SQL = r"""with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 s as (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
@@ -129,5 +133,21 @@ select doc_id, round(host_share, 6) as host_share, round(path_share, 6) as path_
 _OP12_SQL = r"""with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as h from documents)
 select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = min(doc_id) over w as kept, h as text_sha256 from d window w as (partition by h)"""
 
+#: CRC-32 of a list ``b`` of bytes, bit by bit.
+_CRC32 = "xor(list_reduce(b, lambda c, x: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda y, i: xor(y >> 1, 3988292384 * (y & 1)), xor(c, x)), 4294967295::bigint), 4294967295)"
+_BYTES = "list_transform(range(0, octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::bigint)"
+_OP13_SQL = rf"""with recursive t as (select coalesce(doc_id::varchar, '') as k, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]{{5,}}')) as run from documents),
+d as (select k, run, count(*) as n from t group by 1, 2), e as (select *, {_BYTES.format("(k || ':' || run)")} as b from d), h as (select run, n, {_CRC32} as h from e),
+o as (select case when h % 97 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, n from h),
+v as (select word, sum(n)::bigint as n from o where length(word) >= 5 group by 1 having sum(n) >= 3),
+p as (select word, n, unnest(range(1, length(word) + 1)) as i from v),
+m as (select word, n, i, word[:i - 1] as a, word[i + 1:] as z from p), s as (select distinct word, n, a || z as short from m),
+near as (select x.word, y.word as other, y.n from m x join m y on x.i = y.i and x.a = y.a and x.z = y.z and x.word <> y.word
+  union all select s.word, v.word, v.n from s join v on s.short = v.word union all select v.word, s.word, s.n from s join v on s.short = v.word),
+g as (select word, count(*) as n_near, min((-n, other)) as best from near group by 1),
+f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when -best[1] >= 2 * v.n then best[2] end as form, case when -best[1] >= 2 * v.n then -best[1] end as form_n from v left join g using (word)),
+r as (select word, word as root from f where form is null union all select f.word, r.root from f join r on f.form = r.word)
+select word, form, root, n, n_near, form_n from f join r using (word)"""
+
 #: Plain SQL for the same rows; the other operators need hashes, models or libraries that SQL lacks, and have tests instead.
-SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL, "op12_exact_dedup": _OP12_SQL}
+SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL, "op12_exact_dedup": _OP12_SQL, "op13_spelling_variants": _OP13_SQL}
