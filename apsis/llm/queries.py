@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, exact_dedup, quality, sharding, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
+from . import ann, bpe, conversations, decontamination, exact_dedup, quality, sharding, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
 from .common import table, written
 
 #: Vocabulary of ops 5 and 10.
@@ -84,6 +84,10 @@ def op10_token_counts(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op12_exact_dedup(spark, sf_dir):
     return exact_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -92,7 +96,7 @@ def op13_spelling_variants(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts, "op12_exact_dedup": op12_exact_dedup, "op13_spelling_variants": op13_spelling_variants}
+QUERIES = {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_urls": op3_urls, "op4_decontamination": op4_decontamination, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_substring_dedup": op9_substring_dedup, "op10_token_counts": op10_token_counts, "op11_conversation_repair": op11_conversation_repair, "op12_exact_dedup": op12_exact_dedup, "op13_spelling_variants": op13_spelling_variants}
 
 _OP9_SQL = r"""with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 s as (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
@@ -149,5 +153,50 @@ f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when -best[1] >= 2
 r as (select word, word as root from f where form is null union all select f.word, r.root from f join r on f.form = r.word)
 select word, form, root, n, n_near, form_n from f join r using (word)"""
 
+
+
+def _op11_sql() -> str:
+    """The best audits of what follows each row, from the last row back, for each of the four states before it."""
+
+    def best(*ways):
+        return f"list_min([{', '.join(ways)}])"
+
+    def way(cost, letters, rest, said=""):
+        return f"{{'c': {rest}.c + {cost}, 'a': '{letters}' || {rest}.a, 't': {f'[{said}] || ' if said else ''}{rest}.t}}"
+
+    def unless(bad, then):
+        return f"case when {bad} then {{'c': 1000000000, 'a': '', 't': []::varchar[]}} else {then} end"
+
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    role = {2: "'user:'", 3: "'assistant:'"}
+    goes = {0: 2, 1: 2, 2: 3, 3: 2}
+    rows = []
+    for q in range(4):
+        keeps = [unless(f"must or i <> '{i}'", way("m", "K", f"w{to}", "line")) for i, to in kept[q].items()]
+        rows.append(f"{best(way(4, 'D', f'w{q}'), *keeps, unless('must', way('3 + m', 'R', f'w{goes[q]}', f'{role[goes[q]]} || text')))} as b{q}")
+    ends = []
+    for q in range(4):
+        one = goes[q]
+        two = [way(6, "II", f"b{goes[one]}", f"{role[one]}, {role[goes[one]]}")] if q < 2 else []
+        ends.append(f"{best(f'b{q}', way(3, 'I', f'b{one}', role[one]), *two)} as w{q}")
+    none = "[]::varchar[]"
+    return rf"""with recursive o as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+ob as (select *, {_BYTES.format("k")} as b from o), oh as (select * exclude (b), {_CRC32} % 20 as h from ob),
+d as (select conv_id, turn, case when h = 4 then 'user' else role end as role, case when h = 1 then '' when h = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when h = 3 then 2 else 1 end)) as copy from oh where h <> 0),
+f as (select *, regexp_replace(text, '[ 	-]+$', '') as bare, row_number() over w as r, lag(role[1]) over w as before, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as again
+    from d window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
+g as (select *, bare = '' as blank, bare <> '' and again > 1 as dup, bare <> '' and again = 1 and bare[-1] not in ('.', '!', '?') as cut from f),
+j as (select conv_id, r, role[1] as i, text, role || ':' || text as line, blank or dup as must, case when cut then 3 else 0 end as m from g),
+s as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count_if(blank) as blank, count_if(dup) as duplicate, count_if(cut) as truncated,
+    count_if(before is not null and before || role[1] not in ('su', 'ua', 'au')) as illegal, count(*) as n from g group by 1),
+p as (select conv_id, n as r, {{'c': 0, 'a': '', 't': {none}}} as w0, {{'c': 6, 'a': 'II', 't': ['user:', 'assistant:']}} as w1, {{'c': 3, 'a': 'I', 't': ['assistant:']}} as w2, {{'c': 0, 'a': '', 't': {none}}} as w3 from s
+  union all select conv_id, r, {', '.join(ends)} from (select p.conv_id, p.r - 1 as r, {', '.join(rows)} from p join j on p.conv_id is not distinct from j.conv_id and p.r = j.r)),
+e as (select conv_id, w0 from p where r = 0)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal,
+  coalesce(w0.c, 0)::bigint as cost, coalesce(w0.a, '') as audit, sha256(coalesce(array_to_string(w0.t, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join s on c.conv_id is not distinct from s.conv_id left join e on c.conv_id is not distinct from e.conv_id"""
+
+
 #: Plain SQL for the same rows; the other operators need hashes, models or libraries that SQL lacks, and have tests instead.
-SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL, "op12_exact_dedup": _OP12_SQL, "op13_spelling_variants": _OP13_SQL}
+SQL: dict[str, str] = {"op1_quality": _OP1_SQL, "op9_substring_dedup": _OP9_SQL, "op11_conversation_repair": _op11_sql(), "op12_exact_dedup": _OP12_SQL, "op13_spelling_variants": _OP13_SQL}
