@@ -11,6 +11,7 @@ SENTINELS = ("999.9999", "9999.9999", "-999.9999")
 # Columns that a record cannot do without, and all numeric ones.
 CRITICAL = ("mean_motion", "eccentricity", "inclination", "ra_of_asc_node", "arg_of_pericenter", "mean_anomaly")
 NUMERIC = (*CRITICAL, "bstar", "mean_motion_dot", "mean_motion_ddot", "semimajor_axis", "period", "apoapsis", "periapsis", "rev_at_epoch")
+# Minutes beyond which a state is far from its elements, least scores of the risk bands, limits of the roles and of requests.
 FAR_FROM_ELEMENTS_MINUTES = 720
 RISK_BANDS = ((0.8, "CRITICAL"), (0.6, "HIGH"), (0.4, "MEDIUM"))
 

@@ -23,7 +23,13 @@ def not_stored(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[str, str]) -> DataFrame:
-    """Old and new rows by key; per column "replace", "coalesce" (new unless null), "or", or "add". A null key is like any other."""
+    """Old and new rows by key; per column "replace", "coalesce" (new unless null), "or", or "add". A null key is like any other.
+
+    Every other column needs a rule, and both sides have the same columns; keys are unique within each side.
+    """
+    if set(old.columns) != set(new.columns) or set(old.columns) != {*keys, *rules}:
+        odd = set(old.columns) ^ set(new.columns) | set(old.columns) ^ {*keys, *rules}
+        raise ValueError(f"columns without a rule or on one side alone: {', '.join(sorted(odd))}")
     o, n = old.withColumn("_here", F.lit(True)).alias("o"), new.withColumn("_here", F.lit(True)).alias("n")
     joined = o.join(n, all_of([F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]), "full")
     here = F.col("n._here").isNotNull()

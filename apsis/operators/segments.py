@@ -2,32 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import whole
+from .ordered import CHUNK, place, scan
 from .windows import Names, keep_one, ordered
 
 
-def gap_over(ts: str, hours: int):
-    """Rule: more than so many whole hours since the row before."""
-    return lambda w: whole("HOUR", F.lag(ts).over(w), ts) > hours
+@dataclass(frozen=True)
+class Break:
+    """A rule by which a history breaks: its columns, and a test that is given the row before as ``before(name)``."""
+
+    columns: tuple[str, ...]
+    test: Callable[[Callable[[str], Column]], Column]
+
+    def holds(self, before: Callable[[str], Column]) -> Column:
+        return F.coalesce(self.test(before), F.lit(False))
+
+
+def gap_over(ts: str, hours: int) -> Break:
+    """More than so many whole hours since the row before."""
+    return Break((ts,), lambda before: whole("HOUR", before(ts), ts) > hours)
 
 
-def rise_over(value: str, by_more_than: float):
-    """Rule: the value rose since the row before; a fall never breaks."""
-    return lambda w: F.col(value) - F.lag(value).over(w) > by_more_than
+def rise_over(value: str, by_more_than: float) -> Break:
+    """The value rose since the row before; a fall never breaks."""
+    return Break((value,), lambda before: F.col(value) - before(value) > by_more_than)
 
 
-def split_at_breaks(df: DataFrame, by: Names, order: Names, rules: list, out: str = "segment_id") -> DataFrame:
-    """``<key>_Seg<n>``: n goes up where any rule holds and starts with 1. Rules take the window, see gap_over."""
+def _named(by: Names, n: Column) -> Column:
+    return F.concat(*[F.col(b).cast("string") for b in by], F.lit("_Seg"), n.cast("string"))
+
+
+def split_at_breaks(df: DataFrame, by: Names, order: Names, rules: list[Break], out: str = "segment_id") -> DataFrame:
+    """``<key>_Seg<n>``: n goes up where any rule holds and starts with 1. A key's rows meet in one task, see split_long."""
     w = ordered(by, order)
     broken: Column = F.row_number().over(w) == 1
     for rule in rules:
-        broken = broken | F.coalesce(rule(w), F.lit(False))
+        broken = broken | rule.holds(lambda c: F.lag(c).over(w))
     flagged = df.withColumn("_break", broken.cast("int"))
     n = F.sum("_break").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return flagged.withColumn(out, F.concat(*[F.col(b).cast("string") for b in by], F.lit("_Seg"), n.cast("string"))).drop("_break")
+    return flagged.withColumn(out, _named(by, n)).drop("_break")
+
+
+def split_long(df: DataFrame, by: Names, order: Names, rules: list[Break], out: str = "segment_id", chunks: int | None = None) -> DataFrame:
+    """The same segments where a key may hold a large share of the rows: its history is cut into chunks that hand on
+    their last row and their number of breaks."""
+    before = list(dict.fromkeys([*order, *[c for r in rules for c in r.columns]]))
+    rows = scan(place(df, by, order, chunks), by, order, before=before)
+    broken = F.col("_before").isNull()
+    for rule in rules:
+        broken = broken | rule.holds(lambda c: F.col("_before")[c])
+    numbered = scan(rows.withColumn("_break", broken.cast("int")).drop("_before"), by, order, sums={"_n": F.col("_break")})
+    return numbered.withColumn(out, _named(by, F.col("_n"))).drop("_break", "_n", CHUNK)
 
 
 def segment_spans(df: DataFrame, by: Names, segment: str, ts: str, end: str | None = None) -> DataFrame:

@@ -72,10 +72,11 @@ def density_index(active: DataFrame, by: str = "norad_cat_id", ts: str = "epoch_
     """Daily density index from active objects: the median over altitude bins of the bins' median drag proxy.
 
     Near-circular orbits with drag take part, less those that manoeuvred since the record before among them. The rolling
-    mean runs over one row a day; days without a value take the one before.
+    mean runs over one row a day; days without a value take the one before. Records of one time are in order of their values.
     """
     df = active.where("eccentricity < 0.05 and abs(bstar) > 1e-6 and mean_motion_dot is not null and semimajor_axis is not null")
-    df = lag_diff(df, "mean_motion", [by], [ts], "_jump", absolute=True).where("_jump < 0.01")
+    order = [ts, *[c for c in ("_ordinal",) if c in df.columns], "mean_motion", "mean_motion_dot", "bstar", "semimajor_axis"]
+    df = lag_diff(df, "mean_motion", [by], order, "_jump", absolute=True).where("_jump < 0.01")
     height = orbit.altitude("semimajor_axis")
     df = df.select(
         F.date_trunc("day", ts).cast("timestamp_ntz").alias("date"), orbit.altitude_bin(height, width).alias("bin"), F.col(by).alias("object"), orbit.drag_proxy("mean_motion_dot", "bstar", "semimajor_axis").alias("drag")

@@ -12,13 +12,14 @@ from ..operators.incremental import after_high_water
 from ..operators.windows import last_rows, rate_per_day
 from .environment import with_density
 
-#: Columns of the training table, in order.
+# Columns of the training table, in order.
 COLUMNS = (
-    "epoch date norad_cat_id mean_motion eccentricity inclination ra_of_asc_node arg_of_pericenter mean_anomaly bstar mean_motion_dot semimajor_axis "
-    "altitude observed_flux flux_81d_avg flux_7d_avg kp_mean ap_mean altitude_change_rate ap_lag_3h ap_lag_6h ap_24h_mean kp_24h_mean sunspot_number "
-    "flux_enhancement solar_active geomag_storm high_activity_period thermometer_density_index thermometer_sat_count thermometer_density_3d_avg "
-    "low_altitude_risk days_until_decay"
-).split()
+    "epoch", "date", "norad_cat_id", "mean_motion", "eccentricity", "inclination", "ra_of_asc_node", "arg_of_pericenter", "mean_anomaly",
+    "bstar", "mean_motion_dot", "semimajor_axis", "altitude", "observed_flux", "flux_81d_avg", "flux_7d_avg", "kp_mean", "ap_mean",
+    "altitude_change_rate", "ap_lag_3h", "ap_lag_6h", "ap_24h_mean", "kp_24h_mean", "sunspot_number", "flux_enhancement", "solar_active",
+    "geomag_storm", "high_activity_period", "thermometer_density_index", "thermometer_sat_count", "thermometer_density_3d_avg",
+    "low_altitude_risk", "days_until_decay",
+)
 
 
 def integrate(orbits: DataFrame, weather: DataFrame, density: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
@@ -30,7 +31,8 @@ def integrate(orbits: DataFrame, weather: DataFrame, density: DataFrame | None =
     order = ["date", *[c for c in ("start_time", "ordinal") if c in weather.columns]]
     df = asof_daily(fresh, weather, "epoch_dt", "date", payload, order)
     df = df.withColumn("altitude", orbit.altitude("semimajor_axis"))
-    df = rate_per_day(df, "altitude", "epoch_dt", ["norad_cat_id"], ["epoch_dt"], "altitude_change_rate")
+    ties = [c for c in ("_ordinal", "altitude", "mean_motion", "mean_anomaly") if c in df.columns]
+    df = rate_per_day(df, "altitude", "epoch_dt", ["norad_cat_id"], ["epoch_dt", *ties], "altitude_change_rate")
     renamed = {"kp_mean": "kp_value", "ap_mean": "ap_value", "days_until_decay": "rul_days"}
     df = df.withColumns({new: F.col(old) for new, old in renamed.items() if old in df.columns})
     df = df.withColumns({

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .config import RISK_BANDS
 from .functions import orbit
 from .functions.scalar import clip_above, json_row, json_value, number, whole
-from .operators import aggregate, asof, incremental, sampling, segments, validate, windows
+from .operators import aggregate, asof, incremental, ordered, sampling, segments, validate, windows
 from .plans import control, environment, history, training
 from .sources import feeds
 
@@ -100,6 +100,34 @@ def segment_gate(spark, sf_dir):
     return segments.gate_segments(split, ["user_id"], "segment_id", "ts", 1, 240, "last_ts").select("event_id", "segment_id")
 
 
+@query("""select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (order by ts, event_id rows unbounded preceding) as filled from events""")
+def fill_series(spark, sf_dir):
+    df = _events(spark, sf_dir).select("event_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("filled"))
+    return ordered.fill_series(df, ["filled"], ["ts", "event_id"]).select("event_id", "filled")
+
+
+@query("""select event_id, max(value) over w as peak_6h, sum(cast(floor(value) as bigint)) over w as total_6h, count(*) over w as n_6h from events
+window w as (order by ts range between to_microseconds(21599999999) preceding and current row)""")
+def rolling_series(spark, sf_dir):
+    results = {"peak_6h": F.max("value"), "total_6h": F.sum(F.floor("value").cast("long")), "n_6h": F.count(F.lit(1))}
+    return ordered.rolling_series(_events(spark, sf_dir).select("event_id", "ts", "value"), "ts", 21_600, results).select("event_id", *results)
+
+
+@query("""select event_id, sum(cast(floor(value) as bigint)) over w as total, count(*) over w as n from events window w as (partition by event_type order by ts, event_id rows unbounded preceding)""")
+def running_sums(spark, sf_dir):
+    """event_type has a handful of values: each holds a large share of the rows."""
+    df = _events(spark, sf_dir).select("event_id", "event_type", "ts", "value")
+    return ordered.running_sums(df, {"total": F.floor("value").cast("long"), "n": F.lit(1).cast("long")}, ["event_type"], ["ts", "event_id"]).select("event_id", "total", "n")
+
+
+@query("""with a as (select *, case when lag(ts) over w is null then 1 when floor((epoch_us(ts) - epoch_us(lag(ts) over w)) / 3600000000.0) > 1 then 1
+  when value - lag(value) over w > 90 then 1 else 0 end as n from events window w as (partition by event_type order by ts, event_id))
+select event_id, event_type || '_Seg' || cast(sum(n) over (partition by event_type order by ts, event_id rows unbounded preceding) as bigint) as segment_id from a""")
+def long_segments(spark, sf_dir):
+    rules = [segments.gap_over("ts", 1), segments.rise_over("value", 90.0)]
+    return segments.split_long(_events(spark, sf_dir).select("event_id", "event_type", "ts", "value"), ["event_type"], ["ts", "event_id"], rules).select("event_id", "segment_id")
+
+
 @query("select event_id, last_value(case when value > 50 then value end ignore nulls) over (partition by user_id order by ts, event_id rows unbounded preceding) as filled from events")
 def forward_fill(spark, sf_dir):
     df = _events(spark, sf_dir).withColumn("filled", F.when(F.col("value") > 50, F.col("value")))
@@ -171,6 +199,24 @@ def asof_keyed(spark, sf_dir):
     return asof.asof_backward(ev.where("event_type = 'purchase'"), clicks, "ts", "click_ts", ["user_id"], ["click_id", "click_value"]).select("event_id", "click_id", "click_value")
 
 
+@query("""with c as (select ts as click_ts, max(event_id) as click_id from events where event_type = 'click' group by 1)
+select event_id, click_id from (select * from events where event_type = 'purchase') e asof left join c on e.ts >= c.click_ts""")
+def asof_intraday(spark, sf_dir):
+    """The last click of anyone at or before each purchase, to the microsecond."""
+    ev = _events(spark, sf_dir).select("event_id", "event_type", "ts")
+    clicks = ev.where("event_type = 'click'").select(F.col("ts").alias("click_ts"), F.col("event_id").alias("click_id"))
+    return asof.asof_any(ev.where("event_type = 'purchase'"), clicks, "ts", "click_ts", ["click_id"], tie="click_id").select("event_id", "click_id")
+
+
+@query("""with o as (select event_type, ts as seen_ts, max(event_type || '/' || event_id) as seen from events where value > 80 group by 1, 2)
+select event_id, seen from events e asof left join o on e.event_type = o.event_type and e.ts >= o.seen_ts""")
+def asof_large_keys(spark, sf_dir):
+    """By event_type, whose values each hold a large share of the rows; ties are texts and the last in their order counts."""
+    ev = _events(spark, sf_dir).select("event_id", "event_type", "ts", "value")
+    seen = ev.where("value > 80").select("event_type", F.col("ts").alias("seen_ts"), F.concat_ws("/", "event_type", "event_id").alias("seen"))
+    return asof.asof_any(ev, seen, "ts", "seen_ts", ["seen"], ["event_type"], tie="seen").select("event_id", "seen")
+
+
 @query("""with env as (select date_trunc('day', ts)::timestamp as d, max(event_id) as v from events where event_type = 'purchase' and day(ts) % 3 = 0 group by 1)
 select e.event_id, r.v from events e asof left join env r on e.ts >= r.d""")
 def asof_daily(spark, sf_dir):

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Columns of a raw record that arrive as text or number; all are landed as text but the id.
-RAW = T.StructType([T.StructField("NORAD_CAT_ID", T.LongType())] + [T.StructField(c, T.StringType()) for c in (
-    "EPOCH OBJECT_NAME OBJECT_TYPE RCS_SIZE COUNTRY_CODE CREATION_DATE LAUNCH_DATE DECAY_DATE MEAN_MOTION ECCENTRICITY INCLINATION "
-    "RA_OF_ASC_NODE ARG_OF_PERICENTER MEAN_ANOMALY BSTAR MEAN_MOTION_DOT MEAN_MOTION_DDOT SEMIMAJOR_AXIS PERIOD APOAPSIS PERIAPSIS "
-    "REV_AT_EPOCH TLE_LINE0 TLE_LINE1 TLE_LINE2"
-).split()])
+# Columns of a raw record; they arrive as text or number and are landed as text, but for the id.
+RAW_COLUMNS = (
+    "EPOCH", "OBJECT_NAME", "OBJECT_TYPE", "RCS_SIZE", "COUNTRY_CODE", "CREATION_DATE", "LAUNCH_DATE", "DECAY_DATE", "MEAN_MOTION",
+    "ECCENTRICITY", "INCLINATION", "RA_OF_ASC_NODE", "ARG_OF_PERICENTER", "MEAN_ANOMALY", "BSTAR", "MEAN_MOTION_DOT", "MEAN_MOTION_DDOT",
+    "SEMIMAJOR_AXIS", "PERIOD", "APOAPSIS", "PERIAPSIS", "REV_AT_EPOCH", "TLE_LINE0", "TLE_LINE1", "TLE_LINE2",
+)
+RAW = T.StructType([T.StructField("NORAD_CAT_ID", T.LongType()), *[T.StructField(c, T.StringType()) for c in RAW_COLUMNS]])
 
 
 def read_manifest(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
