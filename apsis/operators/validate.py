@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.scalar import all_of, number
@@ -46,20 +46,35 @@ def clean_numbers(df: DataFrame, columns, fill: dict | None = None) -> DataFrame
     return done.fillna({k: v for k, v in (fill or {}).items() if k in df.columns})
 
 
+def states(df: DataFrame, rules: list[Rule], ts: str | None = None, cutoff=None) -> DataFrame:
+    """df, typed, with ``_state``: invalid (breaks a rule, or has no readable time where there is a cutoff), filtered (good but not
+    later than the cutoff) or valid. Times that come as text may carry a zone."""
+    typed, good = _judged(df, rules, "fail")
+    state = F.when(~good, "invalid")
+    if cutoff is not None:
+        at = F.col(ts) if typed.schema[ts].dataType.typeName() == "timestamp_ntz" else F.to_timestamp_ntz(F.try_to_timestamp(F.col(ts).cast("string")).cast("string"))
+        state = state.when(at.isNull(), "invalid").when(at <= F.lit(cutoff).cast("timestamp_ntz"), "filtered")
+    return typed.withColumn("_state", state.otherwise("valid"))
+
+
+def _counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("input"), *[F.count_if(F.col("_state") == s).alias(s) for s in ("valid", "filtered", "invalid")]]
+
+
 def counted(df: DataFrame, rules: list[Rule], ts: str | None = None, cutoff=None) -> tuple[DataFrame, DataFrame]:
-    """Good rows later than a cutoff, and one row of counts: ``input, valid, filtered, invalid``.
+    """Good rows later than a cutoff, and one row of counts: ``input, valid, filtered, invalid`` (see states); each is one scan."""
+    marked = states(df, rules, ts, cutoff)
+    return marked.where("_state = 'valid'").drop("_state"), marked.agg(*_counts())
+
 
-    Rows that break a rule, or whose time cannot be read where there is a cutoff, are invalid; good ones up to the cutoff
-    are filtered. Times that come as text may carry a zone.
+def observed(df: DataFrame, rules: list[Rule], ts: str | None = None, cutoff=None, name: str | None = None) -> tuple[DataFrame, Observation]:
+    """The same good rows, and the same counts taken while the good rows are written: one scan for both.
+
+    The counts (``observation.get``) are there once one action has run over all good rows, and are that action's.
     """
-    good, bad = validate(df, rules)
-    marked = good.withColumn("_state", F.lit("valid"))
-    if cutoff is not None:
-        at = good[ts] if good.schema[ts].dataType.typeName() == "timestamp_ntz" else F.to_timestamp_ntz(F.try_to_timestamp(F.col(ts).cast("string")).cast("string"))
-        marked = good.withColumn("_state", F.when(at.isNull(), "invalid").when(at <= F.lit(cutoff).cast("timestamp_ntz"), "filtered").otherwise("valid"))
-    states = marked.select("_state").union(bad.select(F.lit("invalid")))
-    counts = states.agg(F.count(F.lit(1)).alias("input"), *[F.count_if(F.col("_state") == s).alias(s) for s in ("valid", "filtered", "invalid")])
-    return marked.where("_state = 'valid'").drop("_state"), counts
+    observation = Observation(name) if name else Observation()
+    marked = states(df, rules, ts, cutoff).observe(observation, *_counts())
+    return marked.where("_state = 'valid'").drop("_state"), observation
 
 
 def validate(df: DataFrame, rules: list[Rule], nulls: str = "fail", only_declared: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -67,6 +82,12 @@ def validate(df: DataFrame, rules: list[Rule], nulls: str = "fail", only_declare
 
     A required column that is missing raises; other missing columns have no rules. Declared kinds are cast softly.
     """
+    typed, good = _judged(df, rules, nulls)
+    columns = [r.column for r in rules if r.column in df.columns] if only_declared else typed.columns
+    return typed.where(good).select(columns), typed.where(~good)
+
+
+def _judged(df: DataFrame, rules: list[Rule], nulls: str) -> tuple[DataFrame, Column]:
     if missing := [r.column for r in rules if r.required and r.column not in df.columns]:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     if nulls not in ("fail", "pass"):
@@ -77,9 +98,7 @@ def validate(df: DataFrame, rules: list[Rule], nulls: str = "fail", only_declare
     for r in here:
         if (test := r.holds()) is not None:
             tests.append(F.coalesce(test, F.lit(False)) if nulls == "fail" else F.col(r.column).isNull() | test)
-    good = all_of(tests)
-    columns = [r.column for r in here] if only_declared else typed.columns
-    return typed.where(good).select(columns), typed.where(~good)
+    return typed, all_of(tests)
 
 
 def role_thresholds(df: DataFrame, role: str, limits: DataFrame, tests: dict[str, tuple[str, bool]]) -> DataFrame:

@@ -6,7 +6,9 @@ the state vector, customer the catalogue.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,9 @@ from .functions import orbit
 from .functions.scalar import clip_above, json_row, json_value, number, whole
 from .operators import aggregate, asof, incremental, ordered, sampling, segments, validate, windows
 from .plans import control, environment, history, training
-from .sources import feeds
+from .sources import feeds, store, tables
+from .sources.json_arrays import read_json_arrays
+from .sources.scratch import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -305,18 +309,61 @@ def insert_ignore(spark, sf_dir):
     return incremental.not_stored(rows("event_type <> 'purchase'"), rows("event_type = 'purchase'"), ["u", "d"])
 
 
-@query("""with k as (select *, case when user_id % 10 = 0 then null else user_id end as u, nullif(event_type, 'purchase') as kind from events),
+_MERGED = """with k as (select *, case when user_id % 10 = 0 then null else user_id end as u, nullif(event_type, 'purchase') as kind from events),
 o as (select u, kind, max(value) as peak, bool_or(value > 150) as flagged, count(*) as n, min(event_id) as first from k where day(ts) <= 10 group by 1, 2),
 n as (select u, kind, max(case when value > 100 then value end) as peak, bool_or(value > 190) as flagged, count(*) as n, min(event_id) as first from k where day(ts) > 10 group by 1, 2),
 m as (select u, kind, any_value(peak) filter (is_new) as new_peak, any_value(peak) filter (not is_new) as old_peak, bool_or(flagged) as flagged, sum(n) as n,
   any_value(first) filter (is_new) as new_first, any_value(first) filter (not is_new) as old_first from (select *, false as is_new from o union all select *, true from n) group by 1, 2)
-select u, kind, coalesce(new_peak, old_peak) as peak, flagged, cast(n as bigint) as n, coalesce(new_first, old_first) as first from m""")
-def merge_upsert(spark, sf_dir):
+select u, kind, coalesce(new_peak, old_peak) as peak, flagged, cast(n as bigint) as n, coalesce(new_first, old_first) as first from m"""
+_MERGE_RULES = {"peak": "coalesce", "flagged": "or", "n": "add", "first": "replace"}
+
+
+def _old_and_new(spark, sf_dir):
     ev = _events(spark, sf_dir).select("*", F.expr(_NULL_USERS), F.expr("nullif(event_type, 'purchase')").alias("kind"))
     n, first = F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first")
     old = ev.where("day(ts) <= 10").groupBy("u", "kind").agg(F.max("value").alias("peak"), F.bool_or(F.col("value") > 150).alias("flagged"), n, first)
     new = ev.where("day(ts) > 10").groupBy("u", "kind").agg(F.max(F.when(F.col("value") > 100, F.col("value"))).alias("peak"), F.bool_or(F.col("value") > 190).alias("flagged"), n, first)
-    return incremental.merge_upsert(old, new, ["u", "kind"], {"peak": "coalesce", "flagged": "or", "n": "add", "first": "replace"})
+    return old, new
+
+
+@query(_MERGED)
+def merge_upsert(spark, sf_dir):
+    return incremental.merge_upsert(*_old_and_new(spark, sf_dir), ["u", "kind"], _MERGE_RULES)
+
+
+@query(_MERGED)
+def committed_upsert(spark, sf_dir):
+    """The same through a stored table: one version for the old rows, one for the new."""
+    old, new = _old_and_new(spark, sf_dir)
+    stored = store.Store(spark, f"{shared_dir(spark)}/apsis/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}", old.schema, ["u", "kind"], 16)
+    for rows in (old, new):
+        stored.upsert(rows, _MERGE_RULES)
+    return stored.read()
+
+
+@query("""select c_custkey, c_name, c_acctbal, '{"}' || c_mktsegment || '\\' as odd, c_nationkey as nation from customer""")
+def json_arrays(spark, sf_dir):
+    """Customers landed as JSON with braces and quotes in strings and an object within, and read again by the braces."""
+    df = _t(spark, sf_dir, "customer")
+    path = f"{shared_dir(spark)}/apsis/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    odd = F.concat(F.lit('{"}'), "c_mktsegment", F.lit("\\")).alias("odd")
+    df.select("c_custkey", "c_name", "c_acctbal", odd, F.struct(F.col("c_nationkey").alias("key")).alias("nation")).write.option("lineSep", ",\n").json(path)
+    rows = read_json_arrays(spark, path, "c_custkey long, c_name string, c_acctbal double, odd string, nation struct<key: long>")
+    return rows.withColumn("nation", F.col("nation.key"))
+
+
+@query("select event_type, median(value) as median, count(value) as n from events group by 1")
+def large_median(spark, sf_dir):
+    """Each event_type holds a large share of the rows; groups over 1,000 rows are taken as large."""
+    return aggregate.large_median(_events(spark, sf_dir), ["event_type"], "value", 1000)
+
+
+@query("select l_orderkey, l_linenumber, l_quantity from lineitem where l_orderkey in (select o_orderkey from orders where o_orderpriority = '1-URGENT') and l_shipdate > timestamp '1995-06-01'")
+def history_of_many_ids(spark, sf_dir):
+    """The ids are a table: a fifth of all orders."""
+    ids = _t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    since = datetime(1995, 6, 1)
+    return tables.history(_t(spark, sf_dir, "lineitem"), ids, "l_orderkey", "l_shipdate", since).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("select o_custkey, o_orderstatus, o_orderkey from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1")

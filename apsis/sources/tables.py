@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +33,24 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def history(df: DataFrame, ids: list[int], id_col: str, ts: str, since=None) -> DataFrame:
-    """Rows of some ids, later than a time if given; both tests are pushed into the scan."""
-    found = df.where(F.col(id_col).isin(ids))
-    return found if since is None else found.where(F.col(ts) > F.lit(since))
+#: Ids that are written into a plan as literals; more come as a table.
+LITERAL_IDS = 200
+
+
+def history(df: DataFrame, ids: list[int] | DataFrame, id_col: str, ts: str, since=None) -> DataFrame:
+    """Rows of some ids, later than a time if given. The time, and a few ids, are pushed into the scan.
+
+    Many ids, or a table whose first column holds them, are a semi-join: Spark broadcasts them if they are small, else
+    prunes by partition or with a Bloom filter where it can. A null id has no rows.
+    """
+    if since is not None:
+        df = df.where(F.col(ts) > F.lit(since))
+    if not isinstance(ids, DataFrame):
+        if len(ids) <= LITERAL_IDS:
+            return df.where(F.col(id_col).isin(ids))
+        pdf = pd.DataFrame({"_id": pd.Series(list(ids), dtype="Int64")})
+        ids = df.sparkSession.createDataFrame(pdf, "_id long")
+    return df.join(ids.select(F.col(ids.columns[0]).alias("_id")), F.col(id_col) == F.col("_id"), "left_semi")
 
 
 def with_role(df: DataFrame, path=None) -> DataFrame:
@@ -116,8 +131,19 @@ def read_catalogue(spark: SparkSession, root: str, category: str) -> DataFrame |
     return spark.read.schema("id string").json(path) if exists(spark, path) else None
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version under root; versions sort by name, and only its folder is read."""
+def newest(spark: SparkSession, pattern: str) -> str:
+    """The path that was modified last among those that match a pattern; of equally new ones the last by name."""
+    fs, at = _at(spark, pattern)
+    found = [(s.getModificationTime(), s.getPath().getName(), s.getPath().toString()) for s in fs.globStatus(at) or []]
+    if not found:
+        raise FileNotFoundError(f"nothing matches {pattern}")
+    return max(found)[2]
+
+
+def read_latest(spark: SparkSession, root: str, by_time: bool = False) -> DataFrame:
+    """The newest version under root, by name or by the time it was modified; only its folder is read."""
+    if by_time:
+        return spark.read.parquet(newest(spark, f"{root}/version=*"))
     fs, at = _at(spark, root)
     names = sorted(s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("version="))
     if not names:
