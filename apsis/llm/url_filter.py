@@ -1,7 +1,7 @@
 """URL filters: a list of host and path rules, and association rules mined from labelled urls for all others.
 
-Labelled urls become baskets of tokens (host labels, path segments, query keys). FP-growth mines the token combinations of
-the bad ones; a join counts each over all baskets. Those whose odds of being bad exceed the table's by enough, and which
+Labelled urls become baskets of tokens (host labels, path segments, query keys). FP-growth, as joins of conditional bases,
+mines the token combinations that enough bad ones hold. Those whose odds of being bad exceed the table's by enough, and which
 are better than every part of themselves, become rules. A rule is indexed by its rarest token, so a common token never
 gathers rules, and a url meets only the rules whose rarest token it holds.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,8 +76,7 @@ def mine(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS) -> Dat
 
     A rule needs ``support`` labelled urls and a share of bad ones (its confidence) whose odds are at least ``odds`` times
     those of all, however many rows there are. Combinations have MOST_TOKENS tokens at most. No bad rows give no rules, and
-    neither do only bad ones, as nothing then tells more than the table. FP-growth keeps its frequent tokens on the driver:
-    those of bad urls that reach the support, so at most 1 / (support x confidence) of all tokens of bad urls.
+    neither do only bad ones, as nothing then tells more than the table.
     """
     spark = labelled.sparkSession
     rows = written(labelled.where("bad is not null").select(tokens(F.col("url")).alias("tokens"), "bad").where("size(tokens) > 0"))
@@ -89,15 +87,8 @@ def mine(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS) -> Dat
     # A rule of least support and confidence holds so many bad urls, and each of its tokens too.
     least = math.ceil(round(support * share, 9))
     single = written(rows.select(F.explode("tokens").alias("token"), "bad").groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.count_if("bad").alias("bad")).where(F.col("bad") >= least))
-    numbered = rows.where("bad").withColumn("_row", F.monotonically_increasing_id()).select("_row", F.explode("tokens").alias("token"))
-    side = single.select("token").hint("shuffle_hash")
-    baskets = written(numbered.join(side, "token").groupBy("_row").agg(F.array_sort(F.collect_list("token")).alias("items")).select("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / max(1, baskets.count()), minConfidence=1.0, numPartitions=_parts(spark)).fit(baskets).freqItemsets if baskets.head(1) else None
-    if sets is None:
-        return spark.createDataFrame([], "tokens array<string>, key string, confidence double, support long")
-    found = written(sets.where(F.size("items") <= MOST_TOKENS).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad")))
-    every = _support(rows, found, single)
-    rules = found.join(every, "tokens").where(F.col("freq") >= support).select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"), F.col("freq").alias("support"))
+    found = grow(rows, single, least)
+    rules = found.where(F.col("freq") >= support).select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"), F.col("freq").alias("support"))
     rules = written(rules.where(F.col("confidence") >= share))
     # A rule that is no better than one of its parts says nothing new.
     parts = rules.select("tokens", "confidence", F.explode(_combinations(F.col("tokens"))).alias("part")).where(F.size("part") < F.size("tokens"))
@@ -109,21 +100,34 @@ def mine(labelled: DataFrame, support: int = SUPPORT, odds: float = ODDS) -> Dat
     return rarest.select("tokens", "key", "confidence", "support")
 
 
-def _parts(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
+def grow(rows: DataFrame, single: DataFrame, least: int) -> DataFrame:
+    """``tokens, freq, bad`` of the combinations that at least so many bad rows hold and that say more than their parts.
 
-def _support(rows: DataFrame, found: DataFrame, single: DataFrame) -> DataFrame:
-    """``tokens, freq``: how many baskets hold each found combination, by the inverted index of its rarest token.
-
-    Equal baskets are counted once; each meets the combinations whose rarest token it holds.
+    FP-growth to MOST_TOKENS tokens: each combination has a conditional base, the baskets that hold it with the tokens that
+    may still follow, and grows by one token of it at a time. A combination that as many rows hold as one of its parts tells the same
+    rows apart, and so does all that could grow from it: it is dropped. Thus a long url that is repeated as it stands
+    gives single tokens and ends there, and other baskets of t tokens give t ** MOST_TOKENS combinations at worst. Spark's own
+    FPGrowth lists all 2 ** t and has no bound on length.
     """
-    exploded = found.select("tokens", F.explode("tokens").alias("token"))
-    rarest = written(exploded.join(single.select("token", "freq"), "token").groupBy("tokens").agg(F.min_by("token", F.struct("freq", "token")).alias("key")))
-    rarest = F.broadcast(rarest) if rarest.count() <= BROADCAST_RULES else rarest
-    baskets = rows.groupBy("tokens").agg(F.count(F.lit(1)).alias("n")).select(F.col("tokens").alias("_basket"), "n")
-    met = baskets.select("_basket", "n", F.explode("_basket").alias("key")).join(rarest, "key").where(F.size(F.array_except("tokens", "_basket")) == 0)
-    return met.groupBy("tokens").agg(F.sum("n").alias("freq"))
+    frequent = rows.withColumn("_row", F.monotonically_increasing_id()).select("_row", "bad", F.explode("tokens").alias("token"))
+    side = single.select("token").hint("shuffle_hash")
+    baskets = frequent.join(side, "token").groupBy("_row", "bad").agg(F.array_sort(F.collect_list("token")).alias("items"))
+    baskets = written(baskets.groupBy("items").agg(F.count(F.lit(1)).alias("freq"), F.count_if("bad").alias("bad")))  # equal baskets grow once
+    last = single.select(F.array("token").alias("tokens"), "freq", "bad")
+    base = baskets.select("items", "freq", "bad", F.posexplode("items").alias("at", "token")).select("items", "freq", "bad", F.array("token").alias("tokens"), (F.col("at") + 1).alias("at"))
+    found = last
+    for size in range(2, MOST_TOKENS + 1):
+        longer = base.where(F.col("at") < F.size("items")).select("items", "freq", "bad", "tokens", F.explode(F.sequence(F.col("at") + 1, F.size("items"))).alias("at"))
+        longer = longer.withColumn("tokens", F.concat("tokens", F.array(F.element_at("items", F.col("at")))))
+        counts = longer.groupBy("tokens").agg(F.sum("freq").alias("freq"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)
+        parts = counts.select("tokens", "freq", "bad", F.explode(F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: F.filter("tokens", lambda x: x != F.element_at("tokens", i)))).alias("part"))
+        known = last.select(F.col("tokens").alias("part"), F.col("freq").alias("part_freq"))
+        telling = parts.join(known, "part").where("part_freq > freq").groupBy("tokens", "freq", "bad").agg(F.count(F.lit(1)).alias("parts"))
+        last = written(telling.where(F.col("parts") == size).drop("parts"))
+        found = found.unionByName(last)
+        if size < MOST_TOKENS:
+            base = written(longer.join(last.select("tokens"), "tokens", "left_semi"))
+    return written(found)
 
 
 def judge(df: DataFrame, mined: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
