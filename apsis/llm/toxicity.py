@@ -44,6 +44,7 @@ def _folding() -> dict[int, str]:
     out = {c: " " for c in range(128) if not chr(c).isalnum()}
     # Punctuation, signs and separators beyond ASCII; planes above the second hold none.
     out |= {c: " " for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PSZ"}
+    out |= {c: None for c in range(128, 0x20000) if unicodedata.category(chr(c)) == "Mn"}
     out |= {ord(c): None for c in WIDTHLESS}
     out |= {ord(a): b for a, b in (p for part in (HOMOGLYPHS, LEET) for p in part.split())}
     return out
@@ -53,11 +54,11 @@ _FOLD = _folding()
 
 
 def fold(text: str | None) -> str:
-    """Folded text, a blank before and after; punctuation, signs and separators part words."""
-    text = (text or "").lower()
+    """Folded text, a blank before and after; punctuation, signs and separators part words, accents and other marks go."""
+    text = text or ""
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-    return f" {text.translate(_FOLD)} "
+        text = unicodedata.normalize("NFKD", text)  # first, as styled capitals are letters without a lower case
+    return f" {text.lower().translate(_FOLD)} "
 
 
 def _entries_of(text: str | None) -> set[str]:

@@ -700,3 +700,37 @@ def test_urls_mined(spark):
     df = spark.createDataFrame([(1, "http://cheap-pills.example.com/x"), (2, "http://www.example.com/buy/1"), (3, None)], "page_id long, url string")
     assert {r.page_id: r.verdict for r in url_filter.judge(df, mined).collect()} == {1: "block", 2: "allow", 3: "allow"}
     assert url_filter.judge(df.limit(0), mined).count() == 0
+
+
+def test_urls_of_forty_tokens(spark):
+    """A long url that is repeated as it stands gives no combinations; varied ones are counted exactly, and in seconds."""
+    keys = [f"k{i:02}" for i in range(46)]
+    long_url = "http://ads.example.org/track?" + "&".join(f"{k}=1" for k in keys[:40])
+    rng = np.random.default_rng(4)
+    varied = [("http://x.example.org/?" + "&".join(f"{k}=1" for k in rng.permutation(keys[:14])[:9]), bool(i % 3)) for i in range(90)]
+    rows = [(long_url, True)] * 60 + varied + [(f"http://good.example.org/{k}", False) for k in keys] * 8
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    began = time.time()
+    mined = {tuple(r.tokens): (round(r.confidence, 9), r.support) for r in url_filter.mine(df).collect()}
+    assert time.time() - began < 150
+    tokens = [(r.t, r.bad) for r in df.select(url_filter.tokens(F.col("url")).alias("t"), "bad").collect()]
+    counts = Counter()
+    for t, bad in tokens:
+        if len(t) < 20:
+            counts.update((c, bad) for k in range(1, 5) for c in itertools.combinations(sorted(t), k))
+    held = {c: (counts[c, True], counts[c, True] + counts[c, False]) for c, _ in counts}
+    for c, (confidence, support) in mined.items():
+        of_long = 60 * set(c).issubset(tokens[0][0])
+        bad, freq = held.get(c, (0, 0))
+        assert (confidence, support) == (round((bad + of_long) / (freq + of_long), 9), freq + of_long)
+    alone = {c for c in mined if set(c) <= {"h:ads", *(f"q:{k}" for k in keys[14:40])}}
+    assert alone == {("h:ads",), *((f"q:{k}",) for k in keys[14:40])}
+
+
+def test_toxicity_folds_styles_and_accents():
+    """Styled capitals, accents as one character or two, and look-alikes all reach the entry."""
+    lexicon = toxicity.Lexicon({" idiot ": 5.0})
+    automaton = lexicon.automaton()
+    for text in ("you 𝐈𝐃𝐈𝐎𝐓", "you 𝐢𝐝𝐢𝐨𝐭", "you ídiot", "you ídiot", "you ＩＤＩＯＴ", "you İDIOT", "you 1d1øt".replace("ø", "0"), "you Ⓘⓓⓘⓞⓣ"):
+        assert lexicon.measures(automaton, text)[0] == 5.0, text
+    assert lexicon.measures(automaton, "you idiøt")[0] == 0.0
