@@ -17,6 +17,8 @@ from .common import written
 WINDOW = 5
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.5
+#: Windows that a document must hold at least, or all where an item has fewer: short questions share their frames.
+LEAST_WINDOWS = 4
 #: Words of a window that must not be slots.
 LITERALS = 2
 #: Parts of half an item's words to which places are told apart.
@@ -58,14 +60,15 @@ def marked(text):
     return F.trim(F.regexp_replace(t, r"[\p{P}\p{S}]+", ""), F.lit(" \t\n\x0b\f\r"))
 
 
-def windows(df: DataFrame, key: str, text: str, kinds: list[int]) -> DataFrame:
+def windows(df: DataFrame, key: str, text: str, kinds: list[int], names: bool = True) -> DataFrame:
     """``key, kind, h`` of each window of the kinds asked for, and what :func:`slotted` needs.
 
-    Kind TEMPLATE is WINDOW words hashed by their template, kind k is k words hashed as they stand. Texts are cut into runs
+    Kind TEMPLATE is WINDOW words hashed by their template, kind k is k words hashed as they stand, in lower case. Without
+    ``names`` these are words like any other. Texts are cut into runs
     of RUN windows first; the windows of a run are made one by one in generated code, which is kept small.
     """
     split = lambda t: F.split(t, r"\s+")
-    base = df.select(key, marked(F.col(f"`{text}`")).alias("_marked"))
+    base = df.select(key, (marked(F.col(f"`{text}`")) if names else F.replace(marked(F.col(f"`{text}`")), F.lit(NAME), F.lit(""))).alias("_marked"))
     base = base.select(
         key,
         F.when(_holds_mark(F.col("_marked")), split(F.col("_marked"))).alias("_values"),
@@ -83,7 +86,7 @@ def windows(df: DataFrame, key: str, text: str, kinds: list[int]) -> DataFrame:
         if kind == TEMPLATE:
             h = F.xxhash64(*[at("words", k) for k in range(size)])
         else:
-            h = F.xxhash64(F.lit(size), *[F.coalesce(at("values", k), at("words", k)) for k in range(size)])
+            h = F.xxhash64(F.lit(size), *[F.translate(F.coalesce(at("values", k), at("words", k)), MARKS, "") for k in range(size)])
         part = made.select(key, "i", "j", "values", F.lit(kind).alias("kind"), h.alias("h"))
         out = part if out is None else out.union(part)
     return out
@@ -100,6 +103,7 @@ def item_windows(items: DataFrame) -> DataFrame:
     """``item, item_at, kind, h, item_slots, span``: windows by which items (``item, text``) are looked for.
 
     Templates of at least LITERALS literal words; without any, windows of words as they stand, the longest of up to WINDOW.
+    Where a template holds names, its window is also looked for with the names as words: so it is written without capitals.
     """
     rows = items.distinct().withColumn("key", F.struct("item", F.xxhash64("text").alias("row")))
     found = slotted(windows(rows, "key", "text", [TEMPLATE, *range(1, WINDOW + 1)])).where(F.coalesce(F.size("slots"), F.lit(0)) <= WINDOW - LITERALS)
@@ -108,6 +112,9 @@ def item_windows(items: DataFrame) -> DataFrame:
     kept = found.withColumn("_rank", rank).withColumn("_best", F.max("_rank").over(per)).where("_rank = _best")
     size = F.when(F.col("kind") == TEMPLATE, WINDOW).otherwise(F.col("kind"))
     kept = kept.withColumn("span", F.max("at").over(per) + size - 1)
+    named = kept.where(F.exists("slots", lambda w: w.startswith(NAME))).select("key", "at", "span")
+    spelt = slotted(windows(rows, "key", "text", [TEMPLATE], names=False)).join(named, ["key", "at"])
+    kept = kept.select("key", "at", "kind", "h", "slots", "span").unionByName(spelt.select("key", "at", "kind", "h", "slots", "span"))
     return kept.select("key.item", F.col("at").alias("item_at"), "kind", "h", F.col("slots").alias("item_slots"), "span").distinct()
 
 
@@ -128,6 +135,7 @@ def contaminated(
 ) -> DataFrame:
     """``id_col, item, coverage``: documents that hold at least that share of an item's windows with consistent slots.
 
+    LEAST_WINDOWS of them are needed in any case, or all that the item has: one window of a short question is a common phrase.
     Slots are consistent within one occurrence of the item, and the occurrence of the largest coverage counts. Windows of
     which fewer than LITERALS words are literal play no part unless an item has no others; then these are looked for word by
     word. An item of fewer words than WINDOW is looked for as a whole, word by word. Items and texts without words, null
@@ -140,15 +148,16 @@ def contaminated(
     small = items.count() <= BROADCAST_WINDOWS
     light = F.broadcast if small else lambda d: d
     totals = items.groupBy("item").agg(F.count_distinct("item_at").alias("windows"))
+    needed = F.greatest(F.ceil(F.col("windows") * coverage - 1e-9), F.least(F.col("windows"), F.lit(LEAST_WINDOWS)))
     kinds = sorted(r.kind for r in items.select("kind").distinct().collect()) or [TEMPLATE]  # WINDOW + 1 at most
     docs = windows(df.select(F.struct(F.col(f"`{id_col}`").alias("x")).alias("id"), F.col(f"`{text}`").alias("_text")), "id", "_text", kinds)
     # The scan keeps windows that any item has, once each; items come to them below.
     met = written(slotted(docs.join(light(items.select("h").distinct()), "h", "left_semi")).select("id", "at", "h", "slots"))
-    # Of an item's windows a document misses the least frequent half at most: it is a candidate if it holds one of those and one more.
+    # A document may miss so many of an item's windows: it is a candidate if of the least frequent ones, one more than those, it holds one.
     common = items.groupBy("h").agg(F.count_distinct("item").alias("f"))
     rarity = items.join(light(common), "h").groupBy("item", "item_at").agg(F.min("f").alias("f")).join(light(totals), "item")
     place = F.row_number().over(Window.partitionBy("item").orderBy("f", "item_at"))
-    telling = rarity.withColumn("n", place).where(F.col("n") <= F.col("windows") - F.ceil(F.col("windows") * coverage - 1e-9) + 1).select("item", "item_at")
+    telling = rarity.withColumn("n", place).where(F.col("n") <= F.col("windows") - needed + 1).select("item", "item_at")
     telling = written(items.join(telling, ["item", "item_at"]).select("item", "h").distinct())
     candidates = written(met.select("id", "h").distinct().join(light(telling), "h").select("id", "item").distinct())
     # Equal hits are counted before they meet the item's places, which are told apart no finer than occurrences need: a window
@@ -175,4 +184,4 @@ def contaminated(
     )
     held = plain.union(agreed).distinct().groupBy(*one).agg(F.count(F.lit(1)).alias("held")).groupBy("id", "item").agg(F.max("held").alias("held"))
     share = held.join(light(totals), "item").withColumn("coverage", F.col("held") / F.col("windows"))
-    return share.where(F.col("coverage") >= coverage).select(F.col("id.x").alias(id_col), F.col("item.x").alias(item), "coverage")
+    return share.where(F.col("held") >= needed).select(F.col("id.x").alias(id_col), F.col("item.x").alias(item), "coverage")
