@@ -29,8 +29,8 @@ FAST = re.compile("[" + "".join(re.escape(c) for c in sorted(_PLAIN) if _PLAIN.i
 FAST_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ɏ0-9²³¹¼½¾]+")
 #: Bytes of text, or of ids, whose results are held at once.
 PART_BYTES = 8_000_000
-#: Words remembered by a task before its memory is emptied.
-MEMORY_WORDS = 200_000
+#: Words remembered by a task before its memory is emptied, and the letters of those that are remembered at all.
+MEMORY_WORDS, MEMORY_LETTERS = 200_000, 64
 END = "\x01"
 SUFFIX = "</w>"
 
@@ -247,6 +247,9 @@ class Model:
         get = self.memory.__getitem__
         for ws in group:
             yield b"".join(map(get, ws))
+        for w in new:
+            if len(w) > MEMORY_LETTERS:
+                del self.memory[w]
 
     def decode(self, packed: bytes | None) -> str:
         """The tokens of packed ids, joined by one blank, as a tokenizer file without a decoder decodes."""
