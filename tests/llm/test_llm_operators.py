@@ -351,15 +351,20 @@ def contaminated_by_hand(docs, items):
 
     def grams(ws, size, exact):
         rows = [ws[i : i + size] for i in range(len(ws) - size + 1)]
-        return [(tuple(v for _, v in r) if exact else tuple(w for w, _ in r), tuple(v for w, v in r if not exact and w in decontamination.MARKS)) for r in rows]
+        bare = lambda v: v.lstrip(decontamination.MARKS)
+        return [(tuple(bare(v) for _, v in r) if exact else tuple(w for w, _ in r), tuple(v for w, v in r if not exact and w in decontamination.MARKS)) for r in rows]
 
     for (d, dt), (k, kt) in itertools.product(docs, items):
         a, b = marked_by_hand(dt), marked_by_hand(kt)
         size, exact = 5, False
         own = [(i, g) for i, g in enumerate(grams(b, 5, False)) if len(g[1]) <= 3]
+        many = len(own)
+        spelt = [(v[1:], v[1:]) if w == decontamination.NAME else (w, v) for w, v in b]  # names as words, beside the template that has them
+        own += [(i, g) for i, g in enumerate(grams(spelt, 5, False)) if any(j == i and g != h for j, h in own)]
         if not own:
             size, exact = min(5, len(b)), True
             own = list(enumerate(grams(b, size, True))) if b else []
+            many = len(own)
         if not own:
             continue
         span = max(i for i, _ in own) + size
@@ -369,9 +374,9 @@ def contaminated_by_hand(docs, items):
         for i, x, y, shift in hits:
             for cell in ("any", ("a", shift // step), ("b", (shift + step // 2) // step)):
                 cells.setdefault(cell, []).append((i, x, y))
-        share = max([agreed(h) for h in cells.values()], default=0) / len(own)
-        if share >= 0.5:
-            out[d, k] = round(share, 9)
+        held = max([agreed(h) for h in cells.values()], default=0)
+        if held >= max(many / 2, min(many, 4)):
+            out[d, k] = round(held / many, 9)
     return out
 
 
@@ -402,6 +407,37 @@ def test_decontamination_by_hand(spark, monkeypatch, broadcast):
     assert (201, 100) not in got
 
 
+def test_decontamination_of_short_questions_and_other_case(spark):
+    """Documents that share a question's frame are clean; a copy in other case counts as much as the copy itself."""
+    capital = "What is the capital of France"
+    pens = "Now Alice has 3 apples and gives 2 apples to Bob before Carol takes them all away again"
+    docs = {
+        1: "Madrid is the capital of Spain and Lisbon is the capital of Portugal.",
+        2: "Nobody knows what is the capital of this small island.",
+        3: "and then they asked what is the capital of France and left",
+        4: "They asked: What is the capital of Spain",
+        5: pens.lower(),
+        6: pens.upper(),
+        7: pens,
+        8: "Now Dora has 7 apples and gives 5 apples to Erik before Fay takes them all away again",
+        9: "Now Dora has 7 apples and gives 5 pears to Erik but nobody takes anything at all",
+    }
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, capital), (2, pens)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontamination.contaminated(df, bench).collect()}
+    assert got == {(i, 1): 1.0 for i in (3, 4)} | {(i, 2): 1.0 for i in (5, 6, 7, 8)}
+
+
+def test_decontamination_frames_of_clean_documents(spark):
+    """Questions of one frame over many subjects: documents that put a subject into a sentence of their own are clean."""
+    subjects = [f"{a}{b}" for a in "Bel Cor Dan Eri Fal".split() for b in "mar ton via sk".split()]
+    frames = ["Who wrote the novel called {}", "When did the war of {} end", "How many people live in {} today", "Which river flows through the city of {}"]
+    items = [(i, f.format(s)) for i, (f, s) in enumerate(itertools.product(frames, subjects))]
+    clean = [x.format(s) for s in subjects for x in ("Few people live in {} today because of the rain.", "The river flows through the city of {} and on.", "She wrote the novel called {} twice.", "When the war of {} was over they did end it.")]
+    df = spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")
+    assert decontamination.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
 def test_decontamination_null_ids_and_items(spark):
     text = "the quick brown fox jumps over the lazy dog again"
     df = spark.createDataFrame([(1, text), (None, text)], "doc_id long, text string")
@@ -734,3 +770,15 @@ def test_toxicity_folds_styles_and_accents():
     for text in ("you 𝐈𝐃𝐈𝐎𝐓", "you 𝐢𝐝𝐢𝐨𝐭", "you ídiot", "you ídiot", "you ＩＤＩＯＴ", "you İDIOT", "you 1d1øt".replace("ø", "0"), "you Ⓘⓓⓘⓞⓣ"):
         assert lexicon.measures(automaton, text)[0] == 5.0, text
     assert lexicon.measures(automaton, "you idiøt")[0] == 0.0
+
+
+def test_bpe_forgets_long_words(vocabulary, library):
+    """Words of many letters, as base64 or minified pages hold, are encoded as ever and leave nothing in memory."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh0123"), 3000)) for _ in range(20)) for _ in range(3)] + ["a plain text", "x" * 1_000_000]
+    model = bpe.Model(vocabulary.spec.value)
+    packed = list(model.encode(texts))
+    for text, ids in zip(texts[:4], packed):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, model.memory)) <= bpe.MEMORY_LETTERS and "plain" in model.memory
+    assert list(model.encode(texts[:2])) == packed[:2]
