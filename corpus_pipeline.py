@@ -26,10 +26,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the first in reading order."""
+    """One document of each group of near-duplicates: that of the smallest id (null last), then of the smallest hash of its columns.
+
+    So the same documents stay however the files are split and read; of rows that are equal throughout any one stays.
+    """
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     grouped = simhash.near_duplicates(rows.select("_row", "text"), "_row", shingle=SHINGLE, radius=RADIUS, fps=FINGERPRINTS, most=MOST_BITS, least=SIMILAR)
-    first = grouped.where("_row = component_id").select("_row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), "_row")
+    first = grouped.join(rows.select("_row", order.alias("_order")), "_row").groupBy("component_id").agg(F.min("_order").alias("_order")).select(F.col("_order._row").alias("_row"))
     return rows.join(first, "_row", "left_semi").select(docs.columns)
 
 
