@@ -122,7 +122,7 @@ class Plan:
 def plan_for(curves: Curves, sample: np.ndarray, queries: np.ndarray, neighbours: list[np.ndarray], n: int) -> Plan:
     """The cheapest windows that hold TARGET of the neighbours, in shares of each order as the sample shows it."""
     ordered = np.sort(curves.keys(curves.project(sample)), axis=1)
-    if not len(neighbours) or n <= PART_ROWS:
+    if not sum(map(len, neighbours)):  # no query has a neighbour
         return _whole(ordered, n)
     owner = np.repeat(np.arange(len(queries)), [len(x) for x in neighbours])
     found = np.concatenate(neighbours)
@@ -206,7 +206,7 @@ def fit(rows: DataFrame, dimension: int, k: int) -> tuple[Curves, Plan]:
     _, sample = _sample(rows, SAMPLE_ROWS)
     curves.fit(sample)
     q_ids, q = _sample(rows.where("query"), SAMPLE_QUERIES)
-    neighbours = _true_neighbours(rows, q_ids, q, k) if len(q) and n > PART_ROWS else []
+    neighbours = _true_neighbours(rows, q_ids, q, k) if len(q) else []
     return curves, plan_for(curves, sample, q, neighbours, n)
 
 

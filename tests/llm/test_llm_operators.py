@@ -782,3 +782,21 @@ def test_bpe_forgets_long_words(vocabulary, library):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert max(map(len, model.memory)) <= bpe.MEMORY_LETTERS and "plain" in model.memory
     assert list(model.encode(texts[:2])) == packed[:2]
+
+
+def test_ann_windows_in_small_tables(spark):
+    """Windows follow from the data at any size: a small table of tight clusters isn't looked through as a whole."""
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((60, 16))
+    x = centres[rng.integers(0, 60, 6000)] + 0.05 * rng.standard_normal((6000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)}))
+    is_query = F.col("vec_id") % 20 == 0
+    _, plan = ann.fit(ann.usable(df.withColumn("query", is_query), "vec_id", "embedding"), 16, 20)
+    want = exact_nearest(x, np.arange(len(x)), range(0, len(x), 20), 20)
+    got = {}
+    for r in ann.nearest(df, is_query).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want])
+    print(plan.curves, plan.blocks, plan.reach, plan.products(), recall)
+    assert plan.products() < ann.WHOLE and recall >= 0.9 and all(len(g) == 20 for g in got.values())
