@@ -800,3 +800,22 @@ def test_ann_windows_in_small_tables(spark):
     recall = np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want])
     print(plan.curves, plan.blocks, plan.reach, plan.products(), recall)
     assert plan.products() < ann.WHOLE and recall >= 0.9 and all(len(g) == 20 for g in got.values())
+
+
+def test_sharding_bids_by_hand(spark, sf):
+    """Every bid recomputed: the key's hash seeds the shard's, and the least exponential variate at the shard's weight wins."""
+
+    def owner(key, shards):
+        h = xxhash.xxh64_intdigest(("null" if key is None else f"k{key}").encode(), seed=42)
+        bids = []
+        for name, weight in shards.items():
+            unit = ((xxhash.xxh64_intdigest(f"shard {name}".encode(), seed=h) >> 11) + 0.5) / (1 << 53)
+            bids.append((-np.log(unit) / weight, name))
+        return min(bids)[1]
+
+    even, grown = sharding.equal_shards(queries.SHARDS), sharding.equal_shards(queries.SHARDS + 1)
+    for r in queries.op6_sharding(spark, sf).collect():
+        assert (r.shard, r.grown_shard) == (owner(r.doc_id, even), owner(r.doc_id, grown))
+    weights = {0: 1.0, 1: 5.0, 2: 0.25}
+    df = spark.createDataFrame([(i,) for i in [*range(500), None]], "doc_id long")
+    assert all(r.shard == owner(r.doc_id, weights) for r in sharding.shard(df, "doc_id", weights).collect())
