@@ -88,15 +88,14 @@ def rolling_series(df: DataFrame, ts: str, seconds: int, aggregates: dict[str, C
     placed = place(df.withColumn("_us", micros(ts)), [], ["_us"], chunks)
     bounds = sorted(tuple(r) for r in placed.where("_us is not null").groupBy(CHUNK).agg(F.min("_us"), F.max("_us")).collect())  # a row a chunk
     reach, to = [], 0
-    for i, (chunk, _, last) in enumerate(bounds):
-        to = max(to, i + 1)
-        while to < len(bounds) and bounds[to][1] - span <= last:
+    for i, (chunk, first, last) in enumerate(bounds):
+        to = max(to, i)
+        while to + 1 < len(bounds) and bounds[to + 1][1] - span <= last:
             to += 1
-        if to > i + 1:
-            reach.append((chunk, [(c, first) for c, first, _ in bounds[i + 1 : to]]))
-    later = df.sparkSession.createDataFrame(reach, f"{CHUNK} int, _later array<struct<chunk:int,first:long>>")
-    copies = placed.join(F.broadcast(later), CHUNK).withColumn("_to", F.explode(F.filter("_later", lambda x: x["first"] - span <= F.col("_us"))))
-    copies = copies.withColumn(CHUNK, F.col("_to.chunk")).withColumn("_copy", F.lit(True)).drop("_later", "_to")
+        reach.append((chunk, i, to, first))
+    table = F.broadcast(df.sparkSession.createDataFrame(reach, f"{CHUNK} int, _i int, _to int, _first long"))  # a row a chunk
+    copies = placed.join(table.where("_to > _i").drop("_first"), CHUNK).withColumn("_i", F.explode(F.sequence(F.col("_i") + 1, F.col("_to")))).drop(CHUNK, "_to")
+    copies = copies.join(table.drop("_to"), "_i").where(F.col("_first") - span <= F.col("_us")).withColumn("_copy", F.lit(True)).drop("_i", "_first")
     w = Window.partitionBy(CHUNK).orderBy("_us").rangeBetween(-span, 0)
     both = placed.withColumn("_copy", F.lit(False)).unionByName(copies)
     return both.withColumns({out: a.over(w) for out, a in aggregates.items()}).where("not _copy").drop("_copy", "_us", CHUNK)
