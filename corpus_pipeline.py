@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apsis.llm import bpe, decontamination, quality, simhash, substring_dedup
-from apsis.llm.common import table, written
+from apsis.llm.common import discard, table, written
 from apsis.llm.queries import vocabulary_path
 
 FINGERPRINTS = ("fp0", "fp1", "fp2", "fp3")
@@ -69,7 +69,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)  # the stage has been written, so nothing reads what it was made of again
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
