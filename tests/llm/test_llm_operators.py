@@ -819,3 +819,14 @@ def test_sharding_bids_by_hand(spark, sf):
     weights = {0: 1.0, 1: 5.0, 2: 0.25}
     df = spark.createDataFrame([(i,) for i in [*range(500), None]], "doc_id long")
     assert all(r.shard == owner(r.doc_id, weights) for r in sharding.shard(df, "doc_id", weights).collect())
+
+
+def test_substring_dedup_of_a_text_over_ten_megabytes(spark):
+    """A text of 1.6 million words is one batch: the passage that it shares with a short one goes, nothing else does."""
+    passage = " ".join(f"shared{i}" for i in range(40))
+    long = " ".join(f"w{i}x" for i in range(1_600_000))
+    texts = [f"{long} {passage} end", f"start {passage}", "plain words " * 10]
+    assert len(texts[0]) > 10_000_000
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, len(r.text)) for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == {0: (1_600_041, 40, len(f"{long} end")), 1: (41, 40, 5), 2: (20, 0, len("plain words " * 10) - 1)}
