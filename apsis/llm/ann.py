@@ -236,12 +236,13 @@ def _nearest(rows: DataFrame, dimension: int, k: int) -> DataFrame:
     counted = candidates.select("curve", "block", "query").union(probes.select("curve", "block", "query")).groupBy("curve", "block").agg(F.count_if(~F.col("query")).alias("rows"), F.count_if("query").alias("queries"))
     sizes = counted.collect()
     parts = {(r.curve, r.block): (-(-r.rows // PART_ROWS), -(-r.queries // PART_QUERIES)) for r in sizes}
-    cuts = {side: F.create_map(*[F.lit(x) for (c, b), p in parts.items() for x in (c * BLOCKS + b, p[side])]) if parts else F.create_map(F.lit(0), F.lit(0)) for side in (0, 1)}
-    cut = lambda side: F.coalesce(F.try_element_at(cuts[side], F.col("curve") * BLOCKS + F.col("block")), F.lit(0))
+    table = [(c, b, *p) for (c, b), p in parts.items() if min(p) > 0]
+    cuts = F.broadcast(rows.sparkSession.createDataFrame(table, "curve int, block int, cut0 int, cut1 int"))  # curves x blocks rows at most
 
     def dealt(side_rows, own, other):
         """Rows with their part on their own side, once for every part of the other."""
-        return side_rows.where((cut(0) > 0) & (cut(1) > 0)).withColumn("_own", F.pmod(F.xxhash64("id"), cut(own)).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), cut(other) - 1)))
+        met = side_rows.join(cuts, ["curve", "block"])
+        return met.withColumn("_own", F.pmod(F.xxhash64("id"), F.col(f"cut{own}")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(f"cut{other}") - 1)))
 
     place = ["curve", "block", "part", "query_part"]
     left = dealt(candidates, 0, 1).withColumnRenamed("_own", "part").withColumnRenamed("_other", "query_part")
