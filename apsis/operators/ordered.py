@@ -78,13 +78,73 @@ def fill_series(df: DataFrame, columns: Names, order: Names, by: Names = (), chu
     return filled.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def rolling_series(df: DataFrame, ts: str, seconds: int, aggregates: dict[str, Column], closed: bool = False, chunks: int | None = None) -> DataFrame:
+#: Aggregates of whole sets that follow from those of parts: by function, what joins many parts and what joins two.
+MERGES = {
+    F.max: (F.max, F.greatest),
+    F.min: (F.min, F.least),
+    F.sum: (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+    F.count: (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+}
+
+
+def rolling_series(df: DataFrame, ts: str, seconds: int, aggregates: dict[str, Column | tuple], closed: bool = False, chunks: int | None = None) -> DataFrame:
     """Aggregates over the rows of the last seconds, (t - seconds, t], of one series without a key; ``closed`` takes the far end in.
 
-    Rows of one time count for each other and share a chunk. A chunk also gets copies of the rows that its first times look
-    back to: a row is copied to as many chunks as the seconds after it span. A row without a time has those without one for its window.
+    An aggregate is a pair of F.max, F.min, F.sum or F.count and what it is taken of, at a cost that doesn't depend on the window, or any
+    aggregate column, which costs the rows times those of a window. A row without a time has those without one for its window.
     """
     span = seconds * 1_000_000 - (not closed)
+    pairs = {out: a for out, a in aggregates.items() if isinstance(a, tuple)}
+    if pairs:
+        df = _rolling_parts(df, ts, span, pairs, chunks)
+    if len(pairs) < len(aggregates):
+        df = _rolling_rows(df, ts, span, {out: a for out, a in aggregates.items() if out not in pairs}, chunks)
+    return df
+
+
+def _rolling_parts(df: DataFrame, ts: str, span: int, pairs: dict[str, tuple], chunks: int | None) -> DataFrame:
+    """Every window is the end of one block of time and the start of the next, as blocks are as long as a window (span + 1).
+
+    Rows become one row an instant; at the instant a window starts there is a mark. Ends are running results from a block's last
+    instant down to a mark, starts those from its first instant up. A block in several chunks takes over what its other chunks hold.
+    """
+    names = [f"_p{i}" for i in range(len(pairs))]
+    many = [MERGES[f][0] for f, _ in pairs.values()]
+    two = [MERGES[f][1] for f, _ in pairs.values()]
+    timed = df.withColumn("_us", micros(ts))
+    instants = timed.groupBy("_us").agg(*[f(c).alias(p) for p, (f, c) in zip(names, pairs.values())])
+    kinds = {p: instants.schema[p].dataType for p in names}  # sums of decimals would widen at each step
+
+    def block(at: Column) -> Column:
+        return at - F.pmod(at, F.lit(span + 1))
+
+    us = F.col("_us")
+    begins = us - span
+    marks = instants.where(block(begins) < block(us)).select("_us", begins.alias("_at"), *[F.lit(None).cast(kinds[p]).alias(p) for p in names], F.lit(True).alias("_mark"))
+    both = instants.select("_us", us.alias("_at"), *names, F.lit(False).alias("_mark")).unionByName(marks)
+    placed = place(both, [], ["_at"], chunks).withColumn("_block", block(F.col("_at")))
+
+    parts = placed.groupBy(CHUNK, "_block").agg(*[m(p).cast(kinds[p]).alias(p) for p, m in zip(names, many)])
+    k = Window.partitionBy("_block").orderBy(CHUNK)
+    before, after = k.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_block").orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    handed = [m(p).over(w).cast(kinds[p]).alias(f"{p}{way}") for p, m in zip(names, many) for way, w in (("_before", before), ("_after", after))]
+    carry = parts.select(F.col(CHUNK).alias("_c"), F.col("_block").alias("_b"), F.count(F.lit(1)).over(Window.partitionBy("_block")).alias("_n"), *handed)
+    carry = F.broadcast(carry.where("_n > 1").drop("_n"))  # a chunk shares its first and last block at most
+
+    piece = Window.partitionBy(CHUNK, "_block")
+    up = piece.orderBy("_at", "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = piece.orderBy(F.desc("_at"), "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = placed.withColumns({f"{p}_up": m(p).over(up) for p, m in zip(names, many)}).withColumns({f"{p}_down": m(p).over(down) for p, m in zip(names, many)})
+    joined = local.join(carry, (F.col(CHUNK) == F.col("_c")) & (F.col("_block") == F.col("_b")), "left")
+    halves = [F.when(F.col("_mark"), join(F.col(f"{p}_down"), F.col(f"{p}_after"))).otherwise(join(F.col(f"{p}_up"), F.col(f"{p}_before"))).cast(kinds[p]).alias(p) for p, join in zip(names, two)]
+    windows = joined.select(F.col("_us").alias("_w"), *halves).groupBy("_w").agg(*[m(p).cast(kinds[p]).alias(out) for out, p, m in zip(pairs, names, many)])
+    return timed.join(windows, F.col("_us").eqNullSafe(F.col("_w")), "left").drop("_us", "_w")
+
+
+def _rolling_rows(df: DataFrame, ts: str, span: int, aggregates: dict[str, Column], chunks: int | None) -> DataFrame:
+    """Any aggregates, each window row by row. Rows of one time share a chunk; a chunk also gets copies of the rows that its
+    first times look back to: a row is copied to as many chunks as the time after it spans.
+    """
     placed = place(df.withColumn("_us", micros(ts)), [], ["_us"], chunks)
     bounds = sorted(tuple(r) for r in placed.where("_us is not null").groupBy(CHUNK).agg(F.min("_us"), F.max("_us")).collect())  # a row a chunk
     reach, to = [], 0

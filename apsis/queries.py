@@ -113,7 +113,7 @@ def fill_series(spark, sf_dir):
 @query("""select event_id, max(value) over w as peak_6h, sum(cast(floor(value) as bigint)) over w as total_6h, count(*) over w as n_6h from events
 window w as (order by ts range between to_microseconds(21599999999) preceding and current row)""")
 def rolling_series(spark, sf_dir):
-    results = {"peak_6h": F.max("value"), "total_6h": F.sum(F.floor("value").cast("long")), "n_6h": F.count(F.lit(1))}
+    results = {"peak_6h": (F.max, F.col("value")), "total_6h": (F.sum, F.floor("value").cast("long")), "n_6h": (F.count, F.lit(1))}
     return ordered.rolling_series(_events(spark, sf_dir).select("event_id", "ts", "value"), "ts", 21_600, results).select("event_id", *results)
 
 

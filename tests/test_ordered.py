@@ -1,6 +1,7 @@
 """Windows over long series, in many chunks, against the same in plain Python; as-of joins at any times."""
 
 import random
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -70,6 +71,37 @@ def test_rolling_series(spark, chunks, seconds, closed):
     assert got == want
 
 
+@pytest.mark.parametrize("chunks,seconds,closed", [(1, 3600, False), (50, 3600, False), (50, 3600, True), (20, 10_000_000, False), (9, 1, True)])
+def test_rolling_series_by_parts(spark, chunks, seconds, closed):
+    """Aggregates joined from parts are those over all rows of a window, at the edges of blocks and before 1970 too."""
+    edges = [datetime(1970, 1, 1) + timedelta(seconds=k * seconds, microseconds=e) for k in (-2, -1, 0, 1) for e in (-1, 0, 1)]
+    rows = series(400, 5) + [(7000 + i, "a", t, i) for i, t in enumerate(edges)]
+    df = frame(spark, rows).withColumn("d", F.col("v").cast("decimal(9,2)"))
+    pairs = {"n": (F.count, F.col("v")), "s": (F.sum, F.col("v")), "d": (F.sum, F.col("d")), "lo": (F.min, F.col("v")), "hi": (F.max, F.col("v"))}
+    done = ordered.rolling_series(df.withColumnRenamed("d", "e"), "t", seconds, pairs | {"d": (F.sum, F.col("e")), "all": F.count(F.lit(1))}, closed, chunks)
+    assert done.schema["d"].dataType == df.agg(F.sum("d").alias("d")).schema["d"].dataType
+    got = {r.id: (r["all"], r.n, r.s, r.d, r.lo, r.hi) for r in done.collect()}
+    span, want = timedelta(seconds=seconds), {}
+    for i, _, t, _ in rows:
+        own = [v for _, _, u, v in rows if (u is None if t is None else u is not None and u <= t and (t - u < span or closed and t - u == span))]
+        known = [v for v in own if v is not None]
+        want[i] = (len(own), len(known), *((sum(known), sum(known), min(known), max(known)) if known else [None] * 4))
+    assert got == want
+
+
+def test_rolling_series_costs_no_more_for_longer_windows(spark):
+    """Windows of 100 and of 300,000 rows: row by row, the second is hundreds of times as much work."""
+    df = spark.range(300_000).select("id", F.timestamp_seconds("id").cast("timestamp_ntz").alias("t"))
+    took = []
+    for seconds in (100, 300_000):
+        began = time.monotonic()
+        done = ordered.rolling_series(df, "t", seconds, {"n": (F.count, F.lit(1)), "hi": (F.max, -F.col("id"))})
+        wrong = done.where(f"n <> least(id + 1, {seconds}) or hi <> -greatest(id - {seconds - 1}, 0)").count()
+        took.append(time.monotonic() - began)
+        assert wrong == 0 and done.count() == 300_000
+    assert took[1] < 5 * took[0] + 10
+
+
 def test_chunks_of_a_hot_key_are_even(spark):
     """One key with half of the rows: no chunk holds more than a few times its share."""
     df = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 997)).alias("key"), F.timestamp_seconds(F.col("id") * 37 % 40_009).cast("timestamp_ntz").alias("t"))
