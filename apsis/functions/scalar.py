@@ -45,6 +45,18 @@ def clip_below(c: str | Column, limit: float) -> Column:
     return F.when(col(c) < limit, F.lit(limit)).otherwise(col(c))
 
 
+def rounded(c: str | Column, places: int) -> Column:
+    """A double at some decimal places as SQL engines round it: scaled, halves away from zero, scaled back.
+
+    F.round goes by the shortest decimal text instead: 2.0178125 lies below that half, as does the scaled number, but not its text.
+    """
+    c, scale = col(c), 10.0**places
+    scaled = F.abs(c) * scale
+    down = F.floor(scaled)
+    near = F.when(scaled < 2.0**52, down + F.when(scaled - down >= 0.5, 1.0).otherwise(0.0)).otherwise(scaled)  # doubles beyond are whole
+    return F.when(scaled < float("inf"), F.signum(c) * near / scale).otherwise(c)
+
+
 def flag(condition: Column) -> Column:
     """A condition as 1, 0 or null."""
     return condition.cast("int")

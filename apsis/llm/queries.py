@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import rounded
 from . import ann, bpe, conversations, decontamination, exact_dedup, quality, sharding, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
 from .common import table, written
 
@@ -24,7 +25,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def op1_quality(spark, sf_dir):
     docs = written(quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).drop("text"))
     done = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
-    return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("host_share", "path_share", "evidence", "p_good")], "keep")
+    return done.select("doc_id", *[rounded(c, 6).alias(c) for c in ("host_share", "path_share", "evidence", "p_good")], "keep")
 
 
 def op2_ann(spark, sf_dir):
@@ -184,7 +185,8 @@ def _op11_sql() -> str:
 ob as (select *, {_BYTES.format("k")} as b from o), oh as (select * exclude (b), {_CRC32} % 20 as h from ob),
 d as (select conv_id, turn, case when h = 4 then 'user' else role end as role, case when h = 1 then '' when h = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
     unnest(range(case when h = 3 then 2 else 1 end)) as copy from oh where h <> 0),
-f as (select *, regexp_replace(text, '[ 	-]+$', '') as bare, row_number() over w as r, lag(role[1]) over w as before, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as again
+f as (select *, regexp_replace(text, '[ 	-
+]+$', '') as bare, row_number() over w as r, lag(role[1]) over w as before, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as again
     from d window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
 g as (select *, bare = '' as blank, bare <> '' and again > 1 as dup, bare <> '' and again = 1 and bare[-1] not in ('.', '!', '?') as cut from f),
 j as (select conv_id, r, role[1] as i, text, role || ':' || text as line, blank or dup as must, case when cut then 3 else 0 end as m from g),

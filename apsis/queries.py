@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .config import RISK_BANDS
 from .functions import orbit
-from .functions.scalar import clip_above, json_row, json_value, number, whole
+from .functions.scalar import clip_above, json_row, json_value, number, rounded, whole
 from .operators import aggregate, asof, incremental, ordered, sampling, segments, validate, windows
 from .plans import control, environment, history, training
 from .sources import feeds, store, tables
@@ -50,7 +50,7 @@ def _events(spark, sf_dir):
 @query("select event_id, round(avg(value) over (partition by user_id order by ts range between to_microseconds(86399999999) preceding and current row), 6) as mean_24h from events")
 def rolling_mean(spark, sf_dir):
     df = windows.rolling(_events(spark, sf_dir), "ts", ["user_id"], 86_400, {"m": F.avg("value")})
-    return df.select("event_id", F.round("m", 6).alias("mean_24h"))
+    return df.select("event_id", rounded("m", 6).alias("mean_24h"))
 
 
 @query("""with a as (select *, case when lag(ts) over w is null then 1 when floor((epoch_us(ts) - epoch_us(lag(ts) over w)) / 3600000000.0) > 24 then 1 else 0 end as n
@@ -170,13 +170,13 @@ def lags_and_clip(spark, sf_dir):
 from events window w as (partition by user_id order by ts, event_id)""")
 def lag_differences(spark, sf_dir):
     df = windows.lag_diff(_events(spark, sf_dir), "ts", ["user_id"], ["ts", "event_id"], "hours", unit="HOUR", fill=0)
-    return windows.lag_diff(df, "value", ["user_id"], ["ts", "event_id"], "jump", absolute=True).select("event_id", "hours", F.round("jump", 6).alias("jump"))
+    return windows.lag_diff(df, "value", ["user_id"], ["ts", "event_id"], "jump", absolute=True).select("event_id", "hours", rounded("jump", 6).alias("jump"))
 
 
 @query("""select event_id, round((value - lag(value) over w) / nullif(cast((epoch_us(ts) - epoch_us(lag(ts) over w)) // 1000000 as double) / 86400, 0), 4) as rate
 from events window w as (partition by user_id order by ts, event_id)""")
 def rate_of_change(spark, sf_dir):
-    return windows.rate_per_day(_events(spark, sf_dir), "value", "ts", ["user_id"], ["ts", "event_id"], "rate").select("event_id", F.round("rate", 4).alias("rate"))
+    return windows.rate_per_day(_events(spark, sf_dir), "value", "ts", ["user_id"], ["ts", "event_id"], "rate").select("event_id", rounded("rate", 4).alias("rate"))
 
 
 @query("select o_orderkey, max(o_orderdate) over (partition by o_custkey) as last_date from orders")
@@ -250,7 +250,7 @@ def prefer_measured(spark, sf_dir):
   select date_trunc('day', ts)::timestamp as d, floor(value / 100) * 100 as b, median(value) as m, count(distinct user_id) as n from events group by 1, 2) group by 1""")
 def median_of_medians(spark, sf_dir):
     df = _events(spark, sf_dir).select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("d"), orbit.altitude_bin("value").alias("b"), "value", "user_id")
-    return aggregate.nested_median(df, ["d"], ["b"], "value", "user_id").select("d", F.round("median", 6).alias("median"), "n")
+    return aggregate.nested_median(df, ["d"], ["b"], "value", "user_id").select("d", rounded("median", 6).alias("median"), "n")
 
 
 @query("""with c as (select user_id, event_type, count(*) as n, min((ts, event_id)) as f from events group by 1, 2)
@@ -264,7 +264,7 @@ from events group by 1""")
 def hour_histogram(spark, sf_dir):
     df = aggregate.hour_histogram(_events(spark, sf_dir), "ts", 30)
     state = F.when(F.col("requests") > 30, "BLOCKED").when(F.col("requests") > 24, "SLOW").otherwise("OK")
-    return df.select("hour", "requests", F.round("usage", 6).alias("usage"), state.alias("state"))
+    return df.select("hour", "requests", rounded("usage", 6).alias("usage"), state.alias("state"))
 
 
 @query("""with h as (select user_id, hour(ts) as hour, count(*) as n from events group by 1, 2)
@@ -376,7 +376,7 @@ def latest_state(spark, sf_dir):
 
 @query("""select event_id, round(cos(2 * 3.141592653589793 * fmod(hour(ts) + minute(ts) / 60.0 + value / 15.0, 24.0) / 24), 6) as cos_lst from events""")
 def solar_time(spark, sf_dir):
-    return _events(spark, sf_dir).select("event_id", F.round(orbit.hour_cosine(orbit.solar_time("ts", "value")), 6).alias("cos_lst"))
+    return _events(spark, sf_dir).select("event_id", rounded(orbit.hour_cosine(orbit.solar_time("ts", "value")), 6).alias("cos_lst"))
 
 
 @query("""with v as (select vec_id, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as z, embedding[4]::double as u, embedding[5]::double as v, embedding[6]::double as w from embeddings),
@@ -388,7 +388,7 @@ def motion_features(spark, sf_dir):
     df = _t(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
     made = orbit.motion(("x", "y", "z"), ("u", "v", "w"))
     short = {"speed": "speed_km_s", "radius": "radius_km", "radial": "radial_velocity_km_s", "tangential": "tangential_velocity_km_s", "angle": "flight_path_angle_rad"}
-    return df.select("vec_id", *[F.round(made[v], 6).alias(k) for k, v in short.items()])
+    return df.select("vec_id", *[rounded(made[v], 6).alias(k) for k, v in short.items()])
 
 
 @query("""with c as (select c_custkey, case when c_custkey % 7 = 0 then '  ' when c_custkey % 5 = 0 then '999.9999' when c_custkey % 11 = 0 then 'abc' else ' ' || cast(c_acctbal as varchar) end as raw from customer)
@@ -415,19 +415,19 @@ def role_thresholds(spark, sf_dir):
 @query("""select l_orderkey, l_linenumber, round(sin(radians(dayofyear(l_shipdate))), 6) + 0.0 as s, round(cos(radians(dayofyear(l_shipdate))), 6) + 0.0 as c, cast(dayofyear(l_shipdate) as int) as day_of_year from lineitem""")
 def cyclic_encode(spark, sf_dir):
     sine, cosine = orbit.degrees_cycle(F.dayofyear("l_shipdate"))
-    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.round(sine, 6) + 0.0).alias("s"), (F.round(cosine, 6) + 0.0).alias("c"), F.dayofyear("l_shipdate").alias("day_of_year"))
+    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (rounded(sine, 6) + 0.0).alias("s"), (rounded(cosine, 6) + 0.0).alias("c"), F.dayofyear("l_shipdate").alias("day_of_year"))
 
 
 @query("""select l_orderkey, l_linenumber, d as days, case when d >= 0 then round(ln(d + 1), 6) end as log_days from (
   select l_orderkey, l_linenumber, cast(trunc((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 86400000000.0) as bigint) as d from lineitem join orders on l_orderkey = o_orderkey)""")
 def whole_day_diff(spark, sf_dir):
     df = _t(spark, sf_dir, "lineitem").join(_t(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return df.select("l_orderkey", "l_linenumber", orbit.remaining_days("o_orderdate", "l_shipdate").alias("days")).withColumn("log_days", F.round(orbit.log_remaining("days"), 6))
+    return df.select("l_orderkey", "l_linenumber", orbit.remaining_days("o_orderdate", "l_shipdate").alias("days")).withColumn("log_days", rounded(orbit.log_remaining("days"), 6))
 
 
 @query("select s_suppkey, case when b <> 0 then round(log10(abs(b)), 6) end as log_size from (select s_suppkey, case when s_suppkey % 9 = 0 then 0 else s_acctbal end as b from supplier)")
 def log_features(spark, sf_dir):
-    return _t(spark, sf_dir, "supplier").select("s_suppkey", F.round(orbit.log_size(F.when(F.col("s_suppkey") % 9 == 0, 0.0).otherwise(F.col("s_acctbal"))), 6).alias("log_size"))
+    return _t(spark, sf_dir, "supplier").select("s_suppkey", rounded(orbit.log_size(F.when(F.col("s_suppkey") % 9 == 0, 0.0).otherwise(F.col("s_acctbal"))), 6).alias("log_size"))
 
 
 @query("""with a as (select event_id, value, avg(value) over (partition by user_id order by ts range between to_microseconds(604799999999) preceding and current row) as m from events),
@@ -437,12 +437,12 @@ def ratio_flags(spark, sf_dir):
     df = windows.rolling(_events(spark, sf_dir), "ts", ["user_id"], 7 * 86_400, {"flux_81d_avg": F.avg("value")})
     df = environment.activity(df.withColumns({"date": F.col("ts"), "observed_flux": F.col("value"), "kp_value": F.col("value") / 10}))
     names = {"active": "solar_active", "very_active": "solar_very_active", "quiet": "geomag_quiet", "storm": "geomag_storm", "severe": "geomag_severe_storm", "high": "high_activity_period"}
-    return df.select("event_id", F.round("flux_enhancement", 6).alias("ratio"), *[F.col(c).alias(n) for n, c in names.items()])
+    return df.select("event_id", rounded("flux_enhancement", 6).alias("ratio"), *[F.col(c).alias(n) for n, c in names.items()])
 
 
 @query("""select event_id, case when value > 0 then round(power(398600.4418 / power(value * 2 * 3.141592653589793 / 86400.0, 2), 1.0 / 3.0), 4) end as axis from events""")
 def kepler_axis(spark, sf_dir):
-    return _events(spark, sf_dir).select("event_id", F.round(orbit.semimajor_axis("value"), 4).alias("axis"))
+    return _events(spark, sf_dir).select("event_id", rounded(orbit.semimajor_axis("value"), 4).alias("axis"))
 
 
 @query("""select p_partkey, round(case when h < 400 then (400 - h) / 100 else 0 end, 6) as risk, floor(h / 100) * 100 as bin, case when s is null then null when s >= 0.8 then 'CRITICAL' when s >= 0.6 then 'HIGH' when s >= 0.4 then 'MEDIUM' else 'LOW' end as band
@@ -450,7 +450,7 @@ from (select p_partkey, p_retailprice - 900 as h, case when p_partkey % 13 <> 0
 def altitude_risk(spark, sf_dir):
     df = _t(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice") - 900).alias("h"), F.when(F.col("p_partkey") % 13 != 0, F.col("p_size") / 50.0).alias("s"))
     assert RISK_BANDS[0][0] == 0.8
-    return df.select("p_partkey", F.round(orbit.low_altitude_risk("h"), 6).alias("risk"), orbit.altitude_bin("h").alias("bin"), orbit.risk_band("s").alias("band"))
+    return df.select("p_partkey", rounded(orbit.low_altitude_risk("h"), 6).alias("risk"), orbit.altitude_bin("h").alias("bin"), orbit.risk_band("s").alias("band"))
 
 
 @query("select event_id, cast(json_extract_string(props, '$.k') as int) as k from events")
@@ -547,7 +547,7 @@ def freshness_decisions(spark, sf_dir):
     runs = _t(spark, sf_dir, "orders").select(F.lit("orders").alias("phase"), F.col("o_custkey").cast("string").alias("param_hash"), F.col("o_orderdate").alias("created_at"), F.col("o_orderkey").alias("id"), F.lit("").alias("manifest_files"))
     asked = _t(spark, sf_dir, "customer").select("c_custkey", F.lit("orders").alias("phase"), F.col("c_custkey").cast("string").alias("param_hash"))
     done = control.decisions(runs, asked, "1998-08-02 00:00:00", Freshness(60, 200), F.col("c_custkey") % 13 == 0)
-    return done.select("c_custkey", F.round("age_days", 4).alias("age_days"), "decision", "reason")
+    return done.select("c_custkey", rounded("age_days", 4).alias("age_days"), "decision", "reason")
 
 
 @query("""with h as (select user_id, date_trunc('hour', ts)::timestamp as hour, count(*) as n from events group by 1, 2), d as (select *, sum(n) over (partition by user_id, hour::date) as m from h),
@@ -599,7 +599,7 @@ def density_index(spark, sf_dir):
         F.expr("case when event_id % 9 = 2 then 0.0D else cast(event_id % 4 + 1 as double) end").alias("bstar"), F.col("value").alias("mean_motion_dot"), (F.col("value") + 500).alias("semimajor_axis"),
     )
     d = environment.density_index(play)
-    return d.select("date", F.round(F.col("thermometer_density_index") * 1e6, 4).alias("density"), F.col("thermometer_sat_count").alias("objects"), F.round(F.col("thermometer_density_3d_avg") * 1e6, 4).alias("mean_3d"))
+    return d.select("date", rounded(F.col("thermometer_density_index") * 1e6, 4).alias("density"), F.col("thermometer_sat_count").alias("objects"), rounded(F.col("thermometer_density_3d_avg") * 1e6, 4).alias("mean_3d"))
 
 
 @query("""with v as (select date_trunc('day', o_orderdate)::timestamp as date, round(avg(o_totalprice), 2) as observed_flux, count(*)::double as x from orders group by 1),
@@ -611,10 +611,10 @@ from e asof left join w on e.ts >= w.date""")
 def integrate(spark, sf_dir):
     ev = _events(spark, sf_dir)
     orbits = ev.select(F.col("user_id").alias("norad_cat_id"), F.col("ts").alias("epoch_dt"), F.col("value").alias("semimajor_axis"), F.col("event_id").alias("mean_motion"))
-    weather = _t(spark, sf_dir, "orders").groupBy(F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("date")).agg(F.round(F.avg("o_totalprice"), 2).alias("observed_flux"), F.count(F.lit(1)).cast("double").alias("x"))
+    weather = _t(spark, sf_dir, "orders").groupBy(F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("date")).agg(rounded(F.avg("o_totalprice"), 2).alias("observed_flux"), F.count(F.lit(1)).cast("double").alias("x"))
     density = weather.where("day(date) % 5 = 1").select("date", F.col("x").alias("thermometer_density_index"))
     done = training.integrate(orbits, weather.drop("x"), density)
-    return done.select(F.col("mean_motion").alias("event_id"), F.round("altitude", 6).alias("altitude"), F.round("low_altitude_risk", 6).alias("low_altitude_risk"), F.round("altitude_change_rate", 3).alias("altitude_change_rate"), "observed_flux", "thermometer_density_index")
+    return done.select(F.col("mean_motion").alias("event_id"), rounded("altitude", 6).alias("altitude"), rounded("low_altitude_risk", 6).alias("low_altitude_risk"), rounded("altitude_change_rate", 3).alias("altitude_change_rate"), "observed_flux", "thermometer_density_index")
 
 
 @query("""with d as (select date_trunc('day', ts)::timestamp as day, max(value) as peak from events where day(ts) % 4 = 1 group by 1),

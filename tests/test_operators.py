@@ -2,6 +2,7 @@
 
 from datetime import datetime as dt
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -19,6 +20,16 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
+def test_rounded_is_round_of_sql(spark):
+    """Halves, what lies just below them, signs, large numbers and none: as DuckDB rounds."""
+    some = [2.0178125, 0.3240625, 0.0140625, 0.17656249999999998, 0.1765625, 1.5e-6, 4.9999999999999994e-7, 5e-7, 64.57 / 32, 1.0, 0.0, 123456789.1234565, 7e10 / 3, 1e300, 1e307, float("inf")]
+    some = [v for x in some for v in (x, -x)] + [float("nan"), None]
+    df = spark.createDataFrame(list(enumerate(some)), "i int, x double")
+    for places in (2, 4, 6):
+        got = [repr(r.r) for r in df.select("i", scalar.rounded("x", places).alias("r")).orderBy("i").collect()]
+        assert got == [repr(duckdb.execute("select round(?::double, ?::int)", [x, places]).fetchone()[0]) for x in some]
+
+
 def test_numbers_and_times(spark):
     values = [" 1.5 ", "999.9999", " 999.9999", "", "  ", "abc", None, "-3"]
     df = spark.createDataFrame([(v,) for v in values], "v string")

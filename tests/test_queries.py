@@ -50,3 +50,12 @@ def test_entry_and_registry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_ratio_flags_just_below_a_half(spark, tmp_path):
+    """64.57 over a mean of 32 is 2.0178125, as a double a little less: the same last digit as SQL gives."""
+    duckdb.execute("select event_id, timestamp '2024-01-01' + to_hours(event_id) as ts, 1::bigint as user_id, value from (values (1::bigint, 20.0::double), (2, 11.43), (3, 64.57)) v(event_id, value)").df().to_parquet(tmp_path / "events.parquet")
+    got = {r.event_id: r.ratio for r in queries.ratio_flags(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet')")
+    assert got == {r[0]: r[1] for r in con.execute(queries.SQL["ratio_flags"]).fetchall()} and got[3] == 2.017812
