@@ -102,7 +102,10 @@ def _judged(df: DataFrame, rules: list[Rule], nulls: str) -> tuple[DataFrame, Co
 
 
 def role_thresholds(df: DataFrame, role: str, limits: DataFrame, tests: dict[str, tuple[str, bool]]) -> DataFrame:
-    """Rows within their role's limits: tests maps a column to (limit column, absolute). limits has one row per role."""
-    joined = df.join(limits, role)  # a table of roles is small enough for Spark to broadcast by its size
+    """Rows within their role's limits: tests maps a column to (limit column, absolute). limits has one row per role.
+
+    The limits are broadcast: Spark takes a table made of local rows for a huge one, and by shuffle a role is one task's.
+    """
+    joined = df.join(F.broadcast(limits), role)
     conditions = [(F.abs(F.col(c)) if absolute else F.col(c)) <= F.col(limit) for c, (limit, absolute) in tests.items()]
     return joined.where(all_of(conditions)).select(df.columns)

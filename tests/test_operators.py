@@ -30,6 +30,17 @@ def test_rounded_is_round_of_sql(spark):
         assert got == [repr(duckdb.execute("select round(?::double, ?::int)", [x, places]).fetchone()[0]) for x in some]
 
 
+def test_role_thresholds_leave_rows_where_they_are(spark):
+    """One role has nearly all rows: they stay in their partitions, whatever Spark takes the sizes for."""
+    df = spark.range(0, 8000, 1, 8).select("id", F.when(F.col("id") % 1000 == 7, "b").when(F.col("id") != 5, "a").alias("role"), (-(F.col("id") % 10)).cast("double").alias("x"))
+    limits = spark.createDataFrame([("a", -2.0, 6.0), ("c", 0.0, 9.0)], "role string, most double, widest double")
+    done = validate.role_thresholds(df, "role", limits, {"x": ("most", False)})
+    assert done.columns == ["id", "role", "x"] and done.select(F.spark_partition_id()).distinct().count() == 8
+    assert sorted(r.id for r in done.collect()) == [i for i in range(8000) if i % 1000 != 7 and i != 5 and i % 10 >= 2]
+    wide = validate.role_thresholds(df, "role", limits, {"x": ("widest", True)})
+    assert wide.count() == sum(i % 1000 != 7 and i != 5 and i % 10 <= 6 for i in range(8000))
+
+
 def test_numbers_and_times(spark):
     values = [" 1.5 ", "999.9999", " 999.9999", "", "  ", "abc", None, "-3"]
     df = spark.createDataFrame([(v,) for v in values], "v string")
