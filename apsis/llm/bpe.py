@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import without
+from .common import give_back, without
 
 #: Texts of these characters only take the fast path: composed ones whose lower case is one too; their classes are listed below.
 _PLAIN = set(map(chr, [9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250)]))
@@ -28,7 +28,7 @@ FAST = re.compile("[" + "".join(re.escape(c) for c in sorted(_PLAIN) if _PLAIN.i
 #: The file's split pattern with letters and numbers spelt out for the range above, after lower-casing.
 FAST_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ɏ0-9²³¹¼½¾]+")
 #: Bytes of text, or of ids, whose results are held at once.
-PART_BYTES = 8_000_000
+PART_BYTES = 1_000_000
 #: Words remembered by a task before its memory is emptied, and the letters of those that are remembered at all.
 MEMORY_WORDS, MEMORY_LETTERS = 200_000, 64
 END = "\x01"
@@ -73,7 +73,7 @@ class Model:
         self.chars = byte_chars()
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         n = len(self.tokens)
-        born, left, right = np.full(n, -1), np.full(n, -1), np.full(n, -1)
+        born, left, right = np.full((3, n), -1, np.int32)
         for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]):
             x, y, z = vocab[a], vocab[b], vocab[a + b]
             self.ranks[x, y] = (rank, z)
@@ -87,16 +87,16 @@ class Model:
 
     def _spines(self, born, left, right):
         """For each token, the parts along its left and right edge with the rank at which each is merged away."""
-        never = np.iinfo(np.int64).max
+        never = np.iinfo(np.int32).max
         self.edges = {}
         for name, down in (("left", left), ("right", right)):
-            part, death = np.arange(len(born)), np.full(len(born), never)
+            part, death = np.arange(len(born), dtype=np.int32), np.full(len(born), never, np.int32)
             parts, deaths = [part], [death]
             while True:
-                deeper = np.where(part >= 0, down[part], -1)
+                deeper = np.where(part >= 0, down[part], np.int32(-1))
                 if (deeper < 0).all():
                     break
-                death = np.where(deeper >= 0, born[part], -1)
+                death = np.where(deeper >= 0, born[part], np.int32(-1))
                 part = deeper
                 parts.append(part)
                 deaths.append(death)
@@ -185,7 +185,7 @@ class Model:
                 if not len(live):
                     break
                 x, y = xs[i][a[live]], ys[j][b[live]]
-                seam = x << 32 | y
+                seam = x.astype(np.int64) << 32 | y
                 at = np.minimum(np.searchsorted(self.pair_keys, seam), len(self.pair_keys) - 1)
                 rank = self.pair_ranks[at]
                 # The seam merges if its pair comes up before either part is merged away; at a tie the left pair goes first.
@@ -288,24 +288,21 @@ def text_of(piece: str) -> str:
     return bytes(_BACK[c] for c in piece).decode()
 
 
-_models: dict[str, Model] = {}
-
-
 class Vocabulary:
-    """A tokenizer file, read on the driver and sent once to each executor; its size is fixed by the file."""
+    """A tokenizer file, read on the driver and sent once to each executor with its model; their size is fixed by the file.
+
+    As a broadcast the model is read once by a Python worker, which drops it when a task of another stage comes to it.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as f:
             spec = f.read()
         assert len(spec) < 64_000_000, "a vocabulary file of more than 64 MB"
-        self.key = f"{len(spec)}-{hash(spec)}"
         self.spec = spark.sparkContext.broadcast(spec)
+        self.made = spark.sparkContext.broadcast(Model(spec))
 
     def model(self) -> Model:
-        if self.key not in _models:
-            _models.clear()
-            _models[self.key] = Model(self.spec.value)
-        return _models[self.key]
+        return self.made.value
 
 
 def map_parts(batches, source: str):
@@ -332,6 +329,8 @@ def _adding(df: DataFrame, source: str, added: list[tuple[str, T.DataType]], wor
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(m, k) for m, k in zip(made, kinds)]], names=[*batch.schema.names, *[n for n, _ in added]]
             )
+        batch = made = None
+        give_back()
 
     return kept.mapInArrow(run, schema)
 

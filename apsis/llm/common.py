@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import functools
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,17 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back(result=None):
+    """The result, after what this Python worker has freed went back to the system.
+
+    Spark keeps workers for the tasks of later stages, where what Arrow and the C library hold in reserve counts beside theirs.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        trim(0)
+    return result
+
+
 #: Rows of a key beyond which its side is broadcast; a larger table has at most MOST_HOT such keys.
 HOT_ROWS, MOST_HOT = 100_000, 1000
 

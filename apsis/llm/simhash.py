@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import join_hot, without, written
+from .common import give_back, join_hot, without, written
 from .components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -105,6 +105,8 @@ def _marking(df: DataFrame, text: str, shingle: int, made_of, fps: tuple[str, ..
             made = [made_of(t.as_py(), shingle, len(fps)) for t in batch.column(batch.schema.names.index(text))]
             columns = zip(*made) if made else [()] * len(names)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=[*batch.schema.names, *names])
+        batch = made = columns = None
+        give_back()
 
     return kept.mapInArrow(run, schema)
 
@@ -375,6 +377,8 @@ def verified(members: DataFrame, least: float, text: str = "text", shingle: int
         for b in batches:
             sets = [np.unique(_hashes(t.as_py(), shingle)).view(np.int64) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("root"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "root", "size", "shingles"])
+        b = sets = None
+        give_back()
 
     rows = written(members.select("node", "root", F.col(f"`{text}`").alias("text")).mapInArrow(hashed, f"node {kind}, root {kind}, size long, shingles array<long>"))
     chunks = F.greatest(F.ceil(F.sum("size") / CHUNK_SHINGLES), F.lit(1).cast("long"))
@@ -392,7 +396,7 @@ def verified(members: DataFrame, least: float, text: str = "text", shingle: int
         for at in pdf.groupby("root").indices.values():
             a, b = _similar([np.asarray(sets[k], np.int64) for k in at], least)
             out.append(pd.DataFrame({"a": nodes[at[a]], "b": nodes[at[b]]}))
-        return pd.concat(out)
+        return give_back(pd.concat(out))
 
     return dealt.groupBy("batch", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}")
 

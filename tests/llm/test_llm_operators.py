@@ -1,5 +1,6 @@
 """The dealt operators against brute force, their libraries, or held-out labels, and on awkward rows."""
 
+import gc
 import hashlib
 import itertools
 import re
@@ -15,6 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from apsis.llm import ann, bpe, components, decontamination, quality, queries, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
+from apsis.llm.common import give_back
 
 LONG = "lorem ipsum dolor " * 20_000
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_tokens long, ids string, fp string, component_id string, shard string, slot string, keep string, score string, n_words string, label string, count string"
@@ -784,6 +786,36 @@ def test_bpe_forgets_long_words(vocabulary, library):
     assert list(model.encode(texts[:2])) == packed[:2]
 
 
+def test_bpe_models_leave_workers(spark, vocabulary):
+    """Python workers are used again by other stages; there they hold neither a vocabulary nor its words any more."""
+
+    def holding(batches):
+        gc.collect()
+        held = sum(type(x) is bpe.Model for x in gc.get_objects())
+        for pdf in batches:
+            yield pd.DataFrame({"held": [held] * len(pdf)})
+
+    texts = spark.range(0, 400, 1, 8).selectExpr("concat('some words of ', id) text")
+    assert bpe.encode(texts, vocabulary).where("n_tokens < 4").count() == 0
+    assert spark.range(0, 400, 1, 8).mapInPandas(holding, "held long").where("held > 0").count() == 0
+
+
+def test_memory_is_given_back():
+    """Freed blocks below one that is still held go back to the system too."""
+
+    def own():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Pss_Anon")) // 1024
+
+    give_back()
+    before = own()
+    blocks = [np.ones(60_000, np.uint8) for _ in range(2_000)]
+    last = blocks.pop()
+    assert own() > before + 90
+    del blocks
+    assert give_back("a result") == "a result" and own() < before + 30 and len(last)
+
+
 def test_ann_windows_in_small_tables(spark):
     """Windows follow from the data at any size: a small table of tight clusters isn't looked through as a whole."""
     rng = np.random.default_rng(12)
