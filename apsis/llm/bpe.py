@@ -289,9 +289,10 @@ def text_of(piece: str) -> str:
 
 
 class Vocabulary:
-    """A tokenizer file, read on the driver and sent once to each executor with its model; their size is fixed by the file.
+    """A tokenizer file, read on the driver and sent once to each executor; its size is fixed by the file.
 
-    As a broadcast the model is read once by a Python worker, which drops it when a task of another stage comes to it.
+    A Python worker makes the model once and keeps it with its broadcast, so it drops both when a task of another stage comes
+    to it. The driver makes none.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -299,10 +300,11 @@ class Vocabulary:
             spec = f.read()
         assert len(spec) < 64_000_000, "a vocabulary file of more than 64 MB"
         self.spec = spark.sparkContext.broadcast(spec)
-        self.made = spark.sparkContext.broadcast(Model(spec))
 
     def model(self) -> Model:
-        return self.made.value
+        if not hasattr(self.spec, "made"):
+            self.spec.made = Model(self.spec.value)
+        return self.spec.made
 
 
 def map_parts(batches, source: str):

@@ -15,7 +15,7 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
-from apsis.llm import ann, bpe, components, decontamination, quality, queries, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
+from apsis.llm import ann, bpe, common, components, decontamination, quality, queries, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
 from apsis.llm.common import give_back
 
 LONG = "lorem ipsum dolor " * 20_000
@@ -242,6 +242,18 @@ def test_components_of_long_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_rounds_take_few_shuffles(spark, monkeypatch):
+    """The driver pays for each stage of a round however few the links are; rounds for hubs give the same roots."""
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)], "a long, b long")
+    plans, kept = [], components.written
+    monkeypatch.setattr(components, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df))
+    few = {r.node: r.root for r in components.components(pairs).collect()}
+    assert max(p.count("Exchange hashpartitioning") for p in plans) <= 3
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    assert {r.node: r.root for r in components.components(pairs).collect()} == few
+    assert few == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
+
+
 # 6
 
 
@@ -800,6 +812,13 @@ def test_bpe_models_leave_workers(spark, vocabulary):
     assert spark.range(0, 400, 1, 8).mapInPandas(holding, "held long").where("held > 0").count() == 0
 
 
+def test_bpe_driver_makes_no_model(spark, monkeypatch):
+    """A model is some 50 MB, and the driver has no use for it."""
+    monkeypatch.setattr(bpe, "Model", None)  # here; workers have their own
+    texts = spark.range(0, 40, 1, 4).selectExpr("concat('some words of ', id) text")
+    assert bpe.encode(texts, bpe.Vocabulary(spark, queries.vocabulary_path())).where("n_tokens < 4").count() == 0
+
+
 def test_memory_is_given_back():
     """Freed blocks below one that is still held go back to the system too."""
 
